@@ -8,6 +8,7 @@ row-local: Spark decides where rows live, and no shuffle is involved.
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,20 +37,56 @@ def shingle_set(text: str, width: int) -> np.ndarray:
         return np.empty(0, dtype=np.int64)
     hashes = points[:n]
     for j in range(1, width):
-        hashes = (hashes * RADIX + points[j : j + n]) % PRIME
-    return np.unique(hashes)
+        hashes = hashes * RADIX + points[j : j + n]
+        # 2**31 = 1 (mod PRIME): adding the high part to the low part keeps the
+        # residue and leaves at most 32 bits, which the next step can multiply.
+        hashes = (hashes & PRIME) + (hashes >> 31)
+    return np.unique(hashes % PRIME)
 
 
-def _minima(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """``min((a*x + b) mod PRIME)`` over ``values``, one per ``(a, b)``."""
-    best = np.full(len(a), PRIME, dtype=np.uint32)
+class _Minima:
+    """``min((a*x + b) mod PRIME)`` over a set of values, for many ``(a, b)``.
+
+    Works on blocks of values in buffers that fit the CPU cache and are reused
+    from text to text; allocating them anew costs more than the arithmetic.
+    """
+
+    def __init__(self, pairs: list[tuple[int, int]]):
+        self.a, self.b = np.array(pairs, dtype=np.uint64).T[:, :, None].copy()
+        shape = (len(pairs), _BLOCK)
+        self.wide, self.high = np.empty(shape, np.uint64), np.empty(shape, np.uint64)
+        self.narrow = np.empty(shape, np.uint32)
+
+    def __call__(self, values: np.ndarray) -> np.ndarray:
+        best = np.full(len(self.a), PRIME, dtype=np.uint32)
+        for at in range(0, len(values), _BLOCK):
+            block = values[at : at + _BLOCK].astype(np.uint64)
+            n = len(block)
+            x, high, low = self.wide[:, :n], self.high[:, :n], self.narrow[:, :n]
+            np.multiply(self.a, block, out=x)
+            np.add(x, self.b, out=x)
+            np.right_shift(x, np.uint64(31), out=high)
+            np.bitwise_and(x, np.uint64(PRIME), out=x)
+            np.add(x, high, out=low, casting="unsafe")
+            # Now low < 2 * PRIME. One of low and low - PRIME is the residue, and
+            # the other is larger: the subtraction wraps around below zero.
+            np.minimum(best, low.min(axis=1), out=best)
+            np.subtract(low, np.uint32(PRIME), out=low)
+            np.minimum(best, low.min(axis=1), out=best)
+        return best.astype(np.int64)
+
+
+def _wide_minima(
+    values: np.ndarray, first: list[tuple[int, int]], second: list[tuple[int, int]]
+) -> np.ndarray:
+    """As ``_Minima``, over 62-bit values made of two independent 31-bit ones."""
+    (a, b), (c, d) = (np.array(pairs, dtype=np.uint64).T[:, :, None] for pairs in (first, second))
+    best = np.full(len(first), np.iinfo(np.int64).max, dtype=np.int64)
     for at in range(0, len(values), _BLOCK):
-        x = a[:, None] * values[None, at : at + _BLOCK] + b[:, None]
-        # 2**31 = 1 (mod PRIME): add the high part to the low part, twice.
-        y = ((x & PRIME) + (x >> np.uint64(31))).astype(np.uint32)
-        y = (y & np.uint32(PRIME)) + (y >> np.uint32(31))
-        y[y == PRIME] = 0
-        np.minimum(best, y.min(axis=1), out=best)
+        x = values[at : at + _BLOCK].astype(np.uint64)
+        high, low = (a * x + b) % np.uint64(PRIME), (c * x + d) % np.uint64(PRIME)
+        both = ((high << np.uint64(31)) | low).astype(np.int64)
+        np.minimum(best, both.min(axis=1), out=best)
     return best
 
 
@@ -71,28 +108,20 @@ def signature(
     ``wide`` refines every 31-bit value by a second, independent one, for
     corpora on which 31 bits collide too often.
     """
-    pairs = np.array(coefficients(seed, hashes), dtype=np.uint64).T
-    more = np.array(coefficients(seed + 1, hashes), dtype=np.uint64).T
+    first, second = coefficients(seed, hashes), coefficients(seed + 1, hashes)
 
-    def minima(values: np.ndarray) -> np.ndarray:
-        if not wide:
-            return _minima(values, *pairs).astype(np.int64)
-        best = np.full(hashes, np.iinfo(np.int64).max, dtype=np.int64)
-        for at in range(0, len(values), _BLOCK):
-            x = values[at : at + _BLOCK]
-            high = (pairs[0][:, None] * x + pairs[1][:, None]) % np.uint64(PRIME)
-            low = (more[0][:, None] * x + more[1][:, None]) % np.uint64(PRIME)
-            both = ((high << np.uint64(31)) | low).astype(np.int64)
-            np.minimum(best, both.min(axis=1), out=best)
-        return best
+    @F.pandas_udf("array<bigint>")
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        minima = _Minima(first)
 
-    def one(text: str | None) -> np.ndarray | None:
-        values = shingle_set(text, width) if text is not None else ()
-        return minima(values.astype(np.uint64)) if len(values) else None
+        def one(text: str | None) -> np.ndarray | None:
+            values = shingle_set(text, width) if text is not None else ()
+            if not len(values):
+                return None
+            return _wide_minima(values, first, second) if wide else minima(values)
 
-    @F.pandas_udf("array<bigint>")
-    def compute(texts: pd.Series) -> pd.Series:
-        return texts.map(one)
+        for texts in batches:
+            yield texts.map(one)
 
     return compute(text)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -44,8 +44,9 @@ def sign_hash(column: pd.Series) -> pd.Series:
     return pd.Series((m @ planes > 0) @ (1 << np.arange(SIGN_BITS)))
 
 
-def hashed_tokens(dimensions: int) -> Callable[[str], np.ndarray]:
-    """Token vectors of the built-in encoder: each token is one hashed axis."""
+def hashed_tokens(dimensions: int, pooling: str) -> Callable[[str], np.ndarray]:
+    """The built-in encoder: a token's vector is one hashed axis, and the text's
+    is the mean of its tokens' vectors or the last of them."""
 
     @lru_cache(maxsize=100_000)
     def axis(token: str) -> int:
@@ -53,9 +54,9 @@ def hashed_tokens(dimensions: int) -> Callable[[str], np.ndarray]:
 
     def encode(text: str) -> np.ndarray:
         axes = [axis(t) for t in re.split("[ \t\n\r\f]+", text) if t]
-        out = np.zeros((len(axes), dimensions))
-        out[np.arange(len(axes)), axes] = 1.0
-        return out
+        if pooling == "last_token":
+            axes = axes[-1:]
+        return np.bincount(axes, minlength=dimensions) / max(len(axes), 1)
 
     return encode
 
@@ -76,26 +77,21 @@ def embed(
         raise ValueError(f"pooling must be one of {POOLING}")
 
     @F.pandas_udf("array<float>")
-    def compute(texts: pd.Series) -> pd.Series:
-        present = texts[texts.notna()]
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         if encoder is None:
-            tokens = hashed_tokens(dimensions)
+            encode = hashed_tokens(dimensions, pooling)
 
             def batch(part: list[str]) -> list[np.ndarray]:
-                return [_pool(tokens(t), pooling) for t in part]
+                return [encode(t) for t in part]
         else:
             batch = encoder
-        out = [
-            np.asarray(vector, dtype=np.float32)
-            for i in range(0, len(present), batch_size)
-            for vector in batch(present.iloc[i : i + batch_size].tolist())
-        ]
-        return pd.Series(out, index=present.index, dtype=object).reindex(texts.index)
+        for texts in batches:
+            present = texts[texts.notna()]
+            out = [
+                np.asarray(vector, dtype=np.float32)
+                for i in range(0, len(present), batch_size)
+                for vector in batch(present.iloc[i : i + batch_size].tolist())
+            ]
+            yield pd.Series(out, index=present.index, dtype=object).reindex(texts.index)
 
     return compute(text)
-
-
-def _pool(tokens: np.ndarray, pooling: str) -> np.ndarray:
-    if not len(tokens):
-        return np.zeros(tokens.shape[1])
-    return tokens.mean(axis=0) if pooling == "mean_pooling" else tokens[-1]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,13 +11,7 @@ from pyspark.sql import functions as F
 
 TOP = 300
 MAX_PROFILE_ROWS = 1_000_000
-
-
-def char_ngrams(text: Column) -> Column:
-    """All overlapping character 1-, 2- and 3-grams; a look-ahead keeps it linear."""
-    return F.concat(
-        *[F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in (1, 2, 3)]
-    )
+_FLUSH = 4_000_000
 
 
 def ngram_profiles(
@@ -25,18 +19,16 @@ def ngram_profiles(
 ) -> DataFrame:
     """``(lang, gram, rank)``: the commonest n-grams of each language, rank 1 first.
 
-    Counts combine before the shuffle, so a language with most of the rows
-    costs no more than any other; the rank limit is applied before the sort
-    by language as well as after it.
+    Each task combines its counts before the shuffle, so a language with most
+    of the rows costs no more than any other; the rank limit is applied before
+    the sort by language as well as after it.
     """
     counts = (
         labelled.where(F.col(lang_field).isNotNull())
-        .select(
-            F.col(lang_field).alias("lang"),
-            F.explode(char_ngrams(F.lower(F.col(text_field)))).alias("gram"),
-        )
+        .select(F.col(lang_field).alias("lang"), F.lower(F.col(text_field)).alias("text"))
+        .mapInPandas(_combined_counts, "lang string, gram string, n bigint")
         .groupBy("lang", "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     return (
@@ -46,6 +38,46 @@ def ngram_profiles(
     )
 
 
+def _packed_ngrams(text: str) -> np.ndarray:
+    """All 1-, 2- and 3-grams, three code points to an integer that sorts as the string does."""
+    c = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    return np.concatenate(
+        [c << 42, (c[:-1] << 42) | (c[1:] << 21), (c[:-2] << 42) | (c[1:-1] << 21) | c[2:]]
+    )
+
+
+def _packed(gram: str) -> int:
+    a, b, c = [ord(ch) for ch in gram] + [0] * (3 - len(gram))
+    return (a << 42) | (b << 21) | c
+
+
+def _unpacked(code: int) -> str:
+    return "".join(chr(p) for p in (code >> 42, (code >> 21) & 0x1FFFFF, code & 0x1FFFFF) if p)
+
+
+def _combined_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Gram counts per language, combined over about ``_FLUSH`` grams at a time."""
+    held: dict[str, list[np.ndarray]] = {}
+    sizes: dict[str, int] = {}
+
+    def flush(lang: str) -> pd.DataFrame:
+        codes, counts = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
+        sizes.pop(lang)
+        return pd.DataFrame(
+            {"lang": lang, "gram": [_unpacked(c) for c in codes.tolist()], "n": counts}
+        )
+
+    for batch in batches:
+        for lang, text in zip(batch["lang"], batch["text"], strict=True):
+            grams = _packed_ngrams(text or "")
+            held.setdefault(lang, []).append(grams)
+            sizes[lang] = sizes.get(lang, 0) + len(grams)
+            if sizes[lang] >= _FLUSH:
+                yield flush(lang)
+    for lang in list(held):
+        yield flush(lang)
+
+
 def profile_scorer(profiles: DataFrame, top: int = TOP) -> Callable[[Column], Column]:
     """A column function ``text -> struct(score, lang, distance)`` from n-gram profiles.
 
@@ -57,8 +89,8 @@ def profile_scorer(profiles: DataFrame, top: int = TOP) -> Callable[[Column], Co
     if len(rows) > MAX_PROFILE_ROWS:
         raise ValueError(f"more than {MAX_PROFILE_ROWS} profile rows; lower `top`")
     langs = sorted(rows["lang"].unique())
-    packed = rows["gram"].map(lambda gram: int(_pack(gram)))
-    grams = np.unique(packed.to_numpy(dtype=np.int64))
+    packed = np.array([_packed(gram) for gram in rows["gram"]], dtype=np.int64)
+    grams = np.unique(packed)
     ranks = np.zeros((len(grams), len(langs)), dtype=np.int64)
     ranks[np.searchsorted(grams, packed), rows["lang"].map(langs.index)] = rows["rank"]
     shared = profiles.sparkSession.sparkContext.broadcast((langs, grams, ranks))
@@ -79,19 +111,9 @@ def profile_scorer(profiles: DataFrame, top: int = TOP) -> Callable[[Column], Co
     return lambda text: compute(F.lower(text))
 
 
-def _pack(gram: str) -> np.int64:
-    """Up to three code points in one integer that sorts as the string does."""
-    a, b, c = [ord(ch) for ch in gram] + [0] * (3 - len(gram))
-    return np.int64((a << 42) | (b << 21) | c)
-
-
 def _distances(text: str, known: np.ndarray, rank_of: np.ndarray, top: int) -> np.ndarray:
     """Out-of-place distance of a text to each language; a missing gram costs ``top``."""
-    c = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-    grams = np.concatenate(
-        [c << 42, (c[:-1] << 42) | (c[1:] << 21), (c[:-2] << 42) | (c[1:-1] << 21) | c[2:]]
-    )
-    values, counts = np.unique(grams, return_counts=True)
+    values, counts = np.unique(_packed_ngrams(text), return_counts=True)
     first = np.argsort(-counts, kind="stable")[:top]
     values = values[first]
     if not len(values) or not len(known):

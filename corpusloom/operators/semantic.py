@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions import vectors
+from corpusloom.functions.vectors import matrix, unit_rows
 from corpusloom.operators.exact import remove_duplicates
 from corpusloom.operators.skew import salted_join
 from corpusloom.scratch import Scratch
@@ -81,7 +82,7 @@ def train_centroids(df: DataFrame, config: SemanticConfig) -> np.ndarray:
     k = min(config.n_clusters, points.count())
     if k < 2:
         first = df.where(squares > 0).select(column).head()
-        return vectors.matrix([first[0]] if first else [[0.0]])
+        return matrix([first[0]] if first else [[0.0]])
     model = KMeans(
         k=k,
         maxIter=config.max_iter,
@@ -98,14 +99,14 @@ def assign_clusters(
     if centroids.nbytes > MAX_CENTROID_BYTES:
         raise ValueError("centroids exceed the broadcast limit; lower n_clusters")
     labels = np.array(names if names is not None else range(len(centroids)))
-    shared = df.sparkSession.sparkContext.broadcast((vectors.unit_rows(centroids), labels))
+    shared = df.sparkSession.sparkContext.broadcast((unit_rows(centroids), labels))
 
     @F.pandas_udf("cluster int, centroid_sim double")
     def nearest(column: pd.Series) -> pd.DataFrame:
         if not len(column):
             return pd.DataFrame({"cluster": [], "centroid_sim": []})
         units, label = shared.value
-        sims = vectors.unit_rows(vectors.matrix(column)) @ units.T
+        sims = unit_rows(matrix(column)) @ units.T
         best = sims.argmax(axis=1)
         return pd.DataFrame({"cluster": label[best], "centroid_sim": sims[np.arange(len(best)), best]})
 
@@ -230,7 +231,7 @@ def _probe(
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["key", "id"], kind="stable")
         is_probe = group["is_probe"].to_numpy() == 1
-        units = vectors.unit_rows(vectors.matrix(group["vector"]))
+        units = unit_rows(matrix(group["vector"]))
         key, ids = group["key"].to_numpy(), group["id"].to_numpy()
         items_at, probes_at = np.flatnonzero(~is_probe), np.flatnonzero(is_probe)
         best = np.full(len(probes_at), -2.0)

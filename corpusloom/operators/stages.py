@@ -83,13 +83,15 @@ class PythonScorer:
 
 def score_filter(scorer: Scorer, text_field: str = "text", score_field: str | None = None) -> Stage:
     """Score, filter, and keep the score column only when it is given a name."""
-    name = score_field or "_score"
 
     def stage(df: DataFrame) -> DataFrame:
-        kept = df.withColumn(name, scorer.score(F.col(text_field))).where(
-            scorer.keep(F.col(name))
-        )
-        return kept if score_field else kept.drop(name)
+        scored = df.withColumn("_score", scorer.score(F.col(text_field)))
+        # An exploded array of one or no score, where a filter would do: Spark
+        # pushes a filter below the score column and computes the score again
+        # for every place the condition mentions it.
+        passed = F.explode(F.when(scorer.keep(F.col("_score")), F.array("_score")))
+        kept = scored.select(*df.columns, passed.alias(score_field or "_passed"))
+        return kept if score_field else kept.drop("_passed")
 
     return stage
 

@@ -300,7 +300,8 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         "embedding",
         lambda x, i: (x.cast("double") + ((i + F.col("vec_id")) % 3 - 1) * 0.001).cast("float"),
     )
-    near = base.select((F.col("vec_id") + 1_000_000).alias("vec_id"), moved.alias("embedding"), "label")
+    # In two steps: inside a lambda, Spark prefers a new alias of the same select.
+    near = base.withColumn("embedding", moved).withColumn("vec_id", F.col("vec_id") + 1_000_000)
     same = base.select((F.col("vec_id") + 2_000_000).alias("vec_id"), "embedding", "label")
     return base.unionByName(near).unionByName(same)
 
