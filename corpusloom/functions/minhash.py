@@ -2,7 +2,9 @@
 
 Expressing 260 seeded minima over exploded shingles in SQL is an order of
 magnitude slower than NumPy on the code points, so this is a pandas UDF. It is
-row-local: Spark decides where rows live, and no shuffle is involved.
+row-local: Spark decides where rows live, and no shuffle is involved. The UDFs
+are marked as not deterministic, although they are, because Spark otherwise copies
+them into every filter it derives from their result and computes them twice.
 """
 
 from __future__ import annotations
@@ -97,7 +99,7 @@ def shingles(text: Column, width: int = 5) -> Column:
     def compute(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else shingle_set(t, width))
 
-    return compute(text)
+    return compute.asNondeterministic()(text)
 
 
 def signature(
@@ -123,7 +125,7 @@ def signature(
         for texts in batches:
             yield texts.map(one)
 
-    return compute(text)
+    return compute.asNondeterministic()(text)
 
 
 def bands(sig: Column, num_buckets: int, rows: int) -> Column:

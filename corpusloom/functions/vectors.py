@@ -94,4 +94,5 @@ def embed(
             ]
             yield pd.Series(out, index=present.index, dtype=object).reindex(texts.index)
 
-    return compute(text)
+    # Not deterministic, so that a filter on the vector does not compute it twice.
+    return compute.asNondeterministic()(text)

@@ -108,7 +108,9 @@ def profile_scorer(profiles: DataFrame, top: int = TOP) -> Callable[[Column], Co
             }
         )
 
-    return lambda text: compute(F.lower(text))
+    # Not deterministic, so that a filter on the language does not score twice.
+    once = compute.asNondeterministic()
+    return lambda text: once(F.lower(text))
 
 
 def _distances(text: str, known: np.ndarray, rank_of: np.ndarray, top: int) -> np.ndarray:

@@ -110,7 +110,7 @@ def assign_clusters(
         best = sims.argmax(axis=1)
         return pd.DataFrame({"cluster": label[best], "centroid_sim": sims[np.arange(len(best)), best]})
 
-    return df.withColumn("_nearest", nearest(column)).select(
+    return df.withColumn("_nearest", nearest.asNondeterministic()(column)).select(
         *df.columns, "_nearest.cluster", "_nearest.centroid_sim"
     )
 

@@ -114,7 +114,9 @@ def score_pairs(
             ]
             yield pd.DataFrame(rows, columns=list(METRICS), dtype="float64")
 
-    return df.withColumn("reward", compute(context_field, response_field))
+    # Not deterministic, so that a filter on the reward does not call the model twice.
+    once = compute.asNondeterministic()
+    return df.withColumn("reward", once(context_field, response_field))
 
 
 def openai_reward_client(

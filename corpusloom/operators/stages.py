@@ -18,7 +18,13 @@ Modifier = Callable[[Column], Column]
 
 
 class Scorer(Protocol):
-    """Scores a text and decides from the score whether the document stays."""
+    """Scores a text and decides from the score whether the document stays.
+
+    Spark may move the filter below the score column and put the score's
+    expression wherever ``keep`` mentions it: a ``keep`` that needs a costly
+    score more than once binds it with ``let``, and a Python score is marked
+    as not deterministic.
+    """
 
     def score(self, text: Column) -> Column: ...
 
@@ -57,8 +63,11 @@ class RepeatingNgram:
         )
 
     def keep(self, score: Column) -> Column:
-        covered = score["top"]["count"].cast("bigint") * score["top"]["length"]
-        return covered * 100 <= score["chars"].cast("bigint") * self.max_percent
+        return text.let(
+            score,
+            lambda s: s["top"]["count"].cast("bigint") * s["top"]["length"] * 100
+            <= s["chars"].cast("bigint") * self.max_percent,
+        )
 
 
 @dataclass(frozen=True)
@@ -75,7 +84,7 @@ class PythonScorer:
         def compute(texts: pd.Series) -> pd.Series:
             return function(texts)
 
-        return compute(value)
+        return compute.asNondeterministic()(value)
 
     def keep(self, score: Column) -> Column:
         return score >= self.minimum
@@ -83,15 +92,13 @@ class PythonScorer:
 
 def score_filter(scorer: Scorer, text_field: str = "text", score_field: str | None = None) -> Stage:
     """Score, filter, and keep the score column only when it is given a name."""
+    name = score_field or "_score"
 
     def stage(df: DataFrame) -> DataFrame:
-        scored = df.withColumn("_score", scorer.score(F.col(text_field)))
-        # An exploded array of one or no score, where a filter would do: Spark
-        # pushes a filter below the score column and computes the score again
-        # for every place the condition mentions it.
-        passed = F.explode(F.when(scorer.keep(F.col("_score")), F.array("_score")))
-        kept = scored.select(*df.columns, passed.alias(score_field or "_passed"))
-        return kept if score_field else kept.drop("_passed")
+        kept = df.withColumn(name, scorer.score(F.col(text_field))).where(
+            scorer.keep(F.col(name))
+        )
+        return kept if score_field else kept.drop(name)
 
     return stage
 
@@ -110,7 +117,7 @@ def batch_modifier(
         parts = [function(texts[i : i + batch_size]) for i in range(0, len(texts), batch_size)]
         return pd.concat(parts) if parts else texts
 
-    return compute
+    return compute.asNondeterministic()
 
 
 def sequential(*stages: Stage) -> Stage:

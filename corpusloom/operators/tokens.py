@@ -49,7 +49,9 @@ def vocab_tokenizer(vocab: DataFrame) -> Callable[[Column], Column] | None:
         ids = shared.value
         return tokens.map(lambda ts: None if ts is None else [ids.get(t, UNKNOWN_ID) for t in ts])
 
-    return lambda text: compute(words(text))
+    # Not deterministic, so that a filter on the ids does not tokenise twice.
+    once = compute.asNondeterministic()
+    return lambda text: once(words(text))
 
 
 def tokenize(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SPLIT_BYTES = 128 << 20
 
@@ -19,5 +20,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.getContentSummary(jvm_path).getLength() < cores * SPLIT_BYTES:
-        df = df.repartition(cores)
+        # The always-true condition keeps filters above the exchange, on all cores.
+        df = df.repartition(cores).where(F.rand(0) >= 0)
     return df
