@@ -1,86 +1,58 @@
-"""Share of a document taken by its commonest word n-gram.
+"""Share of a document taken by its commonest n-gram (Rae et al. 2021).
 
-The count is a sort and a run-length scan inside the row, so the filter is one
-map stage: nothing is exploded or shuffled, whatever the corpus size.
+The counting is local to a row, so the filter is one map stage at any corpus
+size: nothing is exploded or shuffled. It is a pandas UDF because the same in
+Spark's array functions (build, sort, run lengths) took several times the CPU, and
+exploding the n-grams to group them shuffles several times the corpus.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Sequence
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import CHARACTER_LANGUAGES, let, units
-
+from corpusloom.functions.text import CHARACTER_LANGUAGES
 
-def ngrams(tokens: Column, n: int, separator: str = " ") -> Column:
-    """The ``size - n + 1`` n-grams of a token array, empty when there are too few."""
-    return F.when(
-        F.size(tokens) >= n,
-        F.transform(
-            F.sequence(F.lit(0), F.size(tokens) - n),
-            lambda i: F.concat_ws(separator, *[F.get(tokens, i + k) for k in range(n)]),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
 
+def _top(tokens: list[str], n: int, separator: int) -> tuple[int, int, int]:
+    """``(n, count, length)`` of the commonest n-gram; the longer one wins a tie."""
+    counts = Counter(zip(*(tokens[k:] for k in range(n)), strict=False))
+    if not counts:
+        return n, 0, 0
+    most = max(counts.values())
+    longest = max(sum(map(len, gram)) for gram, count in counts.items() if count == most)
+    return n, most, longest + separator * (n - 1)
 
-def run_lengths(items: Column) -> Column:
-    """``[(n, item)]`` for the runs of a sorted array."""
-    starts = F.filter(
-        F.sequence(F.lit(0), F.size(items) - 1),
-        lambda i: (i == 0) | (F.get(items, i) != F.get(items, i - 1)),
-    )
-    return let(
-        starts,
-        lambda s: F.zip_with(
-            s,
-            F.concat(F.slice(s, 2, F.size(s)), F.array(F.size(items))),
-            lambda a, b: F.struct((b - a).alias("n"), F.get(items, a).alias("item")),
-        ),
-    )
 
+def top_ngrams(text: Column, ns: Sequence[int], language: str = "en") -> Column:
+    """``array<struct(n, count, length)>``, one for each of ``ns``.
 
-def top_ngram(text: Column, n: int, language: str = "en") -> Column:
-    """``struct(count, length)`` of the commonest n-gram; the longer one wins a tie.
-
-    ``(0, 0)`` when the document has fewer than ``n`` units.
+    N-grams are of words joined by one blank, or of non-blank characters in
+    languages written without blanks. Count and length are 0 for a document
+    with fewer than ``n`` units.
     """
-    none = F.struct(F.lit(0).alias("count"), F.lit(0).alias("length"))
-    separator = "" if language.lower() in CHARACTER_LANGUAGES else " "
-    best = let(
-        units(text, language),
-        lambda tokens: F.when(
-            F.size(tokens) >= n,
-            let(
-                F.sort_array(ngrams(tokens, n, separator)),
-                lambda grams: F.array_max(
-                    F.transform(
-                        run_lengths(grams),
-                        lambda run: F.struct(
-                            run.n.alias("count"), F.length(run.item).alias("length")
-                        ),
-                    )
-                ),
-            ),
-        ),
-    )
-    return F.coalesce(best, none)
+    by_character = language.lower() in CHARACTER_LANGUAGES
+    unit = re.compile("[^ \t\n\r\f]" if by_character else "[^ \t\n\r\f]+")
+    separator = 0 if by_character else 1
 
+    @F.pandas_udf("array<struct<n: int, count: bigint, length: bigint>>")
+    def compute(texts: pd.Series) -> pd.Series:
+        def one(value: str | None) -> list[tuple[int, int, int]]:
+            tokens = unit.findall(value or "")
+            return [_top(tokens, n, separator) for n in ns]
 
-def repetition_ratio(text: Column, n: int, language: str = "en") -> Column:
-    top = top_ngram(text, n, language)
-    length = F.length(text)
-    return let(
-        top, lambda t: F.when(length > 0, t["count"] * t["length"] / length).otherwise(F.lit(0.0))
-    )
+        return texts.map(one)
 
+    # Not deterministic, so that a filter on the result does not count twice.
+    return compute.asNondeterministic()(text)
 
-def repetition_within(text: Column, n: int, percent: int, language: str = "en") -> Column:
-    """True when the commonest n-gram takes at most ``percent`` % of the characters.
 
-    Integer arithmetic, so the decision at the limit is exact.
-    """
-    return let(
-        top_ngram(text, n, language),
-        lambda t: t["count"].cast("bigint") * t["length"] * 100
-        <= F.coalesce(F.length(text), F.lit(0)).cast("bigint") * percent,
-    )
+def repetition_ratio(text: Column, n: int, language: str = "en") -> Column:
+    top = top_ngrams(text, [n], language)[0]
+    length = F.length(text)
+    return F.when(length > 0, top["count"] * top["length"] / length).otherwise(F.lit(0.0))

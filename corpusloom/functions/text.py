@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,15 +13,6 @@ EDGE_SPACE = "(?U)^\\s+|\\s+$"
 CHARACTER_LANGUAGES = frozenset({"zh", "ja", "th"})
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and hand it to ``body`` as a bound variable.
-
-    An expression used inside a higher-order function is evaluated again for
-    every element; a lambda variable is not.
-    """
-    return F.transform(F.array(value), body)[0]
-
-
 def strip(text: Column) -> Column:
     """Remove leading and trailing Unicode space (``trim`` only removes U+0020)."""
     return F.regexp_replace(text, EDGE_SPACE, "")
@@ -33,13 +22,6 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
 
 
-def units(text: Column, language: str = "en") -> Column:
-    """The n-gram units of a text: words, or non-blank characters for CJK and Thai."""
-    if language.lower() in CHARACTER_LANGUAGES:
-        return F.regexp_extract_all(text, F.lit("[^ \\t\\n\\r\\f]"), F.lit(0))
-    return words(text)
-
-
 def word_count(text: Column) -> Column:
     return F.coalesce(F.size(words(text)), F.lit(0)).cast("bigint")
 

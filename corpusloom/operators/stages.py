@@ -21,9 +21,8 @@ class Scorer(Protocol):
     """Scores a text and decides from the score whether the document stays.
 
     Spark may move the filter below the score column and put the score's
-    expression wherever ``keep`` mentions it: a ``keep`` that needs a costly
-    score more than once binds it with ``let``, and a Python score is marked
-    as not deterministic.
+    expression wherever ``keep`` mentions it. A costly score is therefore marked
+    as not deterministic, which keeps it in one place.
     """
 
     def score(self, text: Column) -> Column: ...
@@ -45,29 +44,28 @@ class WordCount:
 
 
 @dataclass(frozen=True)
-class RepeatingNgram:
-    """Drop documents whose commonest n-gram takes more than ``max_percent`` %.
+class RepeatingNgrams:
+    """Drop documents in which, for any ``(n, percent)``, the commonest n-gram
+    takes more than ``percent`` % of the characters.
 
-    The score holds the count, the length and the text length as integers, so
-    that a document exactly at the limit is kept.
+    All limits share one pass over the text. The score holds whole numbers, so
+    that a document exactly at a limit is kept.
     """
 
-    n: int
-    max_percent: int
+    limits: tuple[tuple[int, int], ...]
     language: str = "en"
 
     def score(self, value: Column) -> Column:
-        return F.struct(
-            repetition.top_ngram(value, self.n, self.language).alias("top"),
-            F.coalesce(F.length(value), F.lit(0)).alias("chars"),
-        )
+        tops = repetition.top_ngrams(value, [n for n, _ in self.limits], self.language)
+        return F.struct(tops.alias("tops"), F.coalesce(F.length(value), F.lit(0)).alias("chars"))
 
     def keep(self, score: Column) -> Column:
-        return text.let(
-            score,
-            lambda s: s["top"]["count"].cast("bigint") * s["top"]["length"] * 100
-            <= s["chars"].cast("bigint") * self.max_percent,
-        )
+        within = [
+            score["tops"][i]["count"] * score["tops"][i]["length"] * 100
+            <= score["chars"].cast("bigint") * percent
+            for i, (_, percent) in enumerate(self.limits)
+        ]
+        return reduce(lambda a, b: a & b, within)
 
 
 @dataclass(frozen=True)
@@ -134,10 +132,10 @@ def heuristic_stage(
     min_words: int = 50,
     limits: tuple[tuple[int, int], ...] = ((2, 20), (3, 18), (4, 16)),
 ) -> Stage:
-    """Word count (stored), then the n-gram limits ``(n, percent)`` in order."""
+    """Word count (stored), then the n-gram limits ``(n, percent)``."""
     return sequential(
         score_filter(WordCount(min_words), text_field, "word_count"),
-        *[score_filter(RepeatingNgram(n, pct, language), text_field) for n, pct in limits],
+        score_filter(RepeatingNgrams(limits, language), text_field),
     )
 
 

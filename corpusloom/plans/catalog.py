@@ -82,27 +82,22 @@ def word_count_filter(spark, sf_dir):
 @query
 def ngram_repetition(spark, sf_dir):
     """Count and length of the commonest n-gram, one row per document and n."""
-    tops = F.array(
-        *[
-            F.struct(F.lit(n).cast("bigint").alias("n"), repetition.top_ngram(F.col("text"), n).alias("top"))
-            for n in (2, 3, 4)
-        ]
-    )
+    tops = repetition.top_ngrams(F.col("text"), [2, 3, 4])
     return (
         documents(spark, sf_dir)
-        .select(ID, F.explode(tops).alias("t"))
+        .select(ID, F.inline(tops))
         .select(
             ID,
-            "t.n",
-            F.col("t.top.count").cast("bigint").alias("top_count"),
-            F.col("t.top.length").cast("bigint").alias("top_length"),
+            F.col("n").cast("bigint").alias("n"),
+            F.col("count").alias("top_count"),
+            F.col("length").alias("top_length"),
         )
     )
 
 
 def _ngram_filter(n: int, percent: int) -> Query:
     def run(spark, sf_dir):
-        kept = stages.score_filter(stages.RepeatingNgram(n, percent))
+        kept = stages.score_filter(stages.RepeatingNgrams(((n, percent),)))
         return documents(spark, sf_dir).transform(kept).select(ID)
 
     return run

@@ -21,5 +21,5 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.getContentSummary(jvm_path).getLength() < cores * SPLIT_BYTES:
         # The always-true condition keeps filters above the exchange, on all cores.
-        df = df.repartition(cores).where(F.rand(0) >= 0)
+        df = df.repartition(cores).where(F.spark_partition_id() >= 0)
     return df
