@@ -86,13 +86,13 @@ def embed(
         else:
             batch = encoder
         for texts in batches:
-            present = texts[texts.notna()]
-            out = [
+            present = texts[texts.notna()].tolist()
+            found = iter(
                 np.asarray(vector, dtype=np.float32)
                 for i in range(0, len(present), batch_size)
-                for vector in batch(present.iloc[i : i + batch_size].tolist())
-            ]
-            yield pd.Series(out, index=present.index, dtype=object).reindex(texts.index)
+                for vector in batch(present[i : i + batch_size])
+            )
+            yield pd.Series([None if t is None else next(found) for t in texts], dtype=object)
 
     # Not deterministic, so that a filter on the vector does not compute it twice.
     return compute.asNondeterministic()(text)

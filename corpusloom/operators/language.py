@@ -24,7 +24,7 @@ def ngram_profiles(
     the sort by language as well as after it.
     """
     counts = (
-        labelled.where(F.col(lang_field).isNotNull())
+        labelled.where(F.col(lang_field).isNotNull() & (F.col(text_field) != ""))
         .select(F.col(lang_field).alias("lang"), F.lower(F.col(text_field)).alias("text"))
         .mapInPandas(_combined_counts, "lang string, gram string, n bigint")
         .groupBy("lang", "gram")
@@ -64,12 +64,16 @@ def _combined_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes, counts = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
         sizes.pop(lang)
         return pd.DataFrame(
-            {"lang": lang, "gram": [_unpacked(c) for c in codes.tolist()], "n": counts}
+            {
+                "lang": [lang] * len(codes),
+                "gram": [_unpacked(c) for c in codes.tolist()],
+                "n": counts,
+            }
         )
 
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"], strict=True):
-            grams = _packed_ngrams(text or "")
+            grams = _packed_ngrams(text)
             held.setdefault(lang, []).append(grams)
             sizes[lang] = sizes.get(lang, 0) + len(grams)
             if sizes[lang] >= _FLUSH:

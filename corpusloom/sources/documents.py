@@ -33,9 +33,7 @@ def read_jsonl(
     Lines that are not JSON are kept apart in ``_corrupt_record``; drop them
     with ``well_formed``, count them with ``malformed``.
     """
-    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    declared = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
-    df = spark.read.schema(declared).option("columnNameOfCorruptRecord", CORRUPT).json(paths)
+    df = spark.read.schema(_declared(schema)).option("columnNameOfCorruptRecord", CORRUPT).json(paths)
     return df.select("*", F.col("_metadata.file_name").alias("file_name")) if file_name else df
 
 
@@ -43,15 +41,27 @@ def well_formed(df: DataFrame) -> DataFrame:
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def malformed(df: DataFrame) -> DataFrame:
-    """``(file_name, lines)``: unreadable lines per file."""
+def malformed(
+    spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType
+) -> DataFrame:
+    """``(file_name, lines)``: unreadable lines per file.
+
+    From a text scan, as Spark refuses a JSON scan of the corrupt column alone.
+    """
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("file_name"))
+    parsed = F.from_json("value", _declared(schema), {"columnNameOfCorruptRecord": CORRUPT})
     return (
-        df.where(F.col(CORRUPT).isNotNull())
+        lines.where((F.trim("value") != "") & parsed[CORRUPT].isNotNull())
         .groupBy("file_name")
         .agg(F.count(F.lit(1)).alias("lines"))
     )
 
 
+def _declared(schema: str | T.StructType) -> T.StructType:
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
+
+
 def document_schema(
     text_field: str = "text", id_field: str | None = None, extra: str = ""
 ) -> T.StructType:
