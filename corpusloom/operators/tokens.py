@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import words
@@ -54,20 +54,41 @@ def vocab_tokenizer(vocab: DataFrame) -> Callable[[Column], Column] | None:
     return lambda text: once(words(text))
 
 
+def pretrained_tokenizer(spark: SparkSession, path: str) -> Callable[[Column], Column]:
+    """A column function from a ``tokenizer.json`` file of the ``tokenizers`` package.
+
+    The file's content, a few megabytes, is broadcast; each task builds one tokenizer.
+    """
+    content = "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+    shared = spark.sparkContext.broadcast(content)
+
+    @F.pandas_udf("array<int>")
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(shared.value)
+        for texts in batches:
+            encoded = tokenizer.encode_batch(texts.fillna("").tolist(), add_special_tokens=False)
+            yield pd.Series([e.ids for e in encoded], dtype=object)
+
+    return compute.asNondeterministic()
+
+
 def tokenize(
     df: DataFrame,
     tokenizer: Callable[[Column], Column],
     text_field: str = "text",
     append_eod: bool = True,
+    eod_id: int = EOD_ID,
 ) -> DataFrame:
     """Add ``token_ids`` and ``n_tokens``. Row-local: the documents are not shuffled.
 
-    ``tokenizer`` maps a text column to an ``array<int>`` column; wrap a
-    pretrained one in a pandas UDF.
+    ``tokenizer`` maps a text column to an ``array<int>`` column: the one of
+    ``vocab_tokenizer`` or ``pretrained_tokenizer``, or a pandas UDF around any other.
     """
     ids = F.coalesce(tokenizer(F.col(text_field)), F.array().cast("array<int>"))
     if append_eod:
-        ids = F.concat(ids, F.array(F.lit(EOD_ID)))
+        ids = F.concat(ids, F.array(F.lit(eod_id)))
     return df.withColumn("token_ids", ids).withColumn("n_tokens", F.size("token_ids"))
 
 

@@ -196,8 +196,7 @@ def test_semantic_matches_brute_force(spark, scratch, keep, floor):
 
 
 def test_semantic_dedup_end_to_end(spark, scratch):
-    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
-    rows = [(i, " ".join(words[i % 10 :] + words[: i % 3])) for i in range(10)]
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(6))) for i in range(10)]
     rows += [(100, rows[0][1]), (101, rows[1][1]), (102, None)]
     config = semantic.SemanticConfig(n_clusters=3)
     kept = semantic.semantic_dedup(docs(spark, rows), config, scratch)
