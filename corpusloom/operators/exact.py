@@ -29,10 +29,13 @@ def exact_duplicates(
         df.where(F.col(text_field).isNotNull()).select(id_col, digest(F.col(text_field)).alias("_digest")),
         "digests",
     )
-    groups = (
+    # Saved, since only texts with copies are left: Spark then knows the size
+    # and joins a small table without shuffling the digests again.
+    groups = scratch.save(
         digests.groupBy("_digest")
         .agg(F.min(id_col).alias("group_id"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 1)
+        .where(F.col("n") > 1),
+        "groups",
     )
     members = salted_join(
         digests, groups, ["_digest"], groups, F.col(id_col), rows_per_slice

@@ -79,15 +79,18 @@ def candidate_edges(
         .agg(F.min(id_col).alias("src"), F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > 1)
     )
+    # Saved at each step: few buckets have two members, and Spark joins a table
+    # it knows to be small without shuffling the bands again.
     anchors = config.num_anchors if config.false_positive_check else 1
     edges = None
     for _ in range(anchors):
-        # The next anchor of a bucket is its smallest id above the last one.
+        buckets = scratch.save(buckets, "buckets")
         later = salted_join(
             rows, buckets.select(*key, "src"), key, buckets, F.col(id_col), rows_per_slice
         ).where(F.col(id_col) > F.col("src"))
         later = scratch.save(later.select(*key, "src", F.col(id_col).alias("dst")), "linked")
         edges = later if edges is None else edges.unionByName(later)
+        # The next anchor of a bucket is its smallest id above the last one.
         buckets = (
             later.groupBy(*key)
             .agg(F.min("dst").alias("src"), F.count(F.lit(1)).alias("n"))

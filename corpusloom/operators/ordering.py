@@ -35,7 +35,7 @@ def ordinals(
     )
     row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        placed.join(offsets, "_part")
+        placed.join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_offset") + row)
         .drop("_part", "_place", "_offset")
     )

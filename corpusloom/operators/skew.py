@@ -21,8 +21,9 @@ def salted_join(
     sizes: DataFrame,
     spread_by: Column,
     rows_per_slice: int = ROWS_PER_SLICE,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join of ``big`` and ``small`` on ``on``.
+    """Inner (or left) join of ``big`` and ``small`` on ``on``.
 
     ``sizes`` gives the rows of ``big`` per key as column ``n``. A hot key is
     cut in slices of about ``rows_per_slice`` rows by a hash of ``spread_by``
@@ -47,4 +48,4 @@ def salted_join(
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop("_slices")
     )
-    return left.join(right, [*on, "_slice"]).drop("_slice")
+    return left.join(right, [*on, "_slice"], how).drop("_slice")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import words
 from corpusloom.operators.ordering import running_sum
+from corpusloom.operators.skew import ROWS_PER_SLICE, salted_join
 from corpusloom.scratch import Scratch
 
 # Ids below the first vocabulary entry.
@@ -98,26 +99,30 @@ def tokenize_by_join(
     id_col: str = "id",
     text_field: str = "text",
     append_eod: bool = True,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """``(id, token_ids, n_tokens)`` for a vocabulary too large to hand to each executor.
 
-    A document's tokens are first combined to its distinct ones, so a token
-    found everywhere reaches the join at most once per document and partition.
+    A document's tokens are first combined to its distinct ones, and a token
+    found in very many documents is split by its count in the vocabulary.
     """
     end = F.array(F.lit(EOD_ID)) if append_eod else F.array().cast("array<int>")
     placed = (
         df.select(id_col, F.posexplode(words(F.col(text_field))).alias("pos", "token"))
         .groupBy(id_col, "token")
         .agg(F.collect_list("pos").alias("positions"))
-        .join(vocab.select("token", "token_id"), "token", "left")
-        .select(
-            id_col,
-            F.explode("positions").alias("pos"),
-            F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("token_id"),
-        )
+    )
+    known = vocab.select("token", "token_id")
+    sizes = vocab.select("token", F.col("count").alias("n"))
+    looked_up = salted_join(
+        placed, known, ["token"], sizes, F.col(id_col), rows_per_slice, how="left"
+    ).select(
+        id_col,
+        F.explode("positions").alias("pos"),
+        F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("token_id"),
     )
     in_order = F.array_sort(F.collect_list(F.struct("pos", "token_id")))
-    ids = placed.groupBy(id_col).agg(in_order.alias("_in_order"))
+    ids = looked_up.groupBy(id_col).agg(in_order.alias("_in_order"))
     return (
         df.select(id_col)
         .join(ids, id_col, "left")

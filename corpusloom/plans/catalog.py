@@ -569,20 +569,19 @@ CURATION = CurationConfig(
 )
 
 
-def _tables(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+def _run(spark: SparkSession, sf_dir: str) -> curation.Run:
     docs = documents(spark, sf_dir).select(ID, "text", "source")
     return curation.run_stages(docs, CURATION, Scratch(spark))
 
 
 @query
 def curated_corpus(spark, sf_dir):
-    return _tables(spark, sf_dir)[-1][1].select(ID, "text", "word_count")
+    return _run(spark, sf_dir).documents.select(ID, "text", "word_count")
 
 
 @query
 def curation_funnel(spark, sf_dir):
-    rows = curation.funnel(_tables(spark, sf_dir))
-    return rows.select("stage", F.col("position").cast("bigint").alias("position"), "documents")
+    return curation.funnel(spark, _run(spark, sf_dir))
 
 
 @query

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators import stages
@@ -29,14 +29,29 @@ class Models:
     pii_key: Column | None = None
 
 
-def stage_list(
-    config: CurationConfig, scratch: Scratch, models: Models
-) -> list[tuple[str, stages.Stage]]:
-    """The enabled stages in order, each a function from ``DataFrame`` to ``DataFrame``."""
+@dataclass(frozen=True)
+class NamedStage:
+    """``row_local`` stages read each row once, so they can share one pass."""
+
+    name: str
+    run: stages.Stage
+    row_local: bool = False
+
+
+@dataclass(frozen=True)
+class Run:
+    """The documents left, and how many were left after each stage."""
+
+    documents: DataFrame
+    counts: list[tuple[str, int]]
+
+
+def stage_list(config: CurationConfig, scratch: Scratch, models: Models) -> list[NamedStage]:
+    """The enabled stages in order."""
     text, key = config.text_field, config.id_field
-    chosen: list[tuple[str, stages.Stage]] = []
+    chosen: list[NamedStage] = []
     if config.cleaning:
-        chosen.append(("cleaning", stages.unicode_stage(text)))
+        chosen.append(NamedStage("cleaning", stages.unicode_stage(text), row_local=True))
     if config.lid:
         if models.language_scorer is None:
             raise ValueError("language identification needs models.language_scorer")
@@ -50,30 +65,31 @@ def stage_list(
             table = scratch.save(coded.withColumn("_part", part), "language", ["_part"])
             return table.where(F.col("_part") == config.language.upper()).drop("_part")
 
-        chosen.append(("language", by_language))
+        chosen.append(NamedStage("language", by_language, row_local=not config.language))
     if config.heuristic:
-        chosen.append(
-            (
-                "heuristic",
-                stages.heuristic_stage(text, config.language or "en", config.heuristic_min_words),
-            )
+        heuristic = stages.heuristic_stage(
+            text, config.language or "en", config.heuristic_min_words
         )
+        chosen.append(NamedStage("heuristic", heuristic, row_local=True))
     if config.pii:
-        options = {
-            "action": config.pii_anonymize_action,
-            "entities": config.pii_entities,
-            "key": models.pii_key,
-        }
-        chosen.append(("pii", stages.pii_stage(text, **options)))
+        anonymize = stages.pii_stage(
+            text,
+            key=models.pii_key,
+            action=config.pii_anonymize_action,
+            entities=config.pii_entities,
+        )
+        chosen.append(NamedStage("pii", anonymize, row_local=True))
     if config.exact:
-        chosen.append(("exact_duplicates", lambda df: exact_dedup(df, scratch, key, text)))
+        chosen.append(NamedStage("exact_duplicates", lambda df: exact_dedup(df, scratch, key, text)))
     if config.fuzzy:
         chosen.append(
-            ("fuzzy_dedup", lambda df: fuzzy_dedup(df, config.fuzzy_config, scratch, key, text))
+            NamedStage(
+                "fuzzy_dedup", lambda df: fuzzy_dedup(df, config.fuzzy_config, scratch, key, text)
+            )
         )
     if config.semantic:
         chosen.append(
-            (
+            NamedStage(
                 "semantic",
                 lambda df: semantic_dedup(
                     df, config.semantic_config, scratch, key, text, models.encoder
@@ -89,35 +105,45 @@ def run_stages(
     scratch: Scratch,
     models: Models | None = None,
     output_dir: str | None = None,
-) -> list[tuple[str, DataFrame]]:
-    """Run the stages; ``[(stage, table)]`` beginning with the input.
-
-    Each stage is written once as Parquet and the next one reads that, so no
-    stage runs twice and a lost executor costs at most one stage. With
-    ``output_dir``, each stage also goes out as JSON lines by source file.
+) -> Run:
+    """Run the enabled stages.
+
+    Row-local stages that follow each other are one pass over the corpus,
+    counted on the way; its result is written once as Parquet before a stage
+    that reads it several times, so nothing runs twice and a lost executor
+    costs at most one pass. With ``output_dir``, every stage is written there
+    as JSON lines by source file.
     """
     current = ensure_id(df, scratch, config.id_field)
-    tables = [("input", current)]
-    for name, stage in stage_list(config, scratch, models or Models()):
-        current = scratch.save(current.transform(stage), name)
-        tables.append((name, current))
+    counts = [("input", current.count())]
+    passing: list[tuple[str, Observation]] = []
+
+    def settle(name: str) -> None:
+        nonlocal current
+        current = scratch.save(current, name)
+        counts.extend((stage, seen.get["n"]) for stage, seen in passing)
+        passing.clear()
+
+    for stage in stage_list(config, scratch, models or Models()):
+        if passing and not stage.row_local:
+            settle("rows")
+        current = current.transform(stage.run)
+        seen = Observation(stage.name)
+        current = current.observe(seen, F.count(F.lit(1)).alias("n"))
+        passing.append((stage.name, seen))
+        if output_dir or not stage.row_local:
+            settle(stage.name)
         if output_dir:
-            write_by_source(current, f"{output_dir}/{name}")
-    return tables
+            write_by_source(current, f"{output_dir}/{stage.name}")
+    if passing:
+        settle("rows")
+    return Run(current, counts)
 
 
-def funnel(tables: list[tuple[str, DataFrame]]) -> DataFrame:
-    """``(stage, position, documents)``: what is left after each stage."""
-    counts = [
-        table.agg(F.count(F.lit(1)).alias("documents")).select(
-            F.lit(name).alias("stage"), F.lit(i).alias("position"), "documents"
-        )
-        for i, (name, table) in enumerate(tables)
-    ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+def funnel(spark: SparkSession, run: Run) -> DataFrame:
+    """``(stage, position, documents)``: what was left after each stage."""
+    rows = [(stage, i, n) for i, (stage, n) in enumerate(run.counts)]
+    return spark.createDataFrame(rows, "stage string, position bigint, documents bigint")
 
 
 def curate(
@@ -128,7 +154,7 @@ def curate(
     output_dir: str | None = None,
 ) -> DataFrame:
     """The documents left after all enabled stages."""
-    return run_stages(df, config, scratch, models, output_dir)[-1][1]
+    return run_stages(df, config, scratch, models, output_dir).documents
 
 
 def pii_key(spark: SparkSession, path: str) -> Column:

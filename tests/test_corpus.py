@@ -63,8 +63,9 @@ def test_vocabulary_and_both_tokenisers(spark):
     local = tokens.tokenize(df, tokens.vocab_tokenizer(vocab))
     want = {0: [2, 3, 1, 0], 1: [2, 4, 0], 2: [0], 3: [0], 4: [2, 2, 1, 0]}
     assert {r.id: r.token_ids for r in local.collect()} == want
-    joined = tokens.tokenize_by_join(df, vocab)
-    assert {r.id: r.token_ids for r in joined.collect()} == want
+    for rows in (1, 1_000_000):
+        joined = tokens.tokenize_by_join(df, vocab, rows_per_slice=rows)
+        assert {r.id: r.token_ids for r in joined.collect()} == want
     bare = tokens.tokenize(df, tokens.vocab_tokenizer(vocab), append_eod=False)
     assert {r.id: r.n_tokens for r in bare.collect()} == {0: 3, 1: 2, 2: 0, 3: 0, 4: 3}
 

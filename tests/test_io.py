@@ -151,12 +151,14 @@ def test_curation_run(spark, scratch, tmp_path):
         cleaning=True, lid=True, language="en", heuristic=True, pii=True, pii_anonymize_action="encrypt",
         exact=True, fuzzy=True, semantic=True,
     )
-    tables = run_stages(df, config, scratch, models, str(tmp_path / "out"))
-    counts = {r.stage: r.documents for r in funnel(tables).collect()}
+    run = run_stages(df, config, scratch, models, str(tmp_path / "out"))
+    counts = {r.stage: r.documents for r in funnel(spark, run).collect()}
     assert counts["input"] == 5 and counts["heuristic"] == 3 and counts["exact_duplicates"] == 2
     assert list(counts) and counts["semantic"] == 2
     assert all((tmp_path / "out" / stage).is_dir() for stage in counts if stage != "input")
-    final = tables[-1][1]
+    final = run.documents
+    fused = run_stages(df, config, scratch, models)
+    assert fused.counts == run.counts and fused.documents.count() == final.count()
     assert final.where(F.col("text").contains("a@b.org")).count() == 0
     assert {"id", "text", "file_name", "language", "word_count"} <= set(final.columns)
     with pytest.raises(ValueError):
