@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import let
+
 # Default entities, in the order in which they are applied.
 PATTERNS: dict[str, str] = {
     "EMAIL_ADDRESS": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
@@ -34,14 +36,17 @@ def rewrite_matches(text: Column, pattern: str, rewrite: Callable[[Column], Colu
     The text between matches and the matches themselves are zipped back
     together: linear in the text, and only the matched positions change.
     """
-    between = F.split(text, pattern, -1)
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    rewritten = F.zip_with(
-        between,
-        matches,
-        lambda gap, match: F.concat(gap, F.coalesce(rewrite(match), F.lit(""))),
-    )
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.array_join(rewritten, "")).otherwise(text)
+
+    def rewritten(value: Column) -> Column:
+        parts = F.zip_with(
+            F.split(value, pattern, -1),
+            F.regexp_extract_all(value, F.lit(pattern), F.lit(0)),
+            lambda gap, match: F.concat(gap, F.coalesce(rewrite(match), F.lit(""))),
+        )
+        return F.when(F.regexp_like(value, F.lit(pattern)), F.array_join(parts, "")).otherwise(value)
+
+    # Bound, or each entity would repeat the work of those before it several times.
+    return let(text, rewritten)
 
 
 def anonymize(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ EDGE_SPACE = "(?U)^\\s+|\\s+$"
 CHARACTER_LANGUAGES = frozenset({"zh", "ja", "th"})
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once per row and hand it to ``body`` as a bound variable."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(text: Column) -> Column:
     """Remove leading and trailing Unicode space (``trim`` only removes U+0020)."""
     return F.regexp_replace(text, EDGE_SPACE, "")

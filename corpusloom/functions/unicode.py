@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,13 +28,15 @@ def redecode(text: Column) -> Column:
     Latin-1 does not have; plain ASCII is its own repair and skips the check.
     """
     as_utf8 = F.encode(text, "ISO-8859-1").cast("string")
-    latin = F.rlike(text, F.lit(r"^[\x{0}-\x{FF}]*$")) & F.rlike(text, F.lit(r"[\x{80}-\x{FF}]"))
+    latin = F.rlike(text, F.lit(r"[\x{80}-\x{FF}]")) & ~F.rlike(text, F.lit(r"[^\x{0}-\x{FF}]"))
     return F.when(latin, F.when(F.is_valid_utf8(as_utf8), as_utf8).otherwise(text)).otherwise(text)
 
 
 def compose(text: Column) -> Column:
     """NFC. Only texts that may change cross into Python; the others pass as null."""
-    open_text = F.when(F.rlike(text, F.lit(f"[^{COMPOSED}]")), text)
+    # One range first: Java is slow on the long class, and most texts stop here.
+    beyond_latin = F.rlike(text, F.lit(r"[^\x{0}-\x{2FF}]"))
+    open_text = F.when(beyond_latin & F.rlike(text, F.lit(f"[^{COMPOSED}]")), text)
     return F.coalesce(_nfc(open_text), text)
 
 
@@ -43,5 +45,9 @@ def clean_controls(text: Column) -> Column:
     return F.regexp_replace(unified, CONTROLS, "")
 
 
-def repair(text: Column) -> Column:
-    return clean_controls(compose(redecode(text)))
+def repair(df: DataFrame, text_field: str = "text") -> DataFrame:
+    """All three steps, each on a column of its own: every step uses its input
+    several times, and nested they would repeat the steps before them."""
+    for step in (redecode, compose, clean_controls):
+        df = df.withColumn(text_field, step(F.col(text_field)))
+    return df

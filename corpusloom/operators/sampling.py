@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,8 +51,9 @@ def blend_rates(
     """
     if not isinstance(weights, Mapping):
         weights = dict.fromkeys(weights, 1.0)
+    positive = [(source, float(w)) for source, w in weights.items() if w > 0]
     table = df.sparkSession.createDataFrame(
-        [(source, float(w)) for source, w in weights.items() if w > 0], f"{source_col} string, weight double"
+        pd.DataFrame(positive, columns=[source_col, "weight"]), f"{source_col} string, weight double"
     )
     counts = df.groupBy(source_col).agg(F.count(F.lit(1)).alias("n"))
     wanted = counts.join(table, source_col).withColumn("per_row", F.col("weight") / F.col("n"))

@@ -123,7 +123,7 @@ def sequential(*stages: Stage) -> Stage:
 
 
 def unicode_stage(text_field: str = "text") -> Stage:
-    return modify(unicode.repair, text_field)
+    return lambda df: unicode.repair(df, text_field)
 
 
 def heuristic_stage(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,7 +144,8 @@ def run_stages(
 def funnel(spark: SparkSession, run: Run) -> DataFrame:
     """``(stage, position, documents)``: what was left after each stage."""
     rows = [(stage, i, n) for i, (stage, n) in enumerate(run.counts)]
-    return spark.createDataFrame(rows, "stage string, position bigint, documents bigint")
+    table = pd.DataFrame(rows, columns=["stage", "position", "documents"])
+    return spark.createDataFrame(table, "stage string, position bigint, documents bigint")
 
 
 def curate(
