@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are split. Being the most frequent ones, every key
-# beyond them holds less than 1/1000 of the rows, which one task can take; and
-# the broadcast list of them has at most 1000 rows, whatever the data size.
-HOT_KEYS = 1000
 ROWS_PER_SLICE = 1_000_000
 
 
@@ -25,17 +21,17 @@ def salted_join(
 ) -> DataFrame:
     """Inner (or left) join of ``big`` and ``small`` on ``on``.
 
-    ``sizes`` gives the rows of ``big`` per key as column ``n``. A hot key is
-    cut in slices of about ``rows_per_slice`` rows by a hash of ``spread_by``
-    (a hash and not ``rand``, so that a re-run task sends its rows to the same
-    place), and its ``small`` rows are repeated once per slice.
+    ``sizes`` gives the rows of ``big`` per key as column ``n``. Every key with
+    more than ``rows_per_slice`` rows is cut in slices by a hash of
+    ``spread_by`` (a hash and not ``rand``, so that a re-run task sends its
+    rows to the same place), and its ``small`` rows are repeated once per
+    slice. The table of such keys is joined without a hint: it has at most
+    rows / rows_per_slice rows, and Spark sends it to all executors only where
+    its measured size is below the broadcast threshold.
     """
     on = list(on)
-    hot = F.broadcast(
-        sizes.where(F.col("n") > rows_per_slice)
-        .orderBy(F.desc("n"))
-        .limit(HOT_KEYS)
-        .select(*on, F.ceil(F.col("n") / rows_per_slice).cast("int").alias("_slices"))
+    hot = sizes.where(F.col("n") > rows_per_slice).select(
+        *on, F.ceil(F.col("n") / rows_per_slice).cast("int").alias("_slices")
     )
     slices = F.coalesce("_slices", F.lit(1))
     left = (

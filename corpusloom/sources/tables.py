@@ -3,23 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-SPLIT_BYTES = 128 << 20
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a Parquet table.
-
-    A table too small to give every core a split (a single row group, say) is
-    spread over the cores, since the text operators are bound by CPU. From one
-    split per core upwards the scan is left as it is, and nothing is shuffled.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.getContentSummary(jvm_path).getLength() < cores * SPLIT_BYTES:
-        # The always-true condition keeps filters above the exchange, on all cores.
-        df = df.repartition(cores).where(F.spark_partition_id() >= 0)
-    return df
+    """Scan a Parquet table; filters and column choices reach the files."""
+    return spark.read.parquet(path)
