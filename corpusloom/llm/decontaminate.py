@@ -270,6 +270,7 @@ def contamination(
     item_text: str = "text",
     window: int = WINDOW,
     least_share: int = 20,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """``(id, n_words, n_hit, item_ids, contaminated)``, one row per input row.
 
@@ -278,7 +279,9 @@ def contamination(
     ``least_share * n_hit >= n_words`` and something is hit. Texts or items
     without words (null, empty) hit nothing; so does an empty ``items``.
     """
-    scanned, hits = window_hits(docs, items, scratch, doc_id, doc_text, item_id, item_text, window)
+    scanned, hits = window_hits(
+        docs, items, scratch, doc_id, doc_text, item_id, item_text, window, rows_per_slice
+    )
     covered = F.aggregate(
         F.array_sort(F.collect_set(F.struct("at", "n"))),
         F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("end")),
