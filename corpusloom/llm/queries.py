@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, quality, secrets, warc
+from corpusloom.llm import decontaminate, near_dedup, quality, secrets, warc
 from corpusloom.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,8 +57,9 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{Scratch(spark).root}/warc"
-    warc.write_archive(warc.records(table(spark, sf_dir, "pages")), path)
+    scratch = Scratch(spark)
+    path = f"{scratch.root}/warc"
+    warc.write_archive(warc.records(table(spark, sf_dir, "pages"), scratch), path, compression="gzip")
     read = warc.read_archive(spark, path).where(F.col("record_type").isin("response", "revisit"))
     response = F.col("record_type") == "response"
     return read.select(
@@ -70,6 +71,18 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = near_dedup.NearConfig(width=3, percent=85, least_agreement=0.65)
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark), config)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_shingles",
+        "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -42,6 +42,7 @@ from pyspark.sql.datasource import (
 )
 
 from corpusloom.operators.skew import salted_join
+from corpusloom.scratch import Scratch
 
 FORMAT = "warc"
 LEAST_BYTES = 100
@@ -263,7 +264,7 @@ class WarcWriter(DataSourceWriter):
                     renames.append((f"{root}/_temporary/{name}", f"{root}/{name}"))
                 record = encode_record(row.asDict())
                 if self.gzip:
-                    pack = zlib.compressobj(6, zlib.DEFLATED, 31)
+                    pack = zlib.compressobj(3, zlib.DEFLATED, 31)
                     record = pack.compress(record) + pack.flush()
                 out.write(record)
                 size += len(record)
@@ -296,6 +297,7 @@ def register(spark: SparkSession) -> None:
 
 def records(
     pages: DataFrame,
+    scratch: Scratch,
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
@@ -308,23 +310,34 @@ def records(
     is the response and the others revisit it, without a payload. Null html is
     an empty payload. Rows that repeat the smallest id are responses too; pages
     without an id revisit one that has an id, or are responses if none has.
+
+    Equal payloads are found on ids and digests; a digest with very many pages
+    is split. The saved list of revisits then meets the pages by id: where
+    Spark measures it as small the payloads are not shuffled, else once.
     """
     flat = pages.select(
         F.col(id_col).alias("id"),
         F.col(url_col).cast("string").alias("target_uri"),
         F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload"),
     ).withColumn("digest", F.sha2("payload", 256))
-    digests = pages.select(
-        F.col(id_col).alias("id"), F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload")
-    ).where(F.octet_length("payload") >= least_bytes)
-    groups = (
-        digests.groupBy(F.sha2("payload", 256).alias("digest"))
+    digests = flat.where(F.octet_length("payload") >= least_bytes).select("id", "digest")
+    groups = scratch.save(
+        digests.groupBy("digest")
         .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 1)
+        .where(F.col("n") > 1),
+        "groups",
+    )
+    members = salted_join(digests, groups.select("digest", "first"), ["digest"], groups, F.col("id"), rows_per_slice)
+    revisits = scratch.save(
+        members.where(F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")))
+        .select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "first")
+        .distinct(),
+        "revisits",
+    )
+    met = flat.join(
+        revisits, flat["id"].eqNullSafe(revisits["_id"]) & (flat["digest"] == revisits["_digest"]), "left"
     )
-    spread = F.coalesce(F.col("id").cast("string"), F.col("target_uri"), F.lit(""))
-    met = salted_join(flat, groups.select("digest", "first"), ["digest"], groups, spread, rows_per_slice, "left")
-    revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
+    revisit = F.col("first").isNotNull()
     name = lambda c: F.when(c.isNotNull(), F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">")))
     return met.select(
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
