@@ -74,3 +74,61 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e
 SELECT doc_id, coalesce(n, 0) AS n_shingles, m AS component_id, doc_id = m AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS m FROM r GROUP BY a) USING (doc_id)
 """
+
+SQL["op5_line_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS site, text, string_split(text, chr(10)) AS l FROM documents),
+e AS (SELECT r, site, unnest(l) AS raw, generate_subscripts(l, 1) AS i FROM d WHERE text IS NOT NULL),
+t AS (SELECT r, site, raw, i, trim(translate(raw, chr(9) || chr(11) || chr(12) || chr(13), '    ')) AS t FROM e),
+c AS (SELECT site, t, count(DISTINCT r) AS n FROM t WHERE t <> '' GROUP BY ALL),
+p AS (SELECT site, count(*) AS pages FROM d GROUP BY site),
+b AS (SELECT site, t FROM c JOIN p USING (site) WHERE n >= 3 AND 100 * n > 10 * pages),
+k AS (SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE b.t IS NOT NULL) AS n_dropped,
+  coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (WHERE b.t IS NULL), '') AS text
+  FROM t LEFT JOIN b USING (site, t) GROUP BY r)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, k.text FROM d LEFT JOIN k USING (r)
+"""
+
+SQL["op6_license_scan"] = r"""
+WITH known(license, canon) AS (VALUES
+  ('all-rights-reserved', 'all rights reserved'), ('apache-2.0', 'licensed under the apache license version 2 0'),
+  ('cc-by-4.0', 'this work is licensed under a creative commons attribution 4 0 international license'),
+  ('cc-by-nc-4.0', 'licensed under cc by nc 4 0'), ('mit', 'released under the mit license'),
+  ('gpl-3.0', 'this work is licensed under the gnu general public license version 3')),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+u AS (SELECT r, 0 AS line, text AS u FROM d UNION ALL
+  SELECT r, i, l[i] FROM (SELECT r, string_split(text, chr(10)) AS l, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM d)
+  WHERE len(l) > 1),
+f AS (SELECT r, line, license FROM u JOIN known
+  ON trim(regexp_replace(replace(lower(u), 'licence', 'license'), '[^0-9a-z\x{80}-\x{10FFFF}]+', ' ', 'g')) = canon WHERE length(u) < 200),
+g AS (SELECT r, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, count(*) FILTER (WHERE line > 0) AS n_notices,
+  max(license) FILTER (WHERE line = 0) AS whole_text FROM f GROUP BY r)
+SELECT doc_id, coalesce(licenses, '') AS licenses, coalesce(n_notices, 0) AS n_notices, whole_text FROM d LEFT JOIN g USING (r)
+"""
+
+SQL["op7_mixing"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(source, '') AS s,
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS n FROM documents),
+t AS (SELECT s, sum(n)::BIGINT AS tokens FROM d GROUP BY s HAVING sum(n) > 0),
+tot AS (SELECT sum(tokens)::BIGINT AS total, count(*) AS k FROM t),
+bisect(lo, hi) AS (SELECT 0, 1000001 UNION ALL
+  SELECT CASE WHEN ok THEN mid ELSE lo END, CASE WHEN ok THEN hi ELSE mid END FROM (
+    SELECT lo, hi, mid, (SELECT ln(sum(pow(tokens / total::DOUBLE, mid / 1e6)))
+        - mid / 1e6 * sum(pow(tokens / total::DOUBLE, mid / 1e6) * ln(tokens / total::DOUBLE)) / sum(pow(tokens / total::DOUBLE, mid / 1e6))
+        >= 0.97 * ln(any_value(k)) FROM t, tot) AS ok
+    FROM (SELECT lo, hi, (lo + hi) // 2 AS mid FROM bisect WHERE hi - lo > 1))),
+ent AS (SELECT max(lo) AS a FROM bisect),
+repeats(lo, hi) AS (SELECT -1, 1000001 UNION ALL
+  SELECT CASE WHEN ok THEN mid ELSE lo END, CASE WHEN ok THEN hi ELSE mid END FROM (
+    SELECT lo, hi, mid, (SELECT max(pow(tokens / total::DOUBLE, mid / 1e6) / (tokens / total::DOUBLE)) / sum(pow(tokens / total::DOUBLE, mid / 1e6)) > 4.0
+      FROM t, tot) AS ok
+    FROM (SELECT lo, hi, (lo + hi) // 2 AS mid FROM repeats WHERE hi - lo > 1))),
+alpha AS (SELECT greatest((SELECT a FROM ent), least((SELECT max(lo) + 1 FROM repeats), 1000000)) / 1e6 AS a),
+p AS (SELECT s, tokens, pow(tokens / total::DOUBLE, a) AS p FROM t, tot, alpha),
+b AS (SELECT s, tokens, ((round(p / (SELECT sum(p) FROM p) * 1e12)::HUGEINT * total::HUGEINT + 500000000000) // 1000000000000)::BIGINT AS budget FROM p, tot),
+e AS (SELECT s, tokens, budget // tokens AS epochs, budget % tokens AS rest FROM b),
+x AS (SELECT doc_id, source, s, n, epochs, rest, unnest(generate_series(0, epochs)) AS epoch FROM d JOIN e USING (s)),
+y AS (SELECT *, md5('mix-1|' || s || '|' || epoch || '|' || coalesce(doc_id::VARCHAR, '')) AS order_key FROM x),
+z AS (SELECT *, sum(n) OVER (PARTITION BY s, epoch ORDER BY order_key RANGE UNBOUNDED PRECEDING) AS upto,
+  FROM y)
+SELECT doc_id, source, epoch, order_key FROM z WHERE epoch < epochs OR upto <= rest
+"""

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, near_dedup, quality, secrets, warc
+from corpusloom.llm import (
+    decontaminate,
+    extract,
+    licences,
+    lines,
+    mixing,
+    near_dedup,
+    quality,
+    secrets,
+    tokens_out,
+    warc,
+)
 from corpusloom.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract(table(spark, sf_dir, "pages"), Scratch(spark))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,6 +88,37 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.drop_site_lines(docs, Scratch(spark)).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licences.scan(docs, licences.known_digests(spark), Scratch(spark))
+    return found.select(
+        "doc_id",
+        F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda x: x["license"]))), ",").alias("licenses"),
+        F.size(F.filter("found", lambda x: x["line"] > 0)).cast("bigint").alias("n_notices"),
+        F.get(F.transform(F.filter("found", lambda x: x["line"] == 0), lambda x: x["license"]), F.lit(0)).alias("whole_text"),
+    )
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    drawn = mixing.mix(docs, Scratch(spark), epoch="epoch", key="order_key")
+    return drawn.select("doc_id", "source", "epoch", "order_key")
+
+
+@query
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    return tokens_out.materialise(table(spark, sf_dir, "documents"), scratch, f"{scratch.root}/shards")
+
+
 @query
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = near_dedup.NearConfig(width=3, percent=85, least_agreement=0.65)
