@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.scratch import Scratch
 
-# Fixed value: how a byte-level vocabulary of this kind cuts text before merging.
-PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Fixed value: how a byte-level vocabulary of this kind cuts text before merging,
+# with possessive repeats, which cut alike and don't backtrack.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
 
 @dataclass(frozen=True)
@@ -106,7 +107,11 @@ def _totals(docs: DataFrame, text_col: str, config: TokenConfig) -> dict[int, in
     """Tokens of each partition: one row per partition comes to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(len(ids) for batch in batches for ids in _ids(batch.column(0), config))
+        known, n = encoder(config), 0
+        for batch in batches:
+            for text in batch.column(0):
+                if body := text.as_py():
+                    n += len(known.encode_ordinary(body)) + 1
         yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n]})
 
     rows = docs.select(text_col).mapInArrow(count, "part bigint, n bigint").collect()
