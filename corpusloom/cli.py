@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.pii import ACTIONS
 from corpusloom.operators import sft, tokens
 from corpusloom.operators.fuzzy import FuzzyConfig
+from corpusloom.operators.ids import ensure_id
 from corpusloom.operators.language import ngram_profiles, profile_scorer
 from corpusloom.operators.sampling import split_by_weight
 from corpusloom.operators.semantic import SemanticConfig
@@ -23,9 +24,9 @@ REWARD_KEY_VARIABLE = "REWARD_API_KEY"
 
 
 def run_curate(spark: SparkSession, args: argparse.Namespace) -> None:
-    has_id = documents.has_field(spark, args.input_dir, "id")
-    schema = documents.document_schema(args.text_field, "id" if has_id else None, args.extra_fields)
-    df = documents.well_formed(documents.read_jsonl(spark, args.input_dir, schema))
+    schema = documents.document_schema(args.text_field, "id", args.extra_fields)
+    scratch = Scratch(spark)
+    df = ensure_id(documents.well_formed(documents.read_jsonl(spark, args.input_dir, schema)), scratch, fill=True)
     config = CurationConfig(
         **{
             name: getattr(args, name)
@@ -45,7 +46,6 @@ def run_curate(spark: SparkSession, args: argparse.Namespace) -> None:
         labelled = spark.read.schema("text string, lang string").json(args.lid_samples)
         scorer = profile_scorer(ngram_profiles(labelled))
     key = pii_key(spark, args.pii_key_file) if args.pii_key_file else None
-    scratch = Scratch(spark)
     curate(df, config, scratch, Models(language_scorer=scorer, pii_key=key), args.output_dir)
     scratch.close()
 
@@ -76,13 +76,15 @@ def run_qa(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_tokenize(spark: SparkSession, args: argparse.Namespace) -> None:
     schema = documents.document_schema(args.text_field, "id")
-    df = documents.well_formed(documents.read_jsonl(spark, args.input_dir, schema))
+    scratch = Scratch(spark)
+    df = ensure_id(documents.well_formed(documents.read_jsonl(spark, args.input_dir, schema)), scratch, fill=True)
     tokenizer = tokens.pretrained_tokenizer(spark, args.tokenizer)
     out = tokens.tokenize(df, tokenizer, args.text_field, eod_id=args.eod_id).drop(args.text_field)
     documents.write_tokens(split_by_weight(out, args.split), args.output_dir)
     written = spark.read.parquet(args.output_dir)
     steps = tokens.epoch_steps(written, args.seq_length, args.global_batch_size)
     tokens.total_steps(steps).show()
+    scratch.close()
 
 
 def parser() -> argparse.ArgumentParser:

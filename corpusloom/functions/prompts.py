@@ -34,11 +34,14 @@ def render_prompt(
 
 
 def render_chat(turns: Column) -> Column:
-    """One chat string from ``array<struct(turn, role, text)>`` in turn order."""
+    """One chat string from ``array<struct(turn, role, text)>`` in turn order.
+
+    A turn without a role or text keeps its place, with nothing in that part.
+    """
     before, after, end = TURN_PARTS
     parts = F.transform(
         F.array_sort(turns),
-        lambda t: F.concat(F.lit(before), t["role"], F.lit(after), t["text"], F.lit(end)),
+        lambda t: F.concat(F.lit(before), F.coalesce(t["role"], F.lit("")), F.lit(after), F.coalesce(t["text"], F.lit("")), F.lit(end)),
     )
     return F.concat(F.lit(CHAT_START), F.array_join(parts, ""))
 

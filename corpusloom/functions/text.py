@@ -39,6 +39,12 @@ def bucket(key: Column, modulus: int) -> Column:
     return F.conv(digits, 16, 10).cast("bigint") % F.lit(modulus)
 
 
+def fraction(key: Column) -> Column:
+    """A stable number in ``[0, 1)`` from the first 52 bits of the key's md5."""
+    digits = F.substring(F.md5(key.cast("string").cast("binary")), 1, 13)
+    return F.conv(digits, 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 52))
+
+
 def digest(text: Column) -> Column:
     """128-bit content digest as 16 bytes; half the shuffle width of the hex form."""
     return F.unhex(F.md5(text.cast("binary")))

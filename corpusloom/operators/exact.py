@@ -9,8 +9,6 @@ from corpusloom.functions.text import digest
 from corpusloom.operators.skew import ROWS_PER_SLICE, salted_join
 from corpusloom.scratch import Scratch
 
-MAX_BROADCAST_ROWS = 2_000_000
-
 
 def exact_duplicates(
     df: DataFrame,
@@ -46,20 +44,14 @@ def exact_duplicates(
 
 
 def remove_duplicates(
-    df: DataFrame,
-    duplicates: DataFrame,
-    scratch: Scratch,
-    id_col: str = "id",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    df: DataFrame, duplicates: DataFrame, scratch: Scratch, id_col: str = "id"
 ) -> DataFrame:
     """The documents whose id is not listed in ``duplicates``.
 
-    A list of checked size goes to the executors, and the texts stay where
-    they are; a longer one is joined by id, which is unique on both sides.
+    The list is written, so Spark knows its bytes: below the broadcast threshold
+    the texts stay where they are, beyond it both sides are joined by id.
     """
     listed = scratch.save(duplicates.select(id_col), "duplicates")
-    if listed.count() <= max_broadcast_rows:
-        listed = F.broadcast(listed)
     return df.join(listed, id_col, "left_anti")
 
 

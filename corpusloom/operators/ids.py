@@ -24,9 +24,18 @@ def ensure_id(
     id_col: str = "id",
     prefix: str = "id",
     order_by: Sequence[str] = (),
+    fill: bool = False,
 ) -> DataFrame:
-    """Add an id column where there is none; otherwise return ``df`` unchanged."""
+    """Add an id column where there is none; otherwise return ``df`` unchanged.
+
+    With ``fill``, rows whose id is null get one by their ordinal among all rows;
+    take a ``prefix`` that given ids of the same form don't have.
+    """
     if id_col in df.columns:
-        return df
+        if not fill:
+            return df
+        numbered = ordinals(df, scratch, order_by, name="_ordinal")
+        given = F.coalesce(F.col(id_col), format_id(F.col("_ordinal"), prefix))
+        return numbered.withColumn(id_col, given).select(*df.columns)
     numbered = ordinals(df, scratch, order_by, name="_ordinal")
     return numbered.select(format_id(F.col("_ordinal"), prefix).alias(id_col), *df.columns)

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import bucket
+from corpusloom.functions.text import bucket, fraction
 
 SPLITS = ("train", "validation", "test")
 RATE_STEPS = 1_000_000
@@ -29,9 +29,9 @@ def split_by_weight(
     id_col: str = "id",
     names: Sequence[str] = SPLITS,
 ) -> DataFrame:
-    """Add ``split``, in proportion to the weights."""
+    """Add ``split``, in proportion to the weights; a null id counts as an empty one."""
     values = parse_weights(weights)
-    slot = bucket(F.col(id_col), sum(values))
+    slot = bucket(F.coalesce(F.col(id_col).cast("string"), F.lit("")), sum(values))
     split: Column | None = None
     edge = 0
     for name, weight in zip(names, values, strict=True):
@@ -44,7 +44,7 @@ def split_by_weight(
 def blend_rates(
     df: DataFrame, weights: Mapping[str, float] | Sequence[str], source_col: str
 ) -> DataFrame:
-    """``(source, rate)`` in parts of ``RATE_STEPS``: the share of each source to keep.
+    """``(source, rate)``: the share of each source to keep, not rounded.
 
     The scarcest source, relative to its weight, is kept whole. A plain list of
     sources weighs them equally. Sources without a weight are not in the blend.
@@ -58,8 +58,7 @@ def blend_rates(
     counts = df.groupBy(source_col).agg(F.count(F.lit(1)).alias("n"))
     wanted = counts.join(table, source_col).withColumn("per_row", F.col("weight") / F.col("n"))
     most = wanted.agg(F.max("per_row").alias("most"))
-    rate = F.floor(F.col("per_row") / most.scalar() * RATE_STEPS)
-    return wanted.select(source_col, rate.cast("bigint").alias("rate"))
+    return wanted.select(source_col, (F.col("per_row") / most.scalar()).alias("rate"))
 
 
 def blend_sources(
@@ -74,7 +73,7 @@ def blend_sources(
     broadcast, and a source with most of the rows is not gathered anywhere.
     """
     rates = blend_rates(df, weights, source_col)
-    kept = df.join(F.broadcast(rates), source_col).where(bucket(F.col(id_col), RATE_STEPS) < F.col("rate"))
+    kept = df.join(F.broadcast(rates), source_col).where(fraction(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) < F.col("rate"))
     return kept.select(*df.columns)
 
 

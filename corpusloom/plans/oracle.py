@@ -474,11 +474,11 @@ SQL["pack_by_offset"] = with_(
 )
 _WEIGHTS = ", ".join(f"({quoted(s)}, {w}::double)" for s, w in c.BLEND.items())
 SQL["blend_sources"] = with_(
-    f"""rates AS (SELECT source, floor(per_row / max(per_row) OVER () * 1000000) AS rate FROM (
+    f"""rates AS (SELECT source, per_row / max(per_row) OVER () AS rate FROM (
           SELECT source, any_value(weight) / count(*) AS per_row
           FROM documents JOIN (VALUES {_WEIGHTS}) w(source, weight) USING (source) GROUP BY source))""",
     select=f"""SELECT doc_id, source FROM documents JOIN rates USING (source)
-               WHERE {bucket('doc_id', 1_000_000)} < rate""",
+               WHERE ('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE < rate""",
 )
 SQL["sample_preview"] = f"""
 SELECT doc_id FROM documents WHERE {bucket('doc_id', 1_000_000)} < {round(c.PREVIEW * 1_000_000)}"""

@@ -69,12 +69,6 @@ def document_schema(
     return T.StructType.fromDDL(", ".join([*parts, f"{text_field} string", *([extra] if extra else [])]))
 
 
-def has_field(spark: SparkSession, paths: str | Sequence[str], field: str) -> bool:
-    """Whether the first lines of the input carry ``field``: one small read, no inference pass."""
-    lines = spark.read.text(paths).where(F.trim("value") != "").limit(20)
-    return bool(lines.where(F.get_json_object("value", f"$.{field}").isNotNull()).head(1))
-
-
 def read_splits(spark: SparkSession, root: str, schema: str | T.StructType = SFT_SCHEMA) -> DataFrame:
     """Files named by split (``train``/``training``, ``validation``, ``test``) as one dataset."""
     df = well_formed(read_jsonl(spark, root, schema))

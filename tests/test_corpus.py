@@ -110,6 +110,23 @@ def test_blend(spark):
     assert counts["b"] == 2000 and abs(counts["a"] - 6000) < 250
 
 
+def test_blend_rate_of_a_very_common_source_is_not_rounded_away(spark):
+    df = spark.range(3_000_001).select("id", F.when(F.col("id") > 0, "a").otherwise("b").alias("file_name"))
+    rates = {r.file_name: r.rate for r in sampling.blend_rates(df, ["a", "b"], "file_name").collect()}
+    assert rates == {"a": 1 / 3_000_000, "b": 1.0}
+
+
+def test_null_ids_get_a_split(spark):
+    df = spark.createDataFrame([(None,), ("x",)], "id string")
+    assert {r.split for r in sampling.split_by_weight(df, "1,1,1").collect()} <= set(sampling.SPLITS)
+
+
+def test_a_turn_without_text_keeps_its_place(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", None)], "conv_id int, turn int, role string, text string")
+    (row,) = sft.render_conversations(turns).collect()
+    assert row.conversation.endswith("<|start_header_id|>assistant<|end_header_id|>\n\n<|eot_id|>")
+
+
 def test_preview_is_a_growing_subset(spark):
     part = lambda f: {r.id for r in sampling.sample_preview(spark.range(1000), f).collect()}
     assert part(0.1) < part(0.3) < part(1.0) == set(range(1000))

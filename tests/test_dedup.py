@@ -47,8 +47,12 @@ def test_exact_dedup_keeps_null_texts_and_repeats_to_nothing(spark, scratch):
 
 def test_remove_duplicates_beyond_the_broadcast_limit(spark, scratch):
     df, dups = spark.range(100), spark.range(0, 100, 3)
-    kept = exact.remove_duplicates(df, dups, scratch, max_broadcast_rows=5)
-    assert ids(kept) == [i for i in range(100) if i % 3]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert ids(exact.remove_duplicates(df, dups, scratch)) == [i for i in range(100) if i % 3]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
 def brute_signature(text, config=CONFIG):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import fuzzy, sft
+from corpusloom.operators.ids import ensure_id
 from corpusloom.operators.language import ngram_profiles, profile_scorer
 from corpusloom.plans import catalog, oracle
 from corpusloom.plans.config import CurationConfig, from_mapping, from_yaml
@@ -28,8 +29,19 @@ def test_jsonl_scan_keeps_bad_lines_apart(spark, tmp_path):
         ("one", "a.jsonl"), ("three", "b.jsonl"), ("two", "a.jsonl"),
     ]
     assert [tuple(r) for r in documents.malformed(spark, str(tmp_path), schema).collect()] == [("a.jsonl", 1)]
-    assert not documents.has_field(spark, str(tmp_path), "id")
-    assert documents.has_field(spark, str(tmp_path), "text")
+
+
+def test_late_ids_are_kept_and_missing_ones_filled(spark, scratch, tmp_path):
+    lines = [{"text": f"t{i}"} for i in range(30)] + [{"id": f"x{i}", "text": f"u{i}"} for i in range(10)]
+    write_lines(tmp_path / "a.jsonl", lines)
+    schema = documents.document_schema(id_field="id")
+    df = documents.well_formed(documents.read_jsonl(spark, str(tmp_path), schema))
+    out = ensure_id(df, scratch, fill=True)
+    rows = out.collect()
+    assert out.columns == df.columns and len({r.id for r in rows}) == 40
+    assert {r.id for r in rows if r.text.startswith("u")} == {f"x{i}" for i in range(10)}
+    assert all(r.id.startswith("id-00000000") for r in rows if r.text.startswith("t"))
+    assert ensure_id(df.limit(0), scratch, fill=True).count() == 0
 
 
 def test_several_paths_make_one_dataset(spark, tmp_path):
