@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.scratch import Scratch
+
 #: White space between words: `[\x20\x09-\x0D]+`.
 BLANKS = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -53,3 +55,32 @@ class WordHashes(dict):
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
+
+
+def positioned(
+    df: DataFrame, scratch: Scratch, group: str, order_by: Sequence[str], position: str = "pos", size: str = "size"
+) -> DataFrame:
+    """``df`` with each row's place in its group, from 0, and the group's size.
+
+    Rows are dealt by ranges of ``group`` and ``order_by``, so a group with a third
+    of all rows spreads over a third of the tasks. Each numbers its own stretch; a
+    table with one row per stretch carries the counts of the stretches before it.
+    Nulls sort first. Rows equal in all these columns may take each other's places.
+    """
+    keys = [group, *order_by]
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = placed.withColumns({"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id()})
+    placed = scratch.save(placed, "positioned")
+    stretches = placed.groupBy(F.col(group).alias("_group"), F.col("_part").alias("_stretch")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")
+    )
+    whole = Window.partitionBy("_group")
+    before = whole.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = stretches.select(
+        "_group",
+        "_stretch",
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_n").over(whole).alias(size),
+    )
+    met = placed.join(stretches, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_stretch")))
+    return met.withColumn(position, F.col("_place") + F.col("_shift")).select(*df.columns, position, size)

@@ -132,3 +132,47 @@ z AS (SELECT *, sum(n) OVER (PARTITION BY s, epoch ORDER BY order_key RANGE UNBO
   FROM y)
 SELECT doc_id, source, epoch, order_key FROM z WHERE epoch < epochs OR upto <= rest
 """
+
+#: CRC-32 of a decimal number, bit by bit: a byte is mixed in, then eight shifts.
+_CRC32 = r"""(xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    list_transform(string_split({0}::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda x: [x, -1::BIGINT, -1::BIGINT, -1::BIGINT, -1::BIGINT, -1::BIGINT, -1::BIGINT, -1::BIGINT, -1::BIGINT]))),
+    lambda c, s: CASE WHEN s >= 0 THEN xor(c, s) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END),
+    4294967295::BIGINT))"""
+
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_HEAD = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL["op12_merkle_manifest"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, source, row_number() OVER () AS r, {_CRC32.format("doc_id")} % 5 = 0 AS chosen,
+    sha256({_HEAD} || {_FIELD.format("text")}) AS leaf, sha256({_HEAD} || {_FIELD.format(_LOWER)}) AS changed FROM documents),
+o AS (SELECT r, doc_id, leaf, CASE WHEN chosen THEN changed ELSE leaf END AS claim,
+    CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS s FROM d),
+p AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf, claim) - 1 AS i FROM o),
+t AS (SELECT s, 0 AS lvl, i, leaf AS h FROM p UNION ALL
+  SELECT s, any_value(lvl) + 1, i // 16 AS i, sha256(string_agg(h, '' ORDER BY i)) FROM
+    (SELECT *, count(*) OVER (PARTITION BY s) AS n FROM t) WHERE n > 1 GROUP BY s, i // 16),
+sub AS (SELECT s, arg_max(h, lvl) AS subroot, max(lvl) AS top FROM t GROUP BY s),
+g AS (SELECT s, row_number() OVER (ORDER BY encode(s)) - 1 AS j, subroot FROM sub),
+u AS (SELECT 0 AS lvl, j AS i, subroot AS h FROM g UNION ALL
+  SELECT any_value(lvl) + 1, i // 16 AS i, sha256(string_agg(h, '' ORDER BY i)) FROM
+    (SELECT *, count(*) OVER () AS n FROM u) WHERE n > 1 GROUP BY i // 16),
+rt AS (SELECT arg_max(h, lvl) AS root, max(lvl) AS top FROM u),
+a AS (SELECT r, lvl, i FROM (SELECT r, s, unnest(generate_series(0, top - 1)) AS lvl, p.i // pow(16, unnest(generate_series(0, top - 1)))::BIGINT AS i
+    FROM p JOIN sub USING (s))),
+low AS (SELECT a.r, a.lvl, a.i % 16 AS place, string_agg(t.h, '' ORDER BY t.i) FILTER (WHERE t.i <> a.i) AS others
+  FROM a JOIN p USING (r) JOIN t ON t.s = p.s AND t.lvl = a.lvl AND t.i // 16 = a.i // 16 GROUP BY a.r, a.lvl, a.i),
+ga AS (SELECT s, lvl, i FROM (SELECT s, unnest(generate_series(0, top - 1)) AS lvl, j // pow(16, unnest(generate_series(0, top - 1)))::BIGINT AS i FROM g, rt)),
+high AS (SELECT ga.s, ga.lvl, ga.i % 16 AS place, string_agg(u.h, '' ORDER BY u.i) FILTER (WHERE u.i <> ga.i) AS others
+  FROM ga JOIN u ON u.lvl = ga.lvl AND u.i // 16 = ga.i // 16 GROUP BY ga.s, ga.lvl, ga.i),
+w AS (SELECT r, lvl AS k, place, coalesce(others, '') AS others FROM low UNION ALL
+  SELECT r, 1000 + lvl, place, coalesce(others, '') FROM p JOIN high USING (s)),
+ws AS (SELECT r, list(place ORDER BY k) AS place, list(others ORDER BY k) AS others FROM w GROUP BY r),
+f AS (SELECT r, 0 AS k, claim AS h FROM p UNION ALL
+  SELECT r, k + 1, sha256(left(others[k + 1], 64 * place[k + 1]) || h || substr(others[k + 1], 64 * place[k + 1] + 1)) FROM f JOIN ws USING (r) WHERE k < len(place)),
+z AS (SELECT r, arg_max(h, k) AS folded FROM f GROUP BY r)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(others, ''), '')) AS proof_sha256,
+  folded AS folded_root, folded = root AS verified
+FROM p JOIN sub USING (s) CROSS JOIN rt JOIN z USING (r) LEFT JOIN ws USING (r)
+"""

@@ -12,6 +12,7 @@ from corpusloom.llm import (
     extract,
     licences,
     lines,
+    merkle,
     mixing,
     near_dedup,
     quality,
@@ -19,6 +20,7 @@ from corpusloom.llm import (
     tokens_out,
     warc,
 )
+from corpusloom.llm.common import ascii_lower
 from corpusloom.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,3 +147,16 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.span_list(base), 256).alias("base_sha256"),
         secrets.span_list(F.col("s")).alias("spans"),
     )
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    leaf = merkle.leaf_digest(*[F.col(c) for c in fields], F.col("text"))
+    tampered = merkle.leaf_digest(*[F.col(c) for c in fields], ascii_lower(F.col("text")))
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = merkle.manifest(docs, Scratch(spark), leaf, F.when(chosen, tampered))
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
