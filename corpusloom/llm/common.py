@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -58,18 +58,23 @@ class WordHashes(dict):
 
 
 def positioned(
-    df: DataFrame, scratch: Scratch, group: str, order_by: Sequence[str], position: str = "pos", size: str = "size"
+    df: DataFrame,
+    scratch: Scratch,
+    group: str,
+    order_by: Sequence[str],
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``df`` with each row's place in its group, from 0, and the group's size.
+    """The ``keep`` columns with each row's place ``pos`` in its group, from 0, and the group's ``size``.
 
     Rows are dealt by ranges of ``group`` and ``order_by``, so a group with a third
     of all rows spreads over a third of the tasks. Each numbers its own stretch; a
     table with one row per stretch carries the counts of the stretches before it.
     Nulls sort first. Rows equal in all these columns may take each other's places.
+    ``keep`` (all, if not given) has ``group``; what only orders isn't written.
     """
-    keys = [group, *order_by]
+    keys, keep = [group, *order_by], list(keep or df.columns)
     placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    placed = placed.withColumns({"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id()})
+    placed = placed.select(*keep, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place"))
     placed = scratch.save(placed, "positioned")
     stretches = placed.groupBy(F.col(group).alias("_group"), F.col("_part").alias("_stretch")).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")
@@ -80,7 +85,41 @@ def positioned(
         "_group",
         "_stretch",
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
-        F.sum("_n").over(whole).alias(size),
+        F.sum("_n").over(whole).alias("size"),
     )
     met = placed.join(stretches, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_stretch")))
-    return met.withColumn(position, F.col("_place") + F.col("_shift")).select(*df.columns, position, size)
+    return met.withColumn("pos", F.col("_place") + F.col("_shift")).select(*keep, "pos", "size")
+
+
+def running(
+    df: DataFrame,
+    scratch: Scratch,
+    group: str,
+    order: str,
+    values: dict[str, str],
+    combine: Callable[[str], Column],
+    join: Callable[[Column, Column], Column],
+) -> DataFrame:
+    """``df`` with each value combined over the rows before it in its group, by ``order``.
+
+    ``values`` names the new column of each; 0 where nothing comes before. ``combine`` is the
+    aggregate (sum, exclusive or) and ``join`` the same for two columns. Neither
+    ``group`` nor ``order`` is null, and no group has an ``order`` twice. As in
+    ``positioned``, a large group is several stretches.
+    """
+    placed = df.repartitionByRange(group, order).sortWithinPartitions(group, order)
+    placed = scratch.save(placed.withColumn("_part", F.spark_partition_id()), "running")
+    none, past = F.lit(0).cast("bigint"), Window.unboundedPreceding
+    earlier = Window.partitionBy("_group").orderBy("_stretch").rowsBetween(past, -1)
+    stretches = placed.groupBy(F.col(group).alias("_group"), F.col("_part").alias("_stretch")).agg(
+        *[combine(c).alias(c) for c in values]
+    )
+    stretches = stretches.select(
+        "_group", "_stretch", *[F.coalesce(combine(c).over(earlier), none).alias(f"_{c}") for c in values]
+    )
+    within = Window.partitionBy(group, "_part").orderBy(order).rowsBetween(past, -1)
+    local = placed.withColumns({v: F.coalesce(combine(c).over(within), none) for c, v in values.items()})
+    met = local.join(stretches, (F.col(group) == F.col("_group")) & (F.col("_part") == F.col("_stretch")))
+    return met.withColumns({v: join(F.col(v), F.col(f"_{c}")) for c, v in values.items()}).select(
+        *df.columns, *values.values()
+    )

@@ -176,3 +176,26 @@ SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(others, ''),
   folded AS folded_root, folded = root AS verified
 FROM p JOIN sub USING (s) CROSS JOIN rt JOIN z USING (r) LEFT JOIN ws USING (r)
 """
+
+SQL["op13_prefix_trie"] = rf"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+cs AS (SELECT c, c - c % 20 AS base, {_CRC32.format("c")} % 4 AS h FROM (SELECT DISTINCT c FROM t)),
+r AS (SELECT cs.c, 0 AS own, t.i, role, text FROM cs JOIN t ON t.c = cs.base AND t.i < h
+  UNION ALL SELECT cs.c, 1, t.i, role, text FROM cs JOIN t ON t.c = cs.c AND t.i >= h),
+p AS (SELECT c, row_number() OVER w AS d, len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
+    sha256(string_agg(sha256(role) || sha256(text), '') OVER w) AS k FROM r WINDOW w AS (PARTITION BY c ORDER BY own, i)),
+a AS (SELECT c, d, k, words FROM p UNION ALL SELECT c, 0, '', 0 FROM cs),
+n AS (SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved FROM a GROUP BY d, k),
+q AS (SELECT n.*, m.conv_id AS parent_conv_id, x.k AS parent FROM n LEFT JOIN a x ON x.c = n.conv_id AND x.d = n.d - 1
+  LEFT JOIN n m ON m.d = x.d AND m.k = x.k),
+ch AS (SELECT d - 1 AS d, parent AS k, count(*) AS n_children FROM q WHERE d > 0 GROUP BY ALL),
+s AS (SELECT a.d, a.k, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM n LEFT JOIN ch USING (d, k) JOIN a ON a.c = n.conv_id AND a.d <= n.d GROUP BY a.d, a.k),
+e AS (SELECT d, k, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+  FROM (SELECT c, max(d) AS d, arg_max(k, d) AS k FROM a GROUP BY c) GROUP BY d, k)
+SELECT conv_id, d::BIGINT AS depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+  sha256(coalesce(ids, '')) AS ends_sha256
+FROM q JOIN s USING (d, k) LEFT JOIN ch USING (d, k) LEFT JOIN e USING (d, k)
+"""

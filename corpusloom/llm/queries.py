@@ -15,6 +15,7 @@ from corpusloom.llm import (
     merkle,
     mixing,
     near_dedup,
+    prefix_trie,
     quality,
     secrets,
     tokens_out,
@@ -160,3 +161,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
     )
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    turns = prefix_trie.read_turns(table(spark, sf_dir, "conversations"), scratch)
+    opening = F.crc32(F.col("conv").cast("string").cast("binary")) % 4
+    return prefix_trie.trie(*prefix_trie.with_shared_openings(turns, scratch, opening), scratch)
