@@ -7,11 +7,13 @@ from collections.abc import Callable, Sequence
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from corpusloom.scratch import Scratch
 
 #: White space between words: `[\x20\x09-\x0D]+`.
 BLANKS = r"[\x20\x09-\x0D]+"
+KEY_CHARS = 16
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -63,6 +65,7 @@ def positioned(
     group: str,
     order_by: Sequence[str],
     keep: Sequence[str] | None = None,
+    dealt: int | None = None,
 ) -> DataFrame:
     """The ``keep`` columns with each row's place ``pos`` in its group, from 0, and the group's ``size``.
 
@@ -71,9 +74,16 @@ def positioned(
     table with one row per stretch carries the counts of the stretches before it.
     Nulls sort first. Rows equal in all these columns may take each other's places.
     ``keep`` (all, if not given) has ``group``; what only orders isn't written.
+
+    Spark samples the keys that deal rows on the driver, so these are short: the
+    first ``dealt`` columns of ``order_by``, the last of them, if it is text, by its
+    first characters, which sort as the whole does.
     """
     keys, keep = [group, *order_by], list(keep or df.columns)
-    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    last = keys[: 1 + (dealt or len(order_by))][-1]
+    short = F.substring(last, 1, KEY_CHARS) if isinstance(df.schema[last].dataType, StringType) else F.col(last)
+    ranges = [*keys[: keys.index(last)], short]
+    placed = df.repartitionByRange(*ranges).sortWithinPartitions(*keys)
     placed = placed.select(*keep, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place"))
     placed = scratch.save(placed, "positioned")
     stretches = placed.groupBy(F.col(group).alias("_group"), F.col("_part").alias("_stretch")).agg(

@@ -280,7 +280,7 @@ def manifest(
         leaf.alias("digest"),
         (F.lit(None) if claim is None else claim).cast("string").alias("claim"),
     )
-    placed = scratch.save(positioned(rows, scratch, "tree", ["id", "digest", "claim"]), "leaves")
+    placed = scratch.save(positioned(rows, scratch, "tree", ["id", "digest", "claim"], dealt=2), "leaves")
     grown = grow(placed.select("tree", "pos", "size", "digest"), scratch)
     groups = grown.roots.select(F.lit("all").alias("whole"), F.col("tree").alias("name"), "digest")
     groups = scratch.save(positioned(groups, scratch, "whole", ["name"]), "groups")

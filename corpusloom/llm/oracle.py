@@ -199,3 +199,17 @@ SELECT conv_id, d::BIGINT AS depth, parent_conv_id, n_convs, coalesce(n_children
   sha256(coalesce(ids, '')) AS ends_sha256
 FROM q JOIN s USING (d, k) LEFT JOIN ch USING (d, k) LEFT JOIN e USING (d, k)
 """
+
+SQL["op11_substring_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (
+  SELECT r, doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM d WHERE len(w) >= 13)),
+m AS (SELECT g, min(doc_id) AS first FROM g GROUP BY g),
+h AS (SELECT r, i FROM g JOIN m USING (g) WHERE doc_id > first),
+x AS (SELECT DISTINCT r, i + j AS i FROM (SELECT r, i, unnest(generate_series(0, 12)) AS j FROM h)),
+k AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS kept, count(*) AS n FROM (
+  SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d) a ANTI JOIN x USING (r, i) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""

@@ -18,6 +18,7 @@ from corpusloom.llm import (
     prefix_trie,
     quality,
     secrets,
+    substrings,
     tokens_out,
     warc,
 )
@@ -150,6 +151,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.drop_repeated_passages(table(spark, sf_dir, "documents"), Scratch(spark))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
