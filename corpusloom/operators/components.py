@@ -46,13 +46,14 @@ def _state(edges: DataFrame) -> tuple:
 def connected_components(
     edges: DataFrame,
     scratch: Scratch,
-    max_rounds: int = 50,
+    max_rounds: int | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """``(id, component)`` of every node of ``edges(src, dst)``; component = smallest id.
 
     Each round writes its edges to shared storage, so the lineage stays short
-    and a lost executor costs one round. Raises if ``max_rounds`` is reached.
+    and a lost executor costs one round. The number of rounds grows with
+    the logarithm of the longest path; ``max_rounds``, if given, raises beyond it.
     """
     current = scratch.save(
         edges.where(F.col("src") != F.col("dst"))
@@ -61,17 +62,17 @@ def connected_components(
         "edges",
     )
     state = _state(current)
-    for _ in range(max_rounds):
+    before, rounds = None, 0
+    while state != before:
+        if rounds == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        rounds += 1
         # Salted joins read their input twice: write between the two halves.
         large = scratch.save(_large_star(current, rows_per_slice), "large")
         following = scratch.save(_small_star(large, rows_per_slice), "edges")
         scratch.drop(large)
         scratch.drop(current)
         current, before, state = following, state, _state(following)
-        if state == before:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     members = current.select(F.col("u").alias("id"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return members.unionByName(roots)

@@ -18,8 +18,8 @@ from corpusloom.scratch import Scratch
 class FuzzyConfig:
     """Field names are those of the YAML file.
 
-    ``buckets_per_shuffle`` is accepted and has no effect: the bucket shuffle
-    spills to disk, so it needs no division by band.
+    ``buckets_per_shuffle`` bands are grouped at a time: fewer take less room on disk
+    at once and more passes. Results are the same.
     """
 
     seed: int = 42
@@ -27,7 +27,7 @@ class FuzzyConfig:
     num_buckets: int = 20
     hashes_per_bucket: int = 13
     use_64_bit_hash: bool = False
-    buckets_per_shuffle: int = 1
+    buckets_per_shuffle: int = 20
     false_positive_check: bool = False
     num_anchors: int = 2
     jaccard_threshold: float = 0.8
@@ -73,6 +73,25 @@ def candidate_edges(
     there are ``num_anchors``, and edges below the Jaccard threshold go.
     """
     rows = scratch.save(lsh_bands(df, config, id_col, text_field), "bands")
+    if config.buckets_per_shuffle < 1:
+        raise ValueError("buckets_per_shuffle must be at least 1")
+    edges = None
+    for first in range(0, config.num_buckets, config.buckets_per_shuffle):
+        some = rows
+        if config.buckets_per_shuffle < config.num_buckets:
+            some = rows.where(F.col("band").between(first, first + config.buckets_per_shuffle - 1))
+        for linked in _bucket_edges(some, config, scratch, id_col, rows_per_slice):
+            edges = linked if edges is None else edges.unionByName(linked)
+    edges = edges.select("src", "dst").distinct()
+    if config.false_positive_check:
+        edges = verified_edges(edges, df, config, scratch, id_col, text_field, rows_per_slice)
+    return edges
+
+
+def _bucket_edges(
+    rows: DataFrame, config: FuzzyConfig, scratch: Scratch, id_col: str, rows_per_slice: int
+) -> list[DataFrame]:
+    """The links of ``(id, band, bucket)`` rows to the anchors of their buckets, one table per anchor."""
     key = ["band", "bucket"]
     buckets = (
         rows.groupBy(*key)
@@ -81,24 +100,20 @@ def candidate_edges(
     )
     # Saved at each step: few buckets have two members, and Spark joins a table
     # it knows to be small without shuffling the bands again.
-    anchors = config.num_anchors if config.false_positive_check else 1
-    edges = None
-    for _ in range(anchors):
+    edges = []
+    for _ in range(config.num_anchors if config.false_positive_check else 1):
         buckets = scratch.save(buckets, "buckets")
         later = salted_join(
             rows, buckets.select(*key, "src"), key, buckets, F.col(id_col), rows_per_slice
         ).where(F.col(id_col) > F.col("src"))
         later = scratch.save(later.select(*key, "src", F.col(id_col).alias("dst")), "linked")
-        edges = later if edges is None else edges.unionByName(later)
+        edges.append(later)
         # The next anchor of a bucket is its smallest id above the last one.
         buckets = (
             later.groupBy(*key)
             .agg(F.min("dst").alias("src"), F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > 1)
         )
-    edges = edges.select("src", "dst").distinct()
-    if config.false_positive_check:
-        edges = verified_edges(edges, df, config, scratch, id_col, text_field, rows_per_slice)
     return edges
 
 

@@ -5,11 +5,14 @@ earlier-ranked one exceeds ``1 - eps``. Comparing all pairs of a cluster that
 holds a third of the data cannot finish, so the search is cut down exactly:
 
 * equal vectors become one, the first in rank;
-* two vectors at most an angle ``a`` apart differ by at most ``a`` in their
-  angle to the centroid, so only neighbouring rings of width ``a`` meet;
 * an item close to the first-ranked item of its sign-hash cell is decided there
   and then, which takes in large groups of near copies at linear cost;
-* what is left is compared block by block, ``BLOCK`` x ``BLOCK`` to a task.
+* a cluster too large for one block is indexed by up to ``PIVOTS`` pivots, directions
+  along which it is widest. An item lives in one cell, the tuple of its bands along
+  them. Vectors with a cosine above the floor lie within a fixed distance, and so do
+  their projections, so an item looks into its own cell and into those neighbours
+  that this distance reaches, and meets every item it has to exactly once;
+* cells are compared block by block, ``BLOCK`` x ``BLOCK`` to a task.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,9 +37,14 @@ from corpusloom.operators.skew import salted_join
 from corpusloom.scratch import Scratch
 
 BLOCK = 8192
-MAX_BROADCAST_RINGS = 1_000_000
+PIVOTS = 8
+#: Rows, by a hash of their id, from which the pivots are taken. They only set the
+#: pivots' directions, and so the balance of cells; every item is indexed.
+PIVOT_SAMPLE = 4096
 MAX_CENTROID_BYTES = 256 << 20
 KEEP = ("hard", "easy", "random")
+#: The name of the built-in encoder, which is asked for and never a silent stand-in.
+BUILT_IN = "hashed-tokens"
 
 
 @dataclass(frozen=True)
@@ -65,6 +74,12 @@ def embed(
     text_field: str = "text",
     encoder: Callable[[list[str]], np.ndarray] | None = None,
 ) -> DataFrame:
+    """Add the embedding column, by ``encoder`` or, where the configuration names it, the built-in one."""
+    if encoder is None and config.embedding_model_name_or_path != BUILT_IN:
+        raise ValueError(
+            f"embedding_model_name_or_path is {config.embedding_model_name_or_path!r}: pass an encoder of "
+            f"text batches for it, or name {BUILT_IN!r}"
+        )
     vector = vectors.embed(
         F.col(text_field),
         encoder,
@@ -74,17 +89,48 @@ def embed(
     return df.withColumn(config.embedding_column, vector)
 
 
+def write_embeddings(df: DataFrame, config: SemanticConfig, path: str, id_col: str, file_col: str = "file_name") -> None:
+    """Ids and vectors as Parquet in ``num_files`` files, or by source file with ``write_to_filename``."""
+    by_file = config.write_to_filename and file_col in df.columns
+    table = df.select(id_col, config.embedding_column, *([file_col] if by_file else []))
+    table = table.repartition(config.num_files)
+    table.write.mode("overwrite").partitionBy(*([file_col] if by_file else [])).parquet(path)
+
+
+def _size_in_bytes(size: str) -> int:
+    """``"2gb"`` and the like."""
+    units = {"kb": 10, "mb": 20, "gb": 30, "tb": 40}
+    text = size.strip().lower()
+    unit = text[-2:]
+    return int(float(text[:-2]) * (1 << units[unit])) if unit in units else int(text)
+
+
+def has_direction(vector: Column) -> Column:
+    """Whether a vector is there and not zero: only such vectors can be compared by angle."""
+    return F.coalesce(F.exists(vector, lambda x: x != 0), F.lit(False))
+
+
 def train_centroids(df: DataFrame, config: SemanticConfig) -> np.ndarray:
-    """K-means centroids as a ``k x d`` array; ``k`` is at most the number of vectors."""
+    """K-means centroids, at most ``n_clusters`` of them, as a ``k x d`` array.
+
+    Without any vector that has a direction there are none.
+    """
+    if config.sim_metric != "cosine":
+        raise ValueError(f"sim_metric {config.sim_metric!r}: clusters are compared by cosine")
     column = config.embedding_column
-    squares = F.aggregate(column, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
-    points = df.where(squares > 0).select(array_to_vector(F.col(column).cast("array<double>")).alias("features"))
-    k = min(config.n_clusters, points.count())
-    if k < 2:
-        first = df.where(squares > 0).select(column).head()
-        return matrix([first[0]] if first else [[0.0]])
+    directed = df.where(has_direction(F.col(column)))
+    points = directed.select(array_to_vector(F.col(column).cast("array<double>")).alias("features"))
+    first = directed.select(F.size(column)).head()
+    if first is None:
+        return np.empty((0, 0))
+    rows = max(1, _size_in_bytes(config.clustering_input_partition_size) // (8 * first[0]))
+    needed = -(-directed.count() // rows)
+    if points.rdd.getNumPartitions() < needed:
+        points = points.repartition(needed)
+    if config.n_clusters == 1:
+        return np.array([points.select(Summarizer.mean(F.col("features"))).first()[0].toArray()])
     model = KMeans(
-        k=k,
+        k=config.n_clusters,
         maxIter=config.max_iter,
         seed=config.random_state,
         distanceMeasure=config.sim_metric,
@@ -95,24 +141,30 @@ def train_centroids(df: DataFrame, config: SemanticConfig) -> np.ndarray:
 def assign_clusters(
     df: DataFrame, centroids: np.ndarray, column: str, names: list[int] | None = None
 ) -> DataFrame:
-    """Add ``cluster`` (nearest centroid) and ``centroid_sim`` (cosine to it)."""
+    """Add ``cluster`` (nearest centroid) and ``centroid_sim`` (cosine to it).
+
+    Both are null for a null or zero vector, and if there are no centroids.
+    """
     if centroids.nbytes > MAX_CENTROID_BYTES:
         raise ValueError("centroids exceed the broadcast limit; lower n_clusters")
-    labels = np.array(names if names is not None else range(len(centroids)))
+    labels = np.array(names if names is not None else range(len(centroids)), dtype=np.int64)
     shared = df.sparkSession.sparkContext.broadcast((unit_rows(centroids), labels))
 
     @F.pandas_udf("cluster int, centroid_sim double")
     def nearest(column: pd.Series) -> pd.DataFrame:
-        if not len(column):
-            return pd.DataFrame({"cluster": [], "centroid_sim": []})
         units, label = shared.value
-        sims = unit_rows(matrix(column)) @ units.T
-        best = sims.argmax(axis=1)
-        return pd.DataFrame({"cluster": label[best], "centroid_sim": sims[np.arange(len(best)), best]})
+        out = pd.DataFrame({"cluster": pd.array([None] * len(column), "Int32"), "centroid_sim": np.nan})
+        there = np.flatnonzero([v is not None and len(label) > 0 and bool(np.any(v)) for v in column])
+        if len(there):
+            sims = unit_rows(matrix(column.iloc[there])) @ units.T
+            best = sims.argmax(axis=1)
+            out.loc[there, "cluster"] = label[best]
+            out.loc[there, "centroid_sim"] = sims[np.arange(len(best)), best]
+        return out
 
-    return df.withColumn("_nearest", nearest.asNondeterministic()(column)).select(
-        *df.columns, "_nearest.cluster", "_nearest.centroid_sim"
-    )
+    found = df.withColumn("_nearest", nearest.asNondeterministic()(column))
+    sim = F.when(F.col("_nearest.cluster").isNotNull(), F.col("_nearest.centroid_sim"))
+    return found.select(*df.columns, "_nearest.cluster", sim.alias("centroid_sim"))
 
 
 def rank_key(keep: str, id_col: str) -> Column:
@@ -126,20 +178,10 @@ def rank_key(keep: str, id_col: str) -> Column:
     return rounded if keep == "hard" else -rounded
 
 
-def _ring_width(floor: float) -> float:
-    return math.acos(max(-1.0, min(1.0, floor))) + 1e-6
-
-
-def _ranked(assigned: DataFrame, column: str, id_col: str, floor: float, keep: str) -> DataFrame:
-    """``(id, cluster, ring, key, vector)``; the ring is as wide as the largest angle of interest."""
-    width = _ring_width(floor)
-    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("centroid_sim"))))
-    return assigned.select(
-        F.col(id_col).alias("id"),
-        "cluster",
-        F.floor(angle / width).cast("int").alias("ring"),
-        rank_key(keep, id_col).alias("key"),
-        F.col(column).alias("vector"),
+def _ranked(assigned: DataFrame, column: str, id_col: str, keep: str) -> DataFrame:
+    """``(id, cluster, key, vector)`` of the items in a cluster."""
+    return assigned.where(F.col("cluster").isNotNull()).select(
+        F.col(id_col).alias("id"), "cluster", rank_key(keep, id_col).alias("key"), F.col(column).alias("vector")
     )
 
 
@@ -147,9 +189,9 @@ def _first_copies(ranked: DataFrame) -> DataFrame:
     """One row per distinct vector of a cluster: the first in rank."""
     first = F.min(F.struct("key", "id"))
     return (
-        ranked.groupBy("cluster", "ring", "vector")
+        ranked.groupBy("cluster", "vector")
         .agg(first.alias("first"))
-        .select("first.id", "cluster", "ring", "first.key", "vector")
+        .select("first.id", "cluster", "first.key", "vector")
     )
 
 
@@ -180,40 +222,137 @@ def _near_cell_head(items: DataFrame, floor: float) -> DataFrame:
     )
 
 
+def reach(floor: float) -> float:
+    """How far apart two unit vectors with a cosine above ``floor`` can be."""
+    return math.sqrt(max(0.0, 2 - 2 * floor)) + 1e-6
+
+
+def pivot_axes(items: DataFrame, sizes: DataFrame, floor: float, block: int) -> np.ndarray:
+    """Orthonormal directions along which the clusters above ``block`` items are widest, widest first.
+
+    From a bounded sample of them. None if all clusters are small, or if the floor is so low that
+    its distance spans the sphere.
+    """
+    large = sizes.where(F.col("n") > block).select("cluster")
+    if 2 * reach(floor) > 1.5 or large.isEmpty():
+        return np.empty((0, 0))
+    drawn = items.join(large, "cluster").select("id", "cluster", "vector").orderBy(F.xxhash64("id"), "id")
+    drawn = drawn.limit(PIVOT_SAMPLE).toPandas()
+    units = unit_rows(matrix(drawn["vector"]))
+    for cluster in drawn["cluster"].unique():
+        members = (drawn["cluster"] == cluster).to_numpy()
+        units[members] -= units[members].mean(axis=0)
+    return np.linalg.svd(units, full_matrices=False)[2][:PIVOTS]
+
+
+def cells(axes: np.ndarray, floor: float, guests: bool) -> Callable[[Column, Column], Column]:
+    """A function of vector and number of axes in use: the cells an item is in, or looks into.
+
+    Bands are a little wider than twice the reach, so along an axis at most one
+    neighbour is within it, and of the combinations of neighbours those whose boundaries
+    are together within it are looked into. Eight bits of a cell's number are one band.
+    """
+    width = max(2 * reach(floor) * (1 + 1e-9), 2 / 250)
+    within = reach(floor) ** 2
+
+    @F.pandas_udf("array<bigint>")
+    def numbers(column: pd.Series, axes_used: pd.Series) -> pd.Series:
+        out = np.empty(len(column), dtype=object)
+        used = axes_used.to_numpy()
+        for n in np.unique(used):
+            rows = np.flatnonzero(used == n)
+            if not n:
+                for r in rows:
+                    out[r] = [0]
+                continue
+            scaled = (unit_rows(matrix(column.iloc[rows])) @ axes[:n].T + 1) / width
+            # Rounding may put a projection just outside -1 to 1; one band more on each side holds it.
+            band = np.floor(scaled).astype(np.int64) + 1
+            weight = np.int64(1) << (8 * np.arange(n, dtype=np.int64))
+            home = (band * weight).sum(axis=1)
+            if not guests:
+                for r, cell in zip(rows, home, strict=True):
+                    out[r] = [cell]
+                continue
+            part = scaled - np.floor(scaled)
+            step = np.where(part < 0.5, -1, 1) * weight
+            gap = (np.minimum(part, 1 - part) * width) ** 2
+            choices = (np.arange(1 << n)[:, None] >> np.arange(n)) & 1
+            near = gap @ choices.T <= within
+            found = home[:, None] + step @ choices.T
+            for i, r in enumerate(rows):
+                out[r] = found[i][near[i]]
+        return pd.Series(out)
+
+    # Not deterministic, so that filters on the cells do not compute them twice.
+    return numbers.asNondeterministic()
+
+
+@dataclass(frozen=True)
+class Meeting:
+    """Items in their cells, probes in all they look into, and both counted in blocks."""
+
+    items: DataFrame
+    probes: DataFrame
+    grid: DataFrame
+
+
+def meeting(
+    probes: DataFrame, items: DataFrame, floor: float, scratch: Scratch, block: int = BLOCK
+) -> Meeting:
+    """Where probes meet items. ``grid`` has, by cell, ``probe_rows`` and ``item_rows`` and their blocks.
+
+    A cluster of up to ``block`` items is one cell. Above, each doubling brings one and a
+    half more axes into use, so that looking into neighbours pays.
+    """
+    sizes = scratch.save(items.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster_sizes")
+    axes = pivot_axes(items, sizes, floor, block)
+    wanted = F.ceil(1.5 * F.log2(F.col("n") / block)).cast("int")
+    used = sizes.select("cluster", F.greatest(F.lit(0), F.least(F.lit(len(axes)), wanted)).alias("axes"))
+
+    def placed(df: DataFrame, guests: bool) -> DataFrame:
+        if not len(axes):
+            return df.withColumn("cell", F.lit(0).cast("bigint"))
+        numbers = cells(axes, floor, guests)
+        return df.join(used, "cluster").withColumn("cell", F.explode(numbers("vector", "axes"))).drop("axes")
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        rows = F.count(F.lit(1))
+        return df.groupBy("cluster", "cell").agg(
+            rows.alias(f"{name}_rows"), F.ceil(rows / block).cast("int").alias(f"{name}_blocks")
+        )
+
+    at_home, looking = placed(items, False), placed(probes, True)
+    if len(axes):
+        # Vectors stay out of what is counted and read again.
+        at_home = scratch.save(at_home, "at_home")
+        looking = scratch.save(looking, "looking")
+    grid = counted(looking, "probe").join(counted(at_home, "item"), ["cluster", "cell"])
+    return Meeting(at_home, looking, scratch.save(grid, "grid"))
+
+
 def _probe(
-    probes: DataFrame, items: DataFrame, floor: float, config: SemanticConfig, block: int
+    probes: DataFrame, items: DataFrame, floor: float, config: SemanticConfig, scratch: Scratch, block: int
 ) -> DataFrame:
     """``(id, max_sim)``: the largest cosine above ``floor`` of a probe to an earlier item.
 
-    Probes and items of a ring are dealt into blocks by a hash of their id, and
+    Probes and items of a cell are dealt into blocks by a hash of their id, and
     each pair of blocks is one group, so no group holds more than about two
-    blocks whatever the size of the ring.
+    blocks whatever the size of the cell.
     """
-    ring = ["cluster", "ring"]
+    cell = ["cluster", "cell"]
     step = config.batched_cosine_similarity
-    max_rings = config.n_clusters * (math.pi / _ring_width(floor) + 3)
-    around = items.withColumn(
-        "ring", F.explode(F.array(F.col("ring") - 1, F.col("ring"), F.col("ring") + 1))
-    )
-
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        blocks = F.ceil(F.count(F.lit(1)) / block).cast("int")
-        return df.groupBy(*ring).agg(blocks.alias(name))
-
-    # One row per ring of a cluster: a number set by the configuration, not by the data.
-    grid = counted(probes, "probe_blocks").join(counted(around, "item_blocks"), ring)
-    if max_rings <= MAX_BROADCAST_RINGS:
-        grid = F.broadcast(grid)
+    met = meeting(probes, items, floor, scratch, block)
 
     def dealt(df: DataFrame, own: str, other: str, role: int) -> DataFrame:
         mine = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         return (
-            df.join(grid, ring)
+            df.join(met.grid, cell)
             .withColumn("_mine", mine)
             .withColumn("_other", every)
             .select(
-                *ring,
+                *cell,
                 F.col("_mine" if role else "_other").alias("probe_block"),
                 F.col("_other" if role else "_mine").alias("item_block"),
                 F.lit(role).alias("is_probe"),
@@ -223,8 +362,8 @@ def _probe(
             )
         )
 
-    both = dealt(probes, "probe_blocks", "item_blocks", 1).unionByName(
-        dealt(around, "item_blocks", "probe_blocks", 0)
+    both = dealt(met.probes, "probe_blocks", "item_blocks", 1).unionByName(
+        dealt(met.items, "item_blocks", "probe_blocks", 0)
     )
     schema = T.StructType([probes.schema["id"], T.StructField("max_sim", T.DoubleType())])
 
@@ -249,7 +388,7 @@ def _probe(
         hit = best > floor
         return pd.DataFrame({"id": ids[probes_at][hit], "max_sim": best[hit]})
 
-    compared = both.groupBy(*ring, "probe_block", "item_block").applyInPandas(compare, schema)
+    compared = both.groupBy(*cell, "probe_block", "item_block").applyInPandas(compare, schema)
     return compared.groupBy("id").agg(F.max("max_sim").alias("max_sim"))
 
 
@@ -264,15 +403,15 @@ def nearest_earlier(
     """``(id, max_sim)`` of every item with an earlier one of its cluster above ``floor``.
 
     ``floor`` defaults to ``1 - eps``. The exact maximum needs every comparison
-    the rings leave open; to only know which items go, use
+    the cells leave open; to only know which items go, use
     ``semantic_duplicates``, which decides most of them earlier.
     """
     floor = 1 - config.eps_to_extract if floor is None else floor
     ranked = scratch.save(
-        _ranked(assigned, config.embedding_column, id_col, floor, config.which_to_keep), "ranked"
+        _ranked(assigned, config.embedding_column, id_col, config.which_to_keep), "ranked"
     )
     items = scratch.save(_first_copies(ranked), "items")
-    found = _probe(items, items, floor, config, block)
+    found = _probe(items, items, floor, config, scratch, block)
     copies = ranked.select("id").join(items.select("id"), "id", "left_anti")
     return found.unionByName(copies.withColumn("max_sim", F.lit(1.0))).withColumnRenamed("id", id_col)
 
@@ -287,13 +426,13 @@ def semantic_duplicates(
     """The ids to remove: a cosine above ``1 - eps`` to an earlier item of the cluster."""
     floor = 1 - config.eps_to_extract
     ranked = scratch.save(
-        _ranked(assigned, config.embedding_column, id_col, floor, config.which_to_keep), "ranked"
+        _ranked(assigned, config.embedding_column, id_col, config.which_to_keep), "ranked"
     )
     items = scratch.save(_first_copies(ranked), "items")
     copies = ranked.select("id").join(items.select("id"), "id", "left_anti")
     decided = scratch.save(_near_cell_head(items, floor), "decided")
     left = items.join(decided, "id", "left_anti")
-    found = _probe(left, items, floor, config, block).select("id")
+    found = _probe(left, items, floor, config, scratch, block).select("id")
     return copies.unionByName(decided).unionByName(found).withColumnRenamed("id", id_col)
 
 
@@ -309,10 +448,31 @@ def semantic_dedup(
     id_col: str = "id",
     text_field: str = "text",
     encoder: Callable[[list[str]], np.ndarray] | None = None,
+    embeddings_path: str | None = None,
+) -> DataFrame:
+    """Embed, cluster and drop; documents without a vector, or with a zero one, are kept.
+
+    With ``embeddings_path`` and ``write_embeddings_to_disk``, the vectors are written there.
+    """
+    duplicates = semantic_duplicate_ids(df, config, scratch, id_col, text_field, encoder, embeddings_path)
+    return remove_duplicates(df, duplicates, scratch, id_col)
+
+
+def semantic_duplicate_ids(
+    df: DataFrame,
+    config: SemanticConfig,
+    scratch: Scratch,
+    id_col: str = "id",
+    text_field: str = "text",
+    encoder: Callable[[list[str]], np.ndarray] | None = None,
+    embeddings_path: str | None = None,
 ) -> DataFrame:
-    """Embed, cluster and drop; documents without a vector are kept."""
+    """The ids that ``semantic_dedup`` drops."""
     column = config.embedding_column
     embedded = df if column in df.columns else embed(df, config, text_field, encoder)
-    points = scratch.save(embedded.select(id_col, column).where(F.col(column).isNotNull()), "embeddings")
-    assigned = assign_clusters(points, train_centroids(points, config), column)
-    return remove_duplicates(df, semantic_duplicates(assigned, config, scratch, id_col), scratch, id_col)
+    names = [id_col, column, *(["file_name"] if "file_name" in df.columns else [])]
+    points = scratch.save(embedded.select(*names).where(F.col(column).isNotNull()), "embeddings")
+    if embeddings_path and config.write_embeddings_to_disk:
+        write_embeddings(points, config, embeddings_path, id_col)
+    assigned = assign_clusters(points.select(id_col, column), train_centroids(points, config), column)
+    return semantic_duplicates(assigned, config, scratch, id_col)

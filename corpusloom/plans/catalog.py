@@ -44,6 +44,7 @@ EMBED_DIM = 64
 BLEND = {"src0": 3.0, "src1": 2.0, "src2": 1.0}
 PREVIEW = 0.1
 COSINE_FLOOR = 0.3
+CLUSTERS = 16
 
 
 def query(function: Query) -> Query:
@@ -367,18 +368,45 @@ def semantic_dedup(spark, sf_dir):
 
 @query
 def semantic_clusters(spark, sf_dir):
-    """Sizes of trained clusters; rows-only, since K-means has no SQL counterpart."""
+    """Trained clusters by what must hold for them, whatever the starting points.
+
+    Each item is with the centroid of the largest cosine, computed here with SQL functions from
+    the centroids; each centroid is the mean direction of its items; there are far
+    fewer clusters than items.
+    """
+    scratch = Scratch(spark)
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    assigned = semantic.assign_clusters(
-        vectors, semantic.train_centroids(vectors, SEMANTIC), "embedding"
+    config = semantic.SemanticConfig(embedding_column="embedding", n_clusters=CLUSTERS)
+    centroids = semantic.train_centroids(vectors, config)
+    assigned = scratch.save(semantic.assign_clusters(vectors, centroids, "embedding"), "assigned")
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centroids])
+
+    def dot(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+
+    vector = F.col("embedding").cast("array<double>")
+    cosines = F.transform(centres, lambda c: dot(vector, c) / F.sqrt(dot(c, c)))
+    near = F.element_at(cosines, F.col("cluster") + 1) >= F.array_max(cosines) - 1e-9
+    norm = F.sqrt(dot(vector, vector))
+    sums = (
+        assigned.select("cluster", F.posexplode(F.transform(vector, lambda x: x / norm)).alias("i", "x"))
+        .groupBy("cluster", "i")
+        .agg(F.sum("x").alias("x"))
+        .groupBy("cluster")
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("mean"))
+    )
+    own = F.element_at(centres, F.col("cluster") + 1)
+    sums = sums.withColumn("is_mean", dot(F.col("mean"), own) > 0.999 * F.sqrt(dot(F.col("mean"), F.col("mean")) * dot(own, own)))
+    used = assigned.agg(F.countDistinct("cluster").between(2, CLUSTERS).alias("few")).scalar()
+    return assigned.join(sums, "cluster").select(
+        "vec_id", near.alias("at_nearest"), F.col("is_mean").alias("centroid_is_mean"), used.alias("few_clusters")
     )
-    return assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("items"))
 
 
 @query
 def text_embed(spark, sf_dir):
     """Non-zero coordinates of each document's vector."""
-    config = semantic.SemanticConfig()
+    config = semantic.SemanticConfig(embedding_model_name_or_path=semantic.BUILT_IN)
     embedded = semantic.embed(documents(spark, sf_dir), config)
     return (
         embedded.select(ID, F.posexplode("embeddings").alias("axis", "value"))

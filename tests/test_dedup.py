@@ -202,7 +202,7 @@ def test_semantic_matches_brute_force(spark, scratch, keep, floor):
 def test_semantic_dedup_end_to_end(spark, scratch):
     rows = [(i, " ".join(f"w{i}x{k}" for k in range(6))) for i in range(10)]
     rows += [(100, rows[0][1]), (101, rows[1][1]), (102, None)]
-    config = semantic.SemanticConfig(n_clusters=3)
+    config = semantic.SemanticConfig(n_clusters=3, embedding_model_name_or_path=semantic.BUILT_IN)
     kept = semantic.semantic_dedup(docs(spark, rows), config, scratch)
     assert 102 in ids(kept) and 100 not in ids(kept) and 101 not in ids(kept)
     assert set(range(10)) <= set(ids(kept))
@@ -214,3 +214,62 @@ def test_own_encoder_gets_batches(spark):
     df = docs(spark, [(i, "x" * i) for i in range(1, 6)] + [(9, None)]).coalesce(1)
     out = {r.id: r.embeddings for r in semantic.embed(df, config, encoder=encoder).collect()}
     assert out[9] is None and out[3][0] == 3.0 and max(v[1] for v in out.values() if v) == 2.0
+
+
+def test_no_silent_encoder(spark):
+    for name in ("", "some/model"):
+        with pytest.raises(ValueError, match="encoder"):
+            semantic.embed(docs(spark, [(1, "a")]), semantic.SemanticConfig(embedding_model_name_or_path=name))
+    with pytest.raises(ValueError, match="sim_metric"):
+        semantic.train_centroids(spark.createDataFrame([(1, [1.0])], "id int, embeddings array<float>"), semantic.SemanticConfig(sim_metric="l2"))
+
+
+BUILT_IN = semantic.SemanticConfig(n_clusters=4, embedding_model_name_or_path=semantic.BUILT_IN)
+
+
+@pytest.mark.parametrize("texts", [["", " ", "", "\n", ""], ["", "  ", "", "", "", "one two", "three four", "one two"], [None, None], []])
+def test_blank_documents_are_no_copies(spark, scratch, texts):
+    kept = semantic.semantic_dedup(docs(spark, list(enumerate(texts))), BUILT_IN, scratch)
+    expected = [i for i, t in enumerate(texts) if not (t or "").strip() or t not in texts[:i]]
+    assert ids(kept) == expected
+
+
+def test_one_cluster_and_more_clusters_than_items(spark, scratch):
+    df = docs(spark, [(0, "a b c"), (1, "a b c"), (2, "d e f")])
+    for n in (1, 1000):
+        config = semantic.SemanticConfig(n_clusters=n, embedding_model_name_or_path=semantic.BUILT_IN)
+        assert ids(semantic.semantic_dedup(df, config, scratch)) == [0, 2]
+
+
+def test_embeddings_are_written_in_the_files_asked_for(spark, scratch, tmp_path):
+    config = semantic.SemanticConfig(n_clusters=2, num_files=3, embedding_model_name_or_path=semantic.BUILT_IN)
+    df = docs(spark, [(i, f"text {i}") for i in range(30)])
+    semantic.semantic_duplicate_ids(df, config, scratch, embeddings_path=str(tmp_path / "e"))
+    assert len(list((tmp_path / "e").glob("part-*"))) == 3 and spark.read.parquet(str(tmp_path / "e")).count() == 30
+
+
+def test_pivots_compare_far_fewer_pairs_and_find_all(spark, scratch):
+    """100,000 vectors of one cluster, spread as real ones are: widely along few directions."""
+    rng = np.random.default_rng(1)
+    n, d = 100_000, 32
+    scale = 1 / np.arange(1, d + 1)
+    vectors = (rng.standard_normal((n, d)) * scale).astype(np.float32)
+    vectors[n // 2 : n // 2 + 2000] = vectors[:2000] * (1 + 0.002 * rng.standard_normal((2000, d)).astype(np.float32))
+    table = spark.createDataFrame(
+        [(i, 0, 0.0, v.tolist()) for i, v in enumerate(vectors)], "id bigint, cluster int, key double, vector array<float>"
+    )
+    items = scratch.save(table.repartition(8), "items")
+    floor = 0.99
+    met = semantic.meeting(items, items, floor, scratch, block=2048)
+    compared = met.grid.agg(F.sum(F.col("probe_rows").cast("double") * F.col("item_rows"))).first()[0]
+    assert compared < n * n / 8
+    units = vectors.astype(np.float64) / np.linalg.norm(vectors, axis=1, keepdims=True)
+    sims = units[n // 2 : n // 2 + 300] @ units.T
+    homes = {r.id: r.cell for r in met.items.select("id", "cell").collect()}
+    looks = {}
+    for r in met.probes.where(F.col("id").between(n // 2, n // 2 + 299)).select("id", "cell").collect():
+        looks.setdefault(r.id, []).append(r.cell)
+    pairs = [(n // 2 + a, b) for a, b in zip(*np.nonzero(sims > floor), strict=True)]
+    assert len(pairs) > 300
+    for a, b in pairs:
+        assert looks[a].count(homes[int(b)]) == 1
