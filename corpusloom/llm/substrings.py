@@ -12,8 +12,8 @@ windows are sorted and the smallest document id of each is known exactly.
    packed together.
 3. ``firsts``: a bucket's pieces are grouped by minimiser. One that came alone can't
    repeat. Of others the windows are sorted by their words. Pieces that hold a window
-   first seen in a smaller id are answered, by their number, to the blocks they are from.
-4. ``removed``: a block is cut again, and the answers become words to remove.
+   first seen in a smaller id are answered, with their places, to the blocks they are from.
+4. ``apply``: in each block, the answers become words to remove.
 
 A minimiser that very many windows share would make one bucket heavy. So step 1 also
 counts minimisers in ``SLOTS`` slots by their hash, a table of fixed size; those in
@@ -39,7 +39,7 @@ from corpusloom.scratch import Scratch
 
 WINDOW = 13
 MINIMISER = 3
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 SLOT_BITS = 16
 SLOTS = 1 << SLOT_BITS
 #: A slot is put last if it has more than one in so many of all pieces: at most that many are.
@@ -84,9 +84,9 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFram
         def put() -> pa.RecordBatch:
             given = np.array([i is not None for i in ids], np.uint8)
             whole = np.array([i or 0 for i in ids], np.int64)
-            block = Block(whole, given, np.array(counts, np.int64), b" ".join(x for x in texts if x), known)
+            block = Block(whole, given, np.array(counts, np.int64), b" ".join(x for x in texts if x))
             body = _pack(block.ids, block.given, block.counts, block.text)
-            heavy = np.bincount(block.pieces(window, None).slots, minlength=SLOTS)
+            heavy = np.bincount(block.pieces(window, None, known).slots, minlength=SLOTS)
             n = int(heavy.sum())
             slots = np.flatnonzero(heavy * REPORT_SHARE > n)
             for x in (ids, texts, counts):
@@ -136,27 +136,27 @@ class Pieces:
 class Block:
     """Documents of a block: ids, whether they have one, word counts, and all words joined by a space."""
 
-    def __init__(self, ids: np.ndarray, given: np.ndarray, counts: np.ndarray, text: bytes, known: WordHashes):
+    def __init__(self, ids: np.ndarray, given: np.ndarray, counts: np.ndarray, text: bytes):
         self.ids, self.given, self.counts, self.text = ids, given, counts, text
         self.words = text.split(b" ") if text else []
         n = len(self.words)
-        self.hashes = np.fromiter(map(known.__getitem__, self.words), np.uint64, n)
         self.offsets = np.zeros(n + 1, np.int64)
         np.cumsum(np.fromiter(map(len, self.words), np.int64, n) + 1, out=self.offsets[1:])
         self.ends = np.cumsum(counts)
         self.doc = np.repeat(np.arange(len(counts)), counts)
 
     @classmethod
-    def read(cls, body: bytes, known: WordHashes) -> Block:
-        return cls(*_unpack(body, np.int64, np.uint8, np.int64, bytes), known)
+    def read(cls, body: bytes) -> Block:
+        return cls(*_unpack(body, np.int64, np.uint8, np.int64, bytes))
 
-    def pieces(self, window: int, heavy: np.ndarray | None) -> Pieces:
+    def pieces(self, window: int, heavy: np.ndarray | None, known: WordHashes) -> Pieces:
         """Stretches of windows of one document with one minimiser; documents without id have none."""
         n = len(self.words) - window + 1
         none = np.empty(0, np.int64)
         if n <= 0:
             return Pieces(none, none, np.empty(0, np.uint64))
-        order = shingle_hashes(self.hashes, min(MINIMISER, window)) >> np.uint64(1)
+        hashes = np.fromiter(map(known.__getitem__, self.words), np.uint64, len(self.words))
+        order = shingle_hashes(hashes, min(MINIMISER, window)) >> np.uint64(1)
         if heavy is not None:
             order |= heavy[(order >> np.uint64(63 - SLOT_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(63)
         best, at = order[:n].copy(), np.arange(n)
@@ -174,51 +174,50 @@ class Block:
         first, last = first[keep], last[keep]
         return Pieces(first, last, best[first])
 
-    def cut(self, window: int, heavy: np.ndarray, buckets: int) -> Cut:
-        """The distinct pieces, in the order of their buckets; the same for the same block."""
-        found = self.pieces(window, heavy)
-        text, known = self.text, {}
+    def cut(self, window: int, heavy: np.ndarray, buckets: int, known: WordHashes) -> Iterator[tuple[int, bytes]]:
+        """Buckets, and the distinct pieces of each: minimiser, ids, windows, places, text."""
+        found = self.pieces(window, heavy, known)
+        text, numbers = self.text, {}
         starts = self.offsets[found.first].tolist()
         stops = (self.offsets[found.last + window] - 1).tolist()
         which = np.fromiter(
-            (known.setdefault(text[a:b], len(known)) for a, b in zip(starts, stops, strict=True)), np.int64, len(starts)
+            (numbers.setdefault(text[a:b], len(numbers)) for a, b in zip(starts, stops, strict=True)), np.int64, len(starts)
         )
-        n = len(known)
-        one = np.zeros(n, np.int64)
-        one[which] = np.arange(len(which))
-        bucket = (found.minimiser[one] % np.uint64(buckets)).astype(np.int64)
+        texts = list(numbers)
+        del numbers
+        # Occurrences by piece, so that each piece's are together.
+        by_piece = np.argsort(which, kind="stable")
+        times = np.bincount(which, minlength=len(texts))
+        begin = np.cumsum(times) - times
+        one = by_piece[begin] if len(texts) else begin
+        ids = self.ids[self.doc[found.first]][by_piece]
+        low, high = (f.reduceat(ids, begin) if len(texts) else ids for f in (np.minimum, np.maximum))
+        windows = (found.last - found.first + 1)[one]
+        minimiser = found.minimiser[one]
+        bucket = (minimiser % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        place = np.empty(n, np.int64)
-        place[order] = np.arange(n)
-        ids = self.ids[self.doc[found.first]]
-        low, high = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
-        np.minimum.at(low, which, ids)
-        np.maximum.at(high, which, ids)
-        texts = list(known)
-        return Cut(
-            [texts[i] for i in order.tolist()],
-            found.minimiser[one][order],
-            low[order],
-            high[order],
-            (found.last - found.first + 1)[one][order],
-            np.searchsorted(bucket[order], np.arange(buckets + 1)),
-            place[which],
-            found.first,
-        )
+        bounds = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])) if len(order) else []
+        for members in np.split(order, bounds[1:]):
+            if not len(members):
+                continue
+            own = [texts[i] for i in members.tolist()]
+            places = np.repeat(begin[members], times[members]) + _steps(times[members])
+            yield int(bucket[members[0]]), _pack(
+                # Only pieces of one minimiser need to meet; others may, as windows are compared.
+                (minimiser[members] // np.uint64(buckets)).astype(np.uint32),
+                low[members],
+                high[members],
+                windows[members].astype(np.int32),
+                times[members].astype(np.int32),
+                found.first[by_piece[places]].astype(np.int32),
+                np.array([len(x) for x in own], np.int32),
+                b"".join(own),
+            )
 
 
-@dataclass
-class Cut:
-    """Distinct pieces of a block by bucket, and which of them is where."""
-
-    texts: list[bytes]
-    minimiser: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    windows: np.ndarray
-    bounds: np.ndarray
-    which: np.ndarray
-    first: np.ndarray
+def _steps(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, 2, ... for each size in turn."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 def _smallest(texts: list[bytes], lows: np.ndarray, windows: np.ndarray, window: int) -> np.ndarray:
@@ -248,50 +247,62 @@ def _smallest(texts: list[bytes], lows: np.ndarray, windows: np.ndarray, window:
     return out
 
 
-def _answers(rows: list[tuple[int, bytes]], window: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each block of a bucket: pieces with a window known from a smaller id, and the smallest ids."""
+def _answers(rows: list[tuple[int, bytes]], window: int) -> Iterator[tuple[int, bytes]]:
+    """For each block of a bucket: where its pieces with a window of a smaller id are, and the smallest ids."""
     texts: list[bytes] = []
-    parts = []
+    parts, places = [], {}
     for block, packed in rows:
-        key, low, high, windows, sizes, body = _unpack(packed, np.uint32, np.int64, np.int64, np.int32, np.int32, bytes)
+        key, low, high, windows, times, at, sizes, body = _unpack(
+            packed, np.uint32, np.int64, np.int64, np.int32, np.int32, np.int32, np.int32, bytes
+        )
         ends = np.cumsum(sizes, dtype=np.int64)
         texts += [body[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
-        parts.append((np.full(len(key), block, np.int64), np.arange(len(key)), key, low, high, windows.astype(np.int64)))
-    blocks, number, key, low, high, windows = (np.concatenate(x) for x in zip(*parts, strict=True))
+        begin = np.cumsum(times, dtype=np.int64) - times
+        parts.append((np.full(len(key), block, np.int64), begin, times, key, low, high, windows.astype(np.int64)))
+        places[block] = at
+    blocks, begin, times, key, low, high, windows = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(key, kind="stable")
-    starts = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
-    stops = np.append(starts[1:], len(order))
-    first: dict[int, np.ndarray] = {}
+    opens = np.append(True, key[order][1:] != key[order][:-1])
+    starts = np.flatnonzero(opens)
+    group = np.cumsum(opens) - 1
+    ordered = [texts[i] for i in order.tolist()]
+    # Groups of one text need no windows: its smallest id is that of all of them.
+    other = np.fromiter(
+        (a != b for a, b in zip(ordered[1:], ordered[:-1], strict=True)), bool, max(0, len(ordered) - 1)
+    )
+    mixed = np.zeros(len(starts), bool)
+    mixed[group[1:][other & ~opens[1:]]] = True
+    least = np.empty(len(order), np.int64)
+    least[order] = np.minimum.reduceat(low[order], starts)[group]
+    apart: dict[int, np.ndarray] = {}
     waiting: list[np.ndarray] = []
     room = SORTED_WINDOWS
 
     def sort() -> None:
         members = np.concatenate(waiting)
-        found = _smallest([texts[i] for i in members], low[members], windows[members], window)
+        found = _smallest([texts[i] for i in members.tolist()], low[members], windows[members], window)
         for i, own in zip(members.tolist(), np.split(found, np.cumsum(windows[members])[:-1]), strict=True):
-            first[i] = own
-
-    single = (stops - starts == 1) & (low[order[starts]] == high[order[starts]])
-    for a, b in zip(starts[~single].tolist(), stops[~single].tolist(), strict=True):
-        members = order[a:b]
-        if len({texts[i] for i in members.tolist()}) == 1:
-            least = low[members].min()
-            for i in members.tolist():
-                first[i] = np.full(windows[i], least)
-            continue
-        waiting.append(members)
-        room -= int(windows[members].sum())
+            apart[i] = own
+            least[i] = own.min()
+
+    stops = np.append(starts[1:], len(order))
+    for a, b in zip(starts[mixed].tolist(), stops[mixed].tolist(), strict=True):
+        waiting.append(order[a:b])
+        room -= int(windows[order[a:b]].sum())
         if room < 0:
             sort()
             waiting, room = [], SORTED_WINDOWS
     if waiting:
         sort()
-    told: dict[int, list[int]] = {}
-    for i, own in first.items():
-        if own.min() < high[i]:
-            told.setdefault(int(blocks[i]), []).append(i)
-    for block, members in told.items():
-        yield block, number[members], np.concatenate([first[i] for i in members])
+    told = np.flatnonzero(least < high)
+    for members in np.split(told, np.flatnonzero(np.diff(blocks[told])) + 1):
+        if len(members):
+            block = int(blocks[members[0]])
+            firsts = [apart[i] if i in apart else np.full(windows[i], least[i]) for i in members.tolist()]
+            own = np.repeat(begin[members], times[members]) + _steps(times[members])
+            yield block, _pack(
+                times[members].astype(np.int32), windows[members].astype(np.int32), places[block][own], np.concatenate(firsts)
+            )
 
 
 def drop_repeated_passages(
@@ -329,74 +340,45 @@ def drop_repeated_passages(
         known = WordHashes()
         for batch in batches:
             for body, block in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                made = Block.read(body.as_py(), known).cut(window, heavy, buckets)
-                out: dict[str, list] = {"bucket": [], "block": [], "pieces": []}
-                for bucket in np.flatnonzero(np.diff(made.bounds)).tolist():
-                    s = slice(made.bounds[bucket], made.bounds[bucket + 1])
-                    texts = made.texts[s]
-                    out["bucket"].append(bucket)
-                    out["block"].append(block)
-                    out["pieces"].append(
-                        _pack(
-                            # Only pieces of one minimiser need to meet; others may, as windows are compared.
-                            (made.minimiser[s] // np.uint64(buckets)).astype(np.uint32),
-                            made.low[s],
-                            made.high[s],
-                            made.windows[s].astype(np.int32),
-                            np.array([len(x) for x in texts], np.int32),
-                            b"".join(texts),
-                        )
-                    )
-                yield pa.RecordBatch.from_pydict(out, pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("pieces", pa.binary())]))
+                made = list(Block.read(body.as_py()).cut(window, heavy, buckets, known))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([bucket for bucket, _ in made], pa.int64()),
+                        pa.array([block] * len(made), pa.int64()),
+                        pa.array([pieces for _, pieces in made], pa.binary()),
+                    ],
+                    names=["bucket", "block", "pieces"],
+                )
 
     def first(table: pa.Table) -> pa.Table:
-        rows = zip(table.column("block").to_pylist(), (x.as_py() for x in table.column("pieces")), strict=True)
-        out: dict[str, list] = {"block": [], "bucket": [], "places": [], "firsts": []}
-        bucket = table.column("bucket")[0].as_py()
-        for block, places, firsts in _answers(list(rows), window):
-            out["block"].append(block)
-            out["bucket"].append(bucket)
-            out["places"].append(places.astype(np.int32))
-            out["firsts"].append(firsts)
-        return pa.table(out, answer)
-
-    answer = pa.schema(
-        [("block", pa.int64()), ("bucket", pa.int64()), ("places", pa.list_(pa.int32())), ("firsts", pa.list_(pa.int64()))]
-    )
+        rows = zip(table.column("block").to_pylist(), table.column("pieces").to_pylist(), strict=True)
+        answers = list(_answers(list(rows), window))
+        return pa.table(
+            {
+                "block": pa.array([block for block, _ in answers], pa.int64()),
+                "answer": pa.array([answer for _, answer in answers], pa.binary()),
+            }
+        )
+
     pieces = packed.select("body", "block").mapInArrow(cut, "bucket bigint, block bigint, pieces binary")
-    firsts = pieces.groupBy("bucket").applyInArrow(
-        first, "block bigint, bucket bigint, places array<int>, firsts array<bigint>"
-    )
+    firsts = pieces.groupBy("bucket").applyInArrow(first, "block bigint, answer binary")
     firsts = scratch.save(firsts, "firsts")
 
     def apply(block: pa.Table, told: pa.Table) -> pa.Table:
-        documents = Block.read(block.column("body")[0].as_py(), WordHashes())
-        gone = np.zeros(len(documents.words) + 1, np.int64)
-        if told.num_rows:
-            made = documents.cut(window, heavy, buckets)
-            begin = np.full(len(made.texts), -1, np.int64)
-            least = []
-            at = 0
-            for bucket, places, known in zip(
-                told.column("bucket").to_pylist(), told.column("places"), told.column("firsts"), strict=True
-            ):
-                own = made.bounds[bucket] + places.values.to_numpy().astype(np.int64)
-                sizes = made.windows[own]
-                begin[own] = at + np.cumsum(sizes) - sizes
-                least.append(known.values.to_numpy())
-                at += int(sizes.sum())
-            least = np.concatenate(least)
-            # Every occurrence of an answered piece, window by window.
-            there = np.flatnonzero(begin[made.which] >= 0)
-            which = made.which[there]
-            sizes = made.windows[which]
-            step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            start = np.repeat(made.first[there], sizes) + step
-            known = least[np.repeat(begin[which], sizes) + step]
-            start = start[known < documents.ids[documents.doc[start]]]
-            np.add.at(gone, start, 1)
-            np.add.at(gone, start + window, -1)
-        stays = np.cumsum(gone[:-1]) == 0
+        documents = Block.read(block.column("body")[0].as_py())
+        covered = [np.empty(0, np.int64)]
+        for answer in told.column("answer"):
+            times, windows, places, least = _unpack(answer.as_py(), np.int32, np.int32, np.int32, np.int64)
+            # Every occurrence of a piece, window by window.
+            sizes = np.repeat(windows, times).astype(np.int64)
+            step = _steps(sizes)
+            start = np.repeat(places, sizes) + step
+            begin = np.cumsum(windows, dtype=np.int64) - windows
+            known = least[np.repeat(np.repeat(begin, times), sizes) + step]
+            covered.append(start[known < documents.ids[documents.doc[start]]])
+        start = np.concatenate(covered)
+        n = len(documents.words)
+        stays = np.cumsum(np.bincount(start, minlength=n + 1) - np.bincount(start + window, minlength=n + 1))[:n] == 0
         texts, lost = [], []
         ends = documents.ends.tolist()
         for n, end in zip(documents.counts.tolist(), ends, strict=True):

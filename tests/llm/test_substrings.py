@@ -84,9 +84,9 @@ def test_pieces_cover_every_window_once():
     rng = np.random.default_rng(3)
     counts = np.array([0, 30, 12, 13, 0, 200])
     text = b" ".join(b"w%d" % rng.integers(15) for _ in range(counts.sum()))
-    block = substrings.Block(np.arange(6), np.ones(6, np.uint8), counts, text, WordHashes())
+    block = substrings.Block(np.arange(6), np.ones(6, np.uint8), counts, text)
     for heavy in (None, rng.random(substrings.SLOTS) < 0.5):
-        pieces = block.pieces(13, heavy)
+        pieces = block.pieces(13, heavy, WordHashes())
         seen = [w for a, b in zip(pieces.first, pieces.last, strict=True) for w in range(a, b + 1)]
         starts = np.cumsum(counts) - counts
         assert seen == [s + k for s, n in zip(starts, counts, strict=True) for k in range(max(0, n - 12))]
