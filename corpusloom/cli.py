@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import argparse
+import importlib
+from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.pii import ACTIONS
@@ -23,10 +25,29 @@ from corpusloom.sources import documents, wiki
 REWARD_KEY_VARIABLE = "REWARD_API_KEY"
 
 
+def accepted_records(
+    spark: SparkSession, scratch: Scratch, paths: str, schema: str, reject_dir: str, with_id: bool = True
+) -> DataFrame:
+    """Whole records, with ids if asked for; lines that are none go to ``reject_dir`` and are counted."""
+    df = documents.read_records(spark, paths, schema)
+    df = ensure_id(df, scratch, fill=True) if with_id else scratch.save(df, "records")
+    for row in documents.write_rejected(df, reject_dir).sort("file_name").toLocalIterator():
+        print(f"{row['file_name']}: {row['lines']} lines are no records, see {reject_dir}")
+    return documents.accepted(df)
+
+
+def load_encoder(name: str) -> Callable:
+    """``MODULE:FUNCTION``, a function from a list of texts to one vector each."""
+    module, _, attribute = name.partition(":")
+    if not attribute:
+        raise ValueError(f"{name!r} is not MODULE:FUNCTION")
+    return getattr(importlib.import_module(module), attribute)
+
+
 def run_curate(spark: SparkSession, args: argparse.Namespace) -> None:
     schema = documents.document_schema(args.text_field, "id", args.extra_fields)
     scratch = Scratch(spark)
-    df = ensure_id(documents.well_formed(documents.read_jsonl(spark, args.input_dir, schema)), scratch, fill=True)
+    df = accepted_records(spark, scratch, args.input_dir, schema, args.reject_dir or f"{args.output_dir}/rejected")
     config = CurationConfig(
         **{
             name: getattr(args, name)
@@ -36,6 +57,7 @@ def run_curate(spark: SparkSession, args: argparse.Namespace) -> None:
             )
         },
         pii_entities=tuple(args.pii_entities),
+        pii_patterns=tuple(tuple(p.split("=", 1)) for p in args.pii_pattern),
     )
     if args.fuzzy_config:
         config = replace(config, fuzzy_config=from_yaml(FuzzyConfig, args.fuzzy_config))
@@ -46,18 +68,21 @@ def run_curate(spark: SparkSession, args: argparse.Namespace) -> None:
         labelled = spark.read.schema("text string, lang string").json(args.lid_samples)
         scorer = profile_scorer(ngram_profiles(labelled))
     key = pii_key(spark, args.pii_key_file) if args.pii_key_file else None
-    curate(df, config, scratch, Models(language_scorer=scorer, pii_key=key), args.output_dir)
+    encoder = load_encoder(args.encoder) if args.encoder else None
+    curate(df, config, scratch, Models(scorer, encoder, key), args.output_dir)
     scratch.close()
 
 
 def run_score_sft(spark: SparkSession, args: argparse.Namespace) -> None:
-    schema = f"{args.context_field} string, {args.response_field} string"
-    pairs = documents.well_formed(
-        documents.read_jsonl(spark, args.input_path, schema, file_name=False)
-    )
+    schema = f"`{args.context_field}` string, `{args.response_field}` string"
+    scratch = Scratch(spark)
+    pairs = accepted_records(
+        spark, scratch, args.input_path, schema, args.reject_dir or f"{args.output_dir}/rejected", with_id=False
+    ).drop("file_name")
     client = sft.openai_reward_client(args.endpoint, args.model, REWARD_KEY_VARIABLE)
     scored = sft.score_pairs(pairs, client, args.context_field, args.response_field)
-    documents.dual_sink(sft.with_overall(scored), args.output_dir, args.filter_field, args.threshold)
+    documents.dual_sink(sft.with_overall(scored), args.output_dir, scratch, args.filter_field, args.threshold)
+    scratch.close()
 
 
 def run_wiki(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -77,7 +102,8 @@ def run_qa(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_tokenize(spark: SparkSession, args: argparse.Namespace) -> None:
     schema = documents.document_schema(args.text_field, "id")
     scratch = Scratch(spark)
-    df = ensure_id(documents.well_formed(documents.read_jsonl(spark, args.input_dir, schema)), scratch, fill=True)
+    df = accepted_records(spark, scratch, args.input_dir, schema, args.reject_dir or f"{args.output_dir}_rejected")
+    df = df.drop(documents.RECORD)
     tokenizer = tokens.pretrained_tokenizer(spark, args.tokenizer)
     out = tokens.tokenize(df, tokenizer, args.text_field, eod_id=args.eod_id).drop(args.text_field)
     documents.write_tokens(split_by_weight(out, args.split), args.output_dir)
@@ -96,7 +122,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--input-dir", required=True)
     job.add_argument("--output-dir", required=True)
     job.add_argument("--text-field", default="text")
-    job.add_argument("--extra-fields", default="", help="other fields to keep, as DDL")
+    job.add_argument("--extra-fields", default="", help="other fields as columns, as DDL; all fields are kept")
+    job.add_argument("--reject-dir", help="for lines that are no records; OUTPUT_DIR/rejected if not given")
     job.add_argument("--language", default="")
     for switch in ("cleaning", "lid", "heuristic", "pii", "exact", "fuzzy", "semantic"):
         job.add_argument(f"--{switch}", action="store_true")
@@ -104,9 +131,11 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--heuristic-min-words", type=int, default=50)
     job.add_argument("--pii-entities", nargs="+", default=list(CurationConfig.pii_entities))
     job.add_argument("--pii-anonymize-action", choices=ACTIONS, default="replace")
+    job.add_argument("--pii-pattern", action="append", default=[], metavar="ENTITY=REGEX", help="a further entity")
     job.add_argument("--pii-key-file", help="file with the AES key in hex, for encrypt")
     job.add_argument("--fuzzy-config")
     job.add_argument("--semantic-config")
+    job.add_argument("--encoder", metavar="MODULE:FUNCTION", help="texts to vectors, for the configured model")
 
     job = jobs.add_parser("score-sft", help="score instruction pairs and keep the good ones")
     job.set_defaults(run=run_score_sft)
@@ -116,6 +145,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--output-dir", required=True)
     job.add_argument("--context-field", default="input")
     job.add_argument("--response-field", default="output")
+    job.add_argument("--reject-dir", help="for lines that are no records; OUTPUT_DIR/rejected if not given")
     job.add_argument("--filter-field", choices=(*sft.METRICS, "overall"), default="overall")
     job.add_argument("--threshold", type=float, default=3.5)
 
@@ -136,6 +166,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--input-dir", required=True)
     job.add_argument("--output-dir", required=True)
     job.add_argument("--text-field", default="text")
+    job.add_argument("--reject-dir", help="for lines that are no records; OUTPUT_DIR_rejected if not given")
     job.add_argument("--tokenizer", required=True, help="tokenizer.json")
     job.add_argument("--eod-id", type=int, default=tokens.EOD_ID)
     job.add_argument("--split", default="998,1,1")

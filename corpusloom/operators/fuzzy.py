@@ -65,14 +65,18 @@ def candidate_edges(
     id_col: str = "id",
     text_field: str = "text",
     rows_per_slice: int = ROWS_PER_SLICE,
+    without: DataFrame | None = None,
 ) -> DataFrame:
     """``(src, dst)``: each member of a bucket linked to the bucket's anchors.
 
+    Documents whose id is listed in ``without`` leave the bands, so that no texts are joined for it.
+
     One anchor, the smallest id, gives the same components as all pairs of the
     bucket at a cost linear in its size. With the false-positive check on,
     there are ``num_anchors``, and edges below the Jaccard threshold go.
     """
-    rows = scratch.save(lsh_bands(df, config, id_col, text_field), "bands")
+    rows = lsh_bands(df, config, id_col, text_field)
+    rows = scratch.save(rows if without is None else rows.join(without, id_col, "left_anti"), "bands")
     if config.buckets_per_shuffle < 1:
         raise ValueError("buckets_per_shuffle must be at least 1")
     edges = None
@@ -173,9 +177,10 @@ def duplicate_groups(
     scratch: Scratch,
     id_col: str = "id",
     text_field: str = "text",
+    without: DataFrame | None = None,
 ) -> DataFrame:
-    """``(id, group_id)`` of every document in a group of near-duplicates."""
-    edges = candidate_edges(df, config, scratch, id_col, text_field)
+    """``(id, group_id)`` of every document in a group of near-duplicates, but those in ``without``."""
+    edges = candidate_edges(df, config, scratch, id_col, text_field, without=without)
     groups = connected_components(edges, scratch)
     return groups.select(F.col("id").alias(id_col), F.col("component").alias("group_id"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +27,15 @@ from corpusloom.operators.ordering import running_sum
 from corpusloom.plans import curate as curation
 from corpusloom.plans.config import CurationConfig
 from corpusloom.scratch import Scratch
-from corpusloom.sources.documents import read_language, write_by_language
+from corpusloom.sources.documents import (
+    accepted,
+    dual_sink,
+    read_language,
+    read_records,
+    write_by_language,
+    write_by_source,
+    write_rejected,
+)
 from corpusloom.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +78,14 @@ def add_id(spark, sf_dir):
     return ids.ensure_id(docs, Scratch(spark), order_by=[ID])
 
 
+@query
+def add_id_fill(spark, sf_dir):
+    """Every third document has lost its id, and given ones are like those that are made."""
+    docs = documents(spark, sf_dir).select(ID, "source")
+    given = F.when(F.col(ID) % 3 != 0, ids.format_id(F.col(ID) * 2))
+    return ids.ensure_id(docs.withColumn("id", given), Scratch(spark), order_by=[ID], fill=True)
+
+
 @query
 def word_count(spark, sf_dir):
     return documents(spark, sf_dir).select(ID, text.word_count(F.col("text")).alias("word_count"))
@@ -590,6 +607,65 @@ def sample_preview(spark, sf_dir):
     return sampling.sample_preview(documents(spark, sf_dir), PREVIEW, ID).select(ID)
 
 
+# --- files in, files out ----------------------------------------------------
+
+
+def _with_bad_lines(rows: DataFrame, path: str, file_col: str, bad: Column) -> None:
+    """JSON lines by file, and one more line that is no record after each row where ``bad`` says so."""
+    whole = F.to_json(F.struct(*[c for c in rows.columns if c != file_col]), {"ignoreNullFields": "false"})
+    cut = F.substring(whole, F.lit(1), F.length(whole) - 1)
+    lines = F.explode(F.when(bad, F.array(whole, cut)).otherwise(F.array(whole))).alias("value")
+    rows.select(lines, F.col(file_col).alias("_file")).write.partitionBy("_file").text(path)
+
+
+@query
+def jsonl_round_trip(spark, sf_dir):
+    """Documents as JSON lines, with nested fields nobody declares and cut lines, read, changed and written.
+
+    One row per record that comes back, with the number of lines set aside.
+    """
+    root = Scratch(spark).root
+    docs = table(spark, sf_dir, "documents")
+    meta = F.struct(F.col("lang").alias("code"), F.array("n_chars", F.lit(None)).alias("sizes")).alias("meta")
+    _with_bad_lines(docs.select(ID, "text", "source", meta), f"{root}/in", "source", F.col(ID) % 10 == 0)
+    read = read_records(spark, f"{root}/in", f"{ID} bigint, text string")
+    rejected = write_rejected(read, f"{root}/rejected").agg(F.sum("lines").alias("n"))
+    changed = accepted(read).withColumn("text", F.concat("text", F.lit(" \u2014 \"read\"\n\\"))).withColumn("word_count", text.word_count(F.col("text")))
+    write_by_source(changed, f"{root}/out")
+    back = spark.read.schema(
+        f"{ID} bigint, text string, word_count bigint, meta struct<code: string, sizes: array<bigint>>"
+    ).json(f"{root}/out")
+    return back.select(
+        ID,
+        "text",
+        "word_count",
+        F.col("meta.code").alias("lang"),
+        F.col("meta.sizes")[0].alias("n_chars"),
+        F.size("meta.sizes").cast("bigint").alias("n_sizes"),
+        rejected.scalar().alias("rejected_lines"),
+    )
+
+
+@query
+def sft_dual_sink(spark, sf_dir):
+    """Pairs from files with fields nobody declares and cut lines, scored, and what both sinks hold."""
+    scratch = Scratch(spark)
+    pairs = _pairs(spark, sf_dir).withColumn("origin", F.struct("conv_id", "turn")).drop("conv_id", "turn")
+    _with_bad_lines(pairs.withColumn("part", F.lit("pairs")), f"{scratch.root}/in", "part", F.col("origin.conv_id") % 7 == 0)
+    read = scratch.save(read_records(spark, f"{scratch.root}/in", "input string, output string"), "records")
+    rejected = write_rejected(read, f"{scratch.root}/rejected").agg(F.sum("lines").alias("n"))
+    scored = sft.with_overall(accepted(read).drop("file_name").withColumn("reward", _rewards()))
+    dual_sink(scored, f"{scratch.root}/out", scratch)
+    kind = "input string, output string, origin struct<conv_id: bigint, turn: bigint>, reward struct<overall: double>"
+    sinks = [
+        spark.read.schema(kind).json(f"{scratch.root}/out/{name}.jsonl").withColumn("sink", F.lit(name))
+        for name in ("sft_data_score", "filtered_data")
+    ]
+    return sinks[0].unionByName(sinks[1]).select(
+        "sink", "origin.*", "input", "output", "reward.overall", rejected.scalar().alias("rejected_lines")
+    )
+
+
 # --- whole runs ------------------------------------------------------------
 
 CURATION = CurationConfig(
@@ -607,6 +683,22 @@ def curated_corpus(spark, sf_dir):
     return _run(spark, sf_dir).documents.select(ID, "text", "word_count")
 
 
+@query
+def curated_full(spark, sf_dir):
+    """All seven stages on one language, with one cluster, so that SQL can follow the last."""
+    docs = documents(spark, sf_dir)
+    config = replace(
+        CURATION,
+        lid=True,
+        language="en",
+        semantic=True,
+        semantic_config=semantic.SemanticConfig(n_clusters=1, embedding_model_name_or_path=semantic.BUILT_IN),
+    )
+    models = curation.Models(language_scorer=_scorer(docs))
+    run = curation.run_stages(docs.select(ID, "text", "source"), config, Scratch(spark), models)
+    return run.documents.select(ID, "text", "word_count", "language")
+
+
 @query
 def curation_funnel(spark, sf_dir):
     return curation.funnel(spark, _run(spark, sf_dir))

@@ -26,6 +26,8 @@ class CurationConfig:
     pii: bool = False
     pii_entities: tuple[str, ...] = ("PHONE_NUMBER", "EMAIL_ADDRESS", "IP_ADDRESS")
     pii_anonymize_action: str = "replace"
+    #: Further entities, or other patterns for known ones: name and regular expression.
+    pii_patterns: tuple[tuple[str, str], ...] = ()
     exact: bool = False
     fuzzy: bool = False
     fuzzy_config: FuzzyConfig = field(default_factory=FuzzyConfig)

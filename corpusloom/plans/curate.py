@@ -11,14 +11,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators import stages
-from corpusloom.operators.exact import exact_dedup
-from corpusloom.operators.fuzzy import fuzzy_dedup
+from corpusloom.operators.exact import exact_duplicates
+from corpusloom.operators.fuzzy import duplicate_groups
 from corpusloom.operators.ids import ensure_id
 from corpusloom.operators.language import identify, language_code
-from corpusloom.operators.semantic import semantic_dedup
+from corpusloom.operators.semantic import semantic_duplicate_ids
 from corpusloom.plans.config import CurationConfig
 from corpusloom.scratch import Scratch
-from corpusloom.sources.documents import write_by_source
+from corpusloom.sources.documents import read_language, write_by_language, write_by_source
 
 
 @dataclass(frozen=True)
@@ -30,13 +30,21 @@ class Models:
     pii_key: Column | None = None
 
 
+#: Finds ids to delete among documents, none of which are already deleted: ``(documents, deleted)``.
+Finder = Callable[[DataFrame, DataFrame | None], DataFrame]
+
+
 @dataclass(frozen=True)
 class NamedStage:
-    """``row_local`` stages read each row once, so they can share one pass."""
+    """``row_local`` stages read each row once, so they can share one pass.
+
+    A stage with a ``finder`` deletes what it lists.
+    """
 
     name: str
-    run: stages.Stage
+    run: stages.Stage | None = None
     row_local: bool = False
+    finder: Finder | None = None
 
 
 @dataclass(frozen=True)
@@ -47,8 +55,14 @@ class Run:
     counts: list[tuple[str, int]]
 
 
-def stage_list(config: CurationConfig, scratch: Scratch, models: Models) -> list[NamedStage]:
-    """The enabled stages in order."""
+def _without(df: DataFrame, deleted: DataFrame | None, key: str) -> DataFrame:
+    return df if deleted is None else df.join(deleted, key, "left_anti")
+
+
+def stage_list(
+    config: CurationConfig, scratch: Scratch, models: Models, output_dir: str | None = None
+) -> list[NamedStage]:
+    """The enabled stages in order; those that delete copies come last."""
     text, key = config.text_field, config.id_field
     chosen: list[NamedStage] = []
     if config.cleaning:
@@ -59,6 +73,12 @@ def stage_list(config: CurationConfig, scratch: Scratch, models: Models) -> list
 
         def by_language(df: DataFrame) -> DataFrame:
             coded = language_code(identify(df, models.language_scorer, text))
+            if output_dir:
+                # One folder per language, and their sizes; later stages read the chosen ones back.
+                folder = f"{output_dir}/language"
+                stats = write_by_language(coded, folder)
+                stats.coalesce(1).write.mode("overwrite").json(f"{output_dir}/language_stats")
+                return read_language(df.sparkSession, folder, coded.schema, config.language or None)
             if not config.language:
                 return coded
             # Written by language first, so that only one directory is read back.
@@ -66,7 +86,7 @@ def stage_list(config: CurationConfig, scratch: Scratch, models: Models) -> list
             table = scratch.save(coded.withColumn("_part", part), "language", ["_part"])
             return table.where(F.col("_part") == config.language.upper()).drop("_part")
 
-        chosen.append(NamedStage("language", by_language, row_local=not config.language))
+        chosen.append(NamedStage("language", by_language, row_local=not (config.language or output_dir)))
     if config.heuristic:
         heuristic = stages.heuristic_stage(
             text, config.language or "en", config.heuristic_min_words
@@ -77,26 +97,31 @@ def stage_list(config: CurationConfig, scratch: Scratch, models: Models) -> list
             text,
             key=models.pii_key,
             action=config.pii_anonymize_action,
-            entities=config.pii_entities,
+            entities=tuple(dict.fromkeys([*config.pii_entities, *[name for name, _ in config.pii_patterns]])),
+            patterns=dict(config.pii_patterns),
         )
         chosen.append(NamedStage("pii", anonymize, row_local=True))
     if config.exact:
-        chosen.append(NamedStage("exact_duplicates", lambda df: exact_dedup(df, scratch, key, text)))
+
+        def copies(df: DataFrame, deleted: DataFrame | None) -> DataFrame:
+            return exact_duplicates(_without(df, deleted, key), scratch, key, text)
+
+        chosen.append(NamedStage("exact_duplicates", finder=copies))
     if config.fuzzy:
-        chosen.append(
-            NamedStage(
-                "fuzzy_dedup", lambda df: fuzzy_dedup(df, config.fuzzy_config, scratch, key, text)
-            )
-        )
+
+        def near_copies(df: DataFrame, deleted: DataFrame | None) -> DataFrame:
+            groups = duplicate_groups(df, config.fuzzy_config, scratch, key, text, deleted)
+            return groups.where(F.col(key) != F.col("group_id"))
+
+        chosen.append(NamedStage("fuzzy_dedup", finder=near_copies))
     if config.semantic:
-        chosen.append(
-            NamedStage(
-                "semantic",
-                lambda df: semantic_dedup(
-                    df, config.semantic_config, scratch, key, text, models.encoder
-                ),
-            )
-        )
+
+        def same_meaning(df: DataFrame, deleted: DataFrame | None) -> DataFrame:
+            path = f"{output_dir}/semantic_embeddings" if output_dir else None
+            left = _without(df, deleted, key)
+            return semantic_duplicate_ids(left, config.semantic_config, scratch, key, text, models.encoder, path)
+
+        chosen.append(NamedStage("semantic", finder=same_meaning))
     return chosen
 
 
@@ -109,15 +134,24 @@ def run_stages(
 ) -> Run:
     """Run the enabled stages.
 
-    Row-local stages that follow each other are one pass over the corpus,
-    counted on the way; its result is written once as Parquet before a stage
-    that reads it several times, so nothing runs twice and a lost executor
-    costs at most one pass. With ``output_dir``, every stage is written there
-    as JSON lines by source file.
+    Row-local stages that follow each other are one pass over the corpus, counted on
+    the way, and written once as Parquet. The stages that delete copies then only
+    list ids: digests, bands and vectors of the texts are read from that table, ids
+    already listed leave these narrow rows, and one anti-join with all lists makes the
+    result. Nothing runs twice, and a lost executor costs at most one pass. With
+    ``output_dir``, what is left after every stage is also written there as JSON lines by source file.
     """
-    current = ensure_id(df, scratch, config.id_field)
-    counts = [("input", current.count())]
+    key = config.id_field
+    current = ensure_id(df, scratch, key)
+    counts: list[tuple[str, int]] = []
     passing: list[tuple[str, Observation]] = []
+    deleted: DataFrame | None = None
+
+    def watch(name: str) -> None:
+        nonlocal current
+        seen = Observation()
+        current = current.observe(seen, F.count(F.lit(1)).alias("n"))
+        passing.append((name, seen))
 
     def settle(name: str) -> None:
         nonlocal current
@@ -125,20 +159,25 @@ def run_stages(
         counts.extend((stage, seen.get["n"]) for stage, seen in passing)
         passing.clear()
 
-    for stage in stage_list(config, scratch, models or Models()):
+    watch("input")
+    for stage in stage_list(config, scratch, models or Models(), output_dir):
         if passing and not stage.row_local:
             settle("rows")
-        current = current.transform(stage.run)
-        seen = Observation(stage.name)
-        current = current.observe(seen, F.count(F.lit(1)).alias("n"))
-        passing.append((stage.name, seen))
-        if output_dir or not stage.row_local:
-            settle(stage.name)
-        if output_dir:
-            write_by_source(current, f"{output_dir}/{stage.name}")
+        if stage.finder is None:
+            current = current.transform(stage.run)
+            watch(stage.name)
+            if output_dir or not stage.row_local:
+                settle(stage.name)
+        else:
+            found = scratch.save(stage.finder(current, deleted).select(key), "deleted")
+            deleted = found if deleted is None else scratch.save(deleted.unionByName(found).distinct(), "deleted")
+            left = current.select(key).join(deleted, key, "left_anti").count()
+            counts.append((stage.name, left))
+        if output_dir and stage.name != "language":
+            write_by_source(_without(current, deleted, key), f"{output_dir}/{stage.name}", gather=deleted is not None)
     if passing:
         settle("rows")
-    return Run(current, counts)
+    return Run(_without(current, deleted, key), counts)
 
 
 def funnel(spark: SparkSession, run: Run) -> DataFrame:

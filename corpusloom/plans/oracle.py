@@ -35,6 +35,11 @@ SELECT 'id-' || lpad((row_number() OVER (ORDER BY doc_id) - 1)::varchar, 10, '0'
        doc_id, source
 FROM documents"""
 
+SQL["add_id_fill"] = """
+SELECT coalesce(given, 'id-' || lpad((row_number() OVER (ORDER BY doc_id) + most)::varchar, 10, '0')) AS id, doc_id, source
+FROM (SELECT doc_id, source, max(2 * doc_id) FILTER (WHERE doc_id % 3 <> 0) OVER () AS most,
+             CASE WHEN doc_id % 3 <> 0 THEN 'id-' || lpad((2 * doc_id)::varchar, 10, '0') END AS given FROM documents)"""
+
 SQL["word_count"] = f"SELECT doc_id, len({words('text')})::bigint AS word_count FROM documents"
 SQL["word_count_filter"] = f"SELECT * FROM ({SQL['word_count']}) WHERE word_count >= 50"
 
@@ -485,6 +490,19 @@ SQL["blend_sources"] = with_(
 SQL["sample_preview"] = f"""
 SELECT doc_id FROM documents WHERE {bucket('doc_id', 1_000_000)} < {round(c.PREVIEW * 1_000_000)}"""
 
+# --- files in, files out ----------------------------------------------------
+
+SQL["jsonl_round_trip"] = f"""
+SELECT doc_id, text || ' — "read"\n\\' AS text, len({words('text')}) + 3 AS word_count, lang, n_chars, 2::bigint AS n_sizes,
+       (SELECT count(*) FROM documents WHERE doc_id % 10 = 0) AS rejected_lines
+FROM documents"""
+SQL["sft_dual_sink"] = with_(
+    *_SCORED,
+    select="""SELECT *, (SELECT count(*) FROM pairs WHERE conv_id % 7 = 0) AS rejected_lines FROM (
+                SELECT 'sft_data_score' AS sink, conv_id, turn, input, output, overall FROM scored
+                UNION ALL SELECT 'filtered_data', conv_id, turn, input, output, NULL FROM scored WHERE overall > 3.5)""",
+)
+
 # --- whole runs ------------------------------------------------------------
 
 _CURATED = [
@@ -514,6 +532,31 @@ SQL["curation_funnel"] = with_(
         )
     ),
 )
+_FULL = [
+    *_IDENTIFIED,
+    "english AS (SELECT doc_id, text, source FROM documents JOIN identified USING (doc_id) WHERE language = 'EN')",
+    *heuristic("english"),
+    "replaced AS (" + pii_replaced("english WHERE doc_id IN (SELECT doc_id FROM heuristic)") + ")",
+    *_CURATED[len(heuristic("documents")) + 1 :],
+    f"""axes AS (SELECT doc_id, len(w) AS n, {bucket('token', c.EMBED_DIM)} AS axis
+                  FROM (SELECT doc_id, w, unnest(w) AS token FROM (SELECT doc_id, {words('text')} AS w FROM curated)))""",
+    """means AS (SELECT doc_id, axis, (count(*) / any_value(n))::float::double AS x FROM axes GROUP BY doc_id, axis)""",
+    "norms AS (SELECT doc_id, sqrt(sum(x * x)) AS norm FROM means GROUP BY doc_id)",
+    "centre AS (SELECT axis, sum(x) AS c FROM means GROUP BY axis)",
+    """placed AS (SELECT doc_id, row_number() OVER (ORDER BY round(sim, 9), doc_id) AS rank FROM (
+                  SELECT doc_id, sum(x * c) / any_value(norm) / (SELECT sqrt(sum(c * c)) FROM centre) AS sim
+                  FROM means JOIN centre USING (axis) JOIN norms USING (doc_id) GROUP BY doc_id))""",
+    """alike AS (SELECT b.doc_id FROM means a JOIN means b USING (axis)
+                 JOIN placed p ON p.doc_id = a.doc_id JOIN placed q ON q.doc_id = b.doc_id
+                 JOIN norms m ON m.doc_id = a.doc_id JOIN norms n ON n.doc_id = b.doc_id
+                 WHERE p.rank < q.rank GROUP BY a.doc_id, b.doc_id
+                 HAVING sum(a.x * b.x) / any_value(m.norm) / any_value(n.norm) > 0.99)""",
+]
+SQL["curated_full"] = with_(
+    *_FULL,
+    select="""SELECT doc_id, text, word_count, 'EN' AS language FROM curated
+              WHERE doc_id NOT IN (SELECT doc_id FROM alike)""",
+)
 SQL["language_curated"] = f"""
 SELECT lang, count(*) AS documents FROM documents
 WHERE doc_id IN (SELECT min(doc_id) FROM documents WHERE len({words('text')}) >= 50 GROUP BY md5(text))

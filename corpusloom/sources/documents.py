@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.operators.language import language_stats
+from corpusloom.scratch import Scratch
 
 SPLIT_FILES = {
     "train": "train",
@@ -20,6 +21,9 @@ SPLIT_FILES = {
 SFT_SCHEMA = "input string, output string"
 QA_SCHEMA = "context string, question string, answer struct<text: string>"
 CORRUPT = "_corrupt_record"
+#: Columns of ``read_records``: the whole line as a VARIANT, and the line itself where it is no record.
+RECORD = "_record"
+REJECTED = "_rejected"
 
 
 def read_jsonl(
@@ -62,6 +66,64 @@ def _declared(schema: str | T.StructType) -> T.StructType:
     return T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
 
 
+def read_records(
+    spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType, file_name: bool = True
+) -> DataFrame:
+    """Scan JSON lines: the declared fields as columns, and every field in ``_record``.
+
+    The record travels with its row as one VARIANT, so fields that nobody declared
+    reach the sinks as they came, nested ones too (a number of more than 38
+    digits as the nearest double). A line that is no JSON object, or that has a field
+    twice, is kept in ``_rejected``, with nulls in all other columns; empty lines are none.
+    ``accepted`` has the rest, ``write_rejected`` sets these lines aside and counts them.
+    """
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("file_name"))
+    lines = lines.where(F.regexp_replace("value", r"[ \t\r]+", "") != "")
+    parsed = lines.withColumn("_parsed", F.try_parse_json("value"))
+    parsed = parsed.withColumn("_fields", F.expr("try_cast(_parsed AS MAP<STRING, VARIANT>)"))
+    bad = F.col("_fields").isNull()
+    return parsed.select(
+        *[
+            F.try_variant_get(F.try_element_at("_fields", F.lit(f.name)), "$", f.dataType.simpleString()).alias(f.name)
+            for f in fields
+        ],
+        F.when(~bad, F.col("_parsed")).alias(RECORD),
+        F.when(bad, F.col("value")).alias(REJECTED),
+        *(["file_name"] if file_name else []),
+    )
+
+
+def accepted(df: DataFrame) -> DataFrame:
+    return df.where(F.col(REJECTED).isNull()).drop(REJECTED)
+
+
+def write_rejected(df: DataFrame, path: str) -> DataFrame:
+    """The rejected lines as they were, in a folder per source file; returns ``(file_name, lines)``."""
+    bad = df.where(F.col(REJECTED).isNotNull()).select(F.col(REJECTED).alias("value"), "file_name")
+    bad.write.partitionBy("file_name").mode("overwrite").text(path)
+    written = df.sparkSession.read.schema("value string, file_name string").text(path)
+    return written.groupBy("file_name").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def record_json(df: DataFrame, without: Sequence[str] = ()) -> Column:
+    """Each row as a JSON object: its record, with the row's columns in place of fields of their names.
+
+    A null column says null where the record has that field, and nothing where it hasn't.
+    Rows without a record, as those of a table that wasn't read by ``read_records``,
+    are their columns.
+    """
+    names = [c for c in df.columns if c not in (RECORD, REJECTED, *without)]
+    if RECORD not in df.columns:
+        return F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    given = F.coalesce(F.expr(f"try_cast({RECORD} AS MAP<STRING, VARIANT>)"), F.expr("cast(map() AS MAP<STRING, VARIANT>)"))
+    columns = F.to_variant_object(F.struct(*names)).try_cast("map<string,variant>")
+    known = F.array(*[F.lit(c) for c in names])
+    kept = F.map_filter(given, lambda k, v: ~F.array_contains(known, k))
+    ours = F.map_filter(columns, lambda k, v: ~F.is_variant_null(v) | F.map_contains_key(given, k))
+    return F.to_json(F.to_variant_object(F.map_concat(kept, ours)))
+
+
 def document_schema(
     text_field: str = "text", id_field: str | None = None, extra: str = ""
 ) -> T.StructType:
@@ -70,29 +132,30 @@ def document_schema(
 
 
 def read_splits(spark: SparkSession, root: str, schema: str | T.StructType = SFT_SCHEMA) -> DataFrame:
-    """Files named by split (``train``/``training``, ``validation``, ``test``) as one dataset."""
-    df = well_formed(read_jsonl(spark, root, schema))
+    """Files named by split (``train``/``training``, ``validation``, ``test``) as one dataset.
+
+    A file with another name is in no split, and an error rather than rows without one.
+    """
+    df = accepted(read_records(spark, root, schema))
     stem = F.regexp_extract("file_name", r"^([A-Za-z]+)[^/]*$", 1)
     split: Column | None = None
     for name, label in SPLIT_FILES.items():
         match = stem == name
         split = F.when(match, label) if split is None else split.when(match, label)
-    return df.withColumn("split", split)
+    unknown = F.raise_error(F.concat(F.lit("no split is named by the file "), "file_name"))
+    return df.withColumn("split", split.otherwise(unknown.cast("string")))
 
 
-def write_by_source(df: DataFrame, path: str, file_col: str = "file_name") -> None:
-    """JSON lines in one directory per source file.
+def write_by_source(df: DataFrame, path: str, file_col: str = "file_name", gather: bool = False) -> None:
+    """JSON lines in one directory per source file, whole records where there are any.
 
-    Rows are rebalanced by source: small sources end in one file, and AQE cuts
-    a very large one over many tasks.
+    Texts aren't shuffled: a scan's tasks hold a stretch of one or a few files, so there are
+    about as many files as tasks and sources. Where a join has mixed the rows,
+    ``gather`` rebalances them by source first, and AQE cuts a very large one over many tasks.
     """
-    (
-        df.hint("rebalance", file_col)
-        .write.partitionBy(file_col)
-        .option("ignoreNullFields", "false")
-        .mode("overwrite")
-        .json(path)
-    )
+    rows = df.hint("rebalance", file_col) if gather else df
+    lines = rows.select(record_json(df, [file_col]).alias("value"), file_col)
+    lines.write.partitionBy(file_col).mode("overwrite").text(path)
 
 
 def write_by_language(
@@ -100,10 +163,15 @@ def write_by_language(
 ) -> DataFrame:
     """One directory per upper-cased language, the column kept; returns rows per language.
 
-    The statistics read the written table, so the identification runs once.
+    Rows are rebalanced by language, so that small languages end in one file each and not in one
+    per task. The statistics read the written table, so the identification runs once.
     """
     part = F.upper(F.coalesce(F.col(field), F.lit("unknown")))
-    df.withColumn("_part", part).write.partitionBy("_part").format(storage).mode("overwrite").save(path)
+    rows = df.withColumn("_part", part).hint("rebalance", "_part")
+    if storage == "json":
+        rows.select(record_json(df).alias("value"), "_part").write.partitionBy("_part").mode("overwrite").text(path)
+    else:
+        rows.write.partitionBy("_part").format(storage).mode("overwrite").save(path)
     return language_stats(read_language(df.sparkSession, path, df.schema, storage=storage), field)
 
 
@@ -115,6 +183,20 @@ def read_language(
     storage: str = "json",
 ) -> DataFrame:
     """Read back one language (only its directory is listed in the scan) or all of them."""
+    if RECORD in schema.names and storage == "json":
+        table = spark.read.schema("value string, _part string").text(path)
+        if language:
+            table = table.where(F.col("_part") == language.upper())
+        parsed = table.withColumn(RECORD, F.try_parse_json("value"))
+        parsed = parsed.withColumn("_fields", F.expr(f"try_cast({RECORD} AS MAP<STRING, VARIANT>)"))
+        return parsed.select(
+            *[
+                F.col(RECORD)
+                if f.name == RECORD
+                else F.try_variant_get(F.try_element_at("_fields", F.lit(f.name)), "$", f.dataType.simpleString()).alias(f.name)
+                for f in schema
+            ]
+        )
     with_part = T.StructType([*schema.fields, T.StructField("_part", T.StringType())])
     df = spark.read.format(storage).schema(with_part).load(path)
     if language:
@@ -122,24 +204,26 @@ def read_language(
     return df.drop("_part")
 
 
-def write_scored(df: DataFrame, path: str, schema_from: DataFrame | None = None) -> DataFrame:
-    """Write scored rows as JSON lines and read them back under the same schema.
+def write_scored(df: DataFrame, path: str, scratch: Scratch) -> DataFrame:
+    """Write scored rows as JSON lines, and return them as they were scored.
 
-    The second sink works from what was written, so that a remote scorer is
-    called once per row even when executors are lost.
+    Scored rows are settled first, so that a remote scorer is called once per
+    row even when executors are lost, and both sinks work from that table.
     """
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-    return df.sparkSession.read.schema((schema_from or df).schema).json(path)
+    settled = scratch.save(df, "scored")
+    settled.select(record_json(settled).alias("value")).write.mode("overwrite").text(path)
+    return settled
 
 
-def dual_sink(scored: DataFrame, output_dir: str, field: str = "overall", threshold: float = 3.5) -> None:
-    """All scored rows to ``sft_data_score.jsonl``, passing ones to ``filtered_data.jsonl``."""
+def dual_sink(
+    scored: DataFrame, output_dir: str, scratch: Scratch, field: str = "overall", threshold: float = 3.5
+) -> None:
+    """All scored rows to ``sft_data_score.jsonl``, passing ones, as they came, to ``filtered_data.jsonl``."""
     from corpusloom.operators.sft import reward_filter
 
-    written = write_scored(scored, f"{output_dir}/sft_data_score.jsonl")
-    reward_filter(written, field, threshold).write.mode("overwrite").option(
-        "ignoreNullFields", "false"
-    ).json(f"{output_dir}/filtered_data.jsonl")
+    written = write_scored(scored, f"{output_dir}/sft_data_score.jsonl", scratch)
+    passing = reward_filter(written, field, threshold)
+    passing.select(record_json(passing).alias("value")).write.mode("overwrite").text(f"{output_dir}/filtered_data.jsonl")
 
 
 def write_tokens(tokens: DataFrame, path: str) -> None:

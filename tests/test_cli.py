@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from corpusloom import cli
 
 
@@ -13,19 +15,43 @@ def lines(path, rows):
 def test_curate_job(spark, tmp_path):
     text = " ".join(f"word{i}" for i in range(60))
     lines(tmp_path / "in" / "a.jsonl", [{"text": text + " a@b.org", "url": "u"}, {"text": "short"}])
-    lines(tmp_path / "in" / "b.jsonl", [{"text": text + " c@d.org", "url": "v"}])
+    lines(tmp_path / "in" / "b.jsonl", [{"text": text + " c@d.org", "url": "v", "deep": {"a": [1, 2]}}])
+    with (tmp_path / "in" / "b.jsonl").open("a") as file:
+        file.write("{cut\n")
     (tmp_path / "fuzzy.yaml").write_text("seed: 42\nchar_ngrams: 5\nbuckets_per_shuffle: 1\n")
     cli.main([
         "curate", "--input-dir", str(tmp_path / "in"), "--output-dir", str(tmp_path / "out"),
-        "--cleaning", "--heuristic", "--pii", "--exact", "--fuzzy", "--extra-fields", "url string",
+        "--cleaning", "--heuristic", "--pii", "--exact", "--fuzzy", "--pii-pattern", r"NINE=\bword9\b",
         "--fuzzy-config", str(tmp_path / "fuzzy.yaml"),
     ])
+    text = text.replace("word9 ", "<NINE> ")
     rows = spark.read.json(str(tmp_path / "out" / "fuzzy_dedup")).collect()
     assert [(r.id, r.text, r.file_name) for r in rows] in (
         [("id-0000000000", text + " <EMAIL_ADDRESS>", "a.jsonl")],
         [("id-0000000000", text + " <EMAIL_ADDRESS>", "b.jsonl")],
     )
     assert rows[0].word_count == 61 and rows[0].url in "uv"
+    by_url = {r.url: r for r in spark.read.json(str(tmp_path / "out" / "cleaning")).collect()}
+    assert by_url["v"].deep.a == [1, 2] and by_url["u"].deep is None
+    assert (tmp_path / "out" / "rejected" / "file_name=b.jsonl").is_dir()
+    assert not (tmp_path / "out" / "rejected" / "file_name=a.jsonl").exists()
+
+
+def test_curate_job_with_an_encoder(spark, tmp_path, monkeypatch):
+    (tmp_path / "letters.py").write_text("def two(texts):\n    return [[float(t.count('a')), float(t.count('b'))] for t in texts]\n")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    spark.sparkContext.addPyFile(str(tmp_path / "letters.py"))
+    texts = ["a a a a b", "b b b a", "a a a a b ", "x"]
+    lines(tmp_path / "in" / "a.jsonl", [{"text": t} for t in texts])
+    (tmp_path / "semantic.yaml").write_text("n_clusters: 2\nembedding_model_name_or_path: some/model\n")
+    job = [
+        "curate", "--input-dir", str(tmp_path / "in"), "--output-dir", str(tmp_path / "out"), "--semantic",
+        "--semantic-config", str(tmp_path / "semantic.yaml"),
+    ]
+    with pytest.raises(ValueError, match="some/model"):
+        cli.main(job)
+    cli.main([*job, "--encoder", "letters:two"])
+    assert sorted(r.text for r in spark.read.json(str(tmp_path / "out" / "semantic")).collect()) == ["a a a a b", "b b b a", "x"]
 
 
 def test_qa_job(spark, tmp_path):

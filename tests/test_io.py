@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import fuzzy, sft
+from corpusloom.operators import exact, fuzzy, semantic, sft
 from corpusloom.operators.ids import ensure_id
 from corpusloom.operators.language import ngram_profiles, profile_scorer
 from corpusloom.plans import catalog, oracle
@@ -44,6 +44,85 @@ def test_late_ids_are_kept_and_missing_ones_filled(spark, scratch, tmp_path):
     assert ensure_id(df.limit(0), scratch, fill=True).count() == 0
 
 
+def test_filled_ids_never_equal_given_ones(spark, scratch):
+    rows = [("id-0000000001", "dup"), (None, "unique"), ("id-0000000000", "dup"), (None, "more"), ("id-7", "x"), ("id-00000000012", "y")]
+    df = spark.createDataFrame(rows, "id string, text string").coalesce(1)
+    out = ensure_id(df, scratch, fill=True)
+    got = {r.text: r.id for r in out.collect() if r.text in ("unique", "more")}
+    assert got == {"unique": "id-0000000003", "more": "id-0000000005"}
+    assert sorted(r.text for r in exact.exact_dedup(out, scratch).collect()) == ["dup", "more", "unique", "x", "y"]
+    big = spark.createDataFrame([("id-" + "9" * 20, "a"), (None, "b"), ("id-" + "1" * 60, "c"), ("other-0000000009", "d")], "id string, text string")
+    filled = {r.text: r.id for r in ensure_id(big, scratch, fill=True, order_by=["text"]).collect()}
+    assert filled["b"] == "id-100000000000000000001"
+    none = spark.createDataFrame([(None, "a"), (None, "b")], "id string, text string")
+    assert sorted(r.id for r in ensure_id(none, scratch, fill=True).collect()) == ["id-0000000000", "id-0000000001"]
+
+
+WHOLE = [
+    {"id": 1, "text": "a", "tags": ["x", None, {"deep": [1.5, True]}], "a.b'c\"d": {"": "é"}},
+    {"text": None, "id": "two", "n": 12345678901234567890123, "file_name": "mine"},
+    {"id": "3"},
+    {},
+]
+
+
+def test_whole_records_go_from_scan_to_sink(spark, scratch, tmp_path):
+    (tmp_path / "in").mkdir()
+    bad = ["{cut", "[1]", "5", '{"text": 1, "text": 2}', "null"]
+    write_lines(tmp_path / "in" / "a.jsonl", [*WHOLE[:2], *bad[:2], "", "  "])
+    write_lines(tmp_path / "in" / "b.jsonl", [*WHOLE[2:], *bad[2:]])
+    df = scratch.save(documents.read_records(spark, str(tmp_path / "in"), "id string, text string"), "records")
+    counts = {r.file_name: r.lines for r in documents.write_rejected(df, str(tmp_path / "bad")).collect()}
+    assert counts == {"a.jsonl": 2, "b.jsonl": 3}
+    kept = [line for p in (tmp_path / "bad").rglob("part-*") for line in p.read_text().splitlines()]
+    assert sorted(kept) == sorted(bad)
+    good = documents.accepted(df)
+    assert sorted(((r.id, r.text) for r in good.select("id", "text").collect()), key=str) == [
+        ("1", "a"), ("3", None), ("two", None), (None, None)
+    ]
+    changed = good.withColumn("text", F.upper("text")).withColumn("word_count", F.lit(2))
+    documents.write_by_source(changed, str(tmp_path / "out"))
+    back = {}
+    for part in (tmp_path / "out").rglob("part-*"):
+        for line in part.read_text().splitlines():
+            back[json.loads(line).get("id")] = (part.parent.name, json.loads(line))
+    assert back == {
+        "1": ("file_name=a.jsonl", WHOLE[0] | {"id": "1", "text": "A", "word_count": 2}),
+        "two": ("file_name=a.jsonl", WHOLE[1] | {"word_count": 2}),
+        "3": ("file_name=b.jsonl", WHOLE[2] | {"word_count": 2}),
+        None: ("file_name=b.jsonl", {"word_count": 2}),
+    }
+
+
+def test_sources_are_written_where_they_are_read(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(12):
+        write_lines(tmp_path / "in" / f"{i}.jsonl", [{"text": "x" * 50}] * 40)
+    df = documents.accepted(documents.read_records(spark, str(tmp_path / "in"), "text string"))
+    documents.write_by_source(df, str(tmp_path / "out"))
+    files = list((tmp_path / "out").rglob("part-*"))
+    assert 12 <= len(files) <= df.rdd.getNumPartitions() + 12
+    plan = df.select(documents.record_json(df, ["file_name"]), "file_name")._jdf.queryExecution().toString()
+    assert "Exchange" not in plan
+
+
+def test_scored_records_keep_their_fields(spark, scratch, tmp_path):
+    write_lines(tmp_path / "in.jsonl", [{"input": "q", "output": "x" * n, "source": {"page": n}, "extra": None} for n in (2, 6)])
+    df = documents.accepted(documents.read_records(spark, str(tmp_path / "in.jsonl"), "input string, output string", file_name=False))
+    reward = sft.reward_struct({m: F.length("output") for m in sft.METRICS})
+    documents.dual_sink(sft.with_overall(df.withColumn("reward", reward)), str(tmp_path / "out"), scratch)
+    read = lambda name: [json.loads(x) for p in (tmp_path / "out" / name).glob("part-*") for x in p.read_text().splitlines()]
+    assert read("filtered_data.jsonl") == [{"input": "q", "output": "xxxxxx", "source": {"page": 6}, "extra": None}]
+    scored = read("sft_data_score.jsonl")
+    assert {r["source"]["page"]: r["reward"]["overall"] for r in scored} == {2: 2.0, 6: 6.0}
+
+
+def test_a_file_of_no_split_is_an_error(spark, tmp_path):
+    write_lines(tmp_path / "other.jsonl", [{"input": "a", "output": "b"}])
+    with pytest.raises(Exception, match="other.jsonl"):
+        documents.read_splits(spark, str(tmp_path)).collect()
+
+
 def test_several_paths_make_one_dataset(spark, tmp_path):
     for name in ("x", "y"):
         (tmp_path / name).mkdir()
@@ -80,7 +159,7 @@ def test_splits_by_file_name(spark, tmp_path):
     assert got == {"training": "train", "validation": "validation", "test": "test"}
 
 
-def test_dual_sink_scores_once(spark, tmp_path):
+def test_dual_sink_scores_once(spark, scratch, tmp_path):
     df = spark.createDataFrame([("q", "x" * n) for n in (2, 6)], "input string, output string")
     calls = spark.sparkContext.accumulator(0)
 
@@ -92,7 +171,7 @@ def test_dual_sink_scores_once(spark, tmp_path):
         return client
 
     scored = sft.with_overall(sft.score_pairs(df, factory))
-    documents.dual_sink(scored, str(tmp_path))
+    documents.dual_sink(scored, str(tmp_path), scratch)
     assert calls.value == 2
     read = lambda name: [
         json.loads(line)
@@ -162,12 +241,17 @@ def test_curation_run(spark, scratch, tmp_path):
     config = CurationConfig(
         cleaning=True, lid=True, language="en", heuristic=True, pii=True, pii_anonymize_action="encrypt",
         exact=True, fuzzy=True, semantic=True,
+        semantic_config=semantic.SemanticConfig(n_clusters=3, embedding_model_name_or_path=semantic.BUILT_IN),
     )
     run = run_stages(df, config, scratch, models, str(tmp_path / "out"))
     counts = {r.stage: r.documents for r in funnel(spark, run).collect()}
     assert counts["input"] == 5 and counts["heuristic"] == 3 and counts["exact_duplicates"] == 2
     assert list(counts) and counts["semantic"] == 2
     assert all((tmp_path / "out" / stage).is_dir() for stage in counts if stage != "input")
+    assert {p.name for p in (tmp_path / "out" / "language").glob("_part=*")} == {"_part=EN", "_part=FR"}
+    stats = spark.read.json(str(tmp_path / "out" / "language_stats")).collect()
+    assert {r.language: r.documents for r in stats} == {"EN": 5 - sum(r.documents for r in stats if r.language == "FR"), "FR": counts["input"] - counts["language"]}
+    assert (tmp_path / "out" / "semantic_embeddings").is_dir()
     final = run.documents
     fused = run_stages(df, config, scratch, models)
     assert fused.counts == run.counts and fused.documents.count() == final.count()
@@ -184,7 +268,7 @@ def test_key_from_a_file(spark, tmp_path):
 
 
 def test_catalogue_and_oracle_agree_on_names():
-    without_sql = {"pii_encrypt", "pack_ffd", "semantic_clusters"}
+    without_sql = {"pii_encrypt", "pack_ffd"}
     assert set(catalog.QUERIES) - set(oracle.SQL) == without_sql
     assert set(oracle.SQL) <= set(catalog.QUERIES)
 
