@@ -153,7 +153,7 @@ def parser() -> argparse.ArgumentParser:
     job.set_defaults(run=run_wiki)
     job.add_argument("--dumps", required=True, help="glob of dump files")
     job.add_argument("--output-dir", required=True)
-    job.add_argument("--language", required=True)
+    job.add_argument("--language", default="zh-classical")
     job.add_argument("--url-limit", type=int, default=None, help="number of dump files to read")
 
     job = jobs.add_parser("qa", help="question-answer rows as instruction pairs")

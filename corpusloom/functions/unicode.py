@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ COMPOSED = (
     r"\x{0}-\x{2FF}\x{2010}-\x{2027}\x{2030}-\x{205E}\x{3001}-\x{3029}\x{3041}-\x{3096}"
     r"\x{30A0}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{AC00}-\x{D7A3}\x{FF01}-\x{FF9D}"
 )
+ESCAPES = r"\x{1B}\[[0-9;]*[A-Za-z]"
 CONTROLS = r"[\x{0}-\x{8}\x{B}-\x{1F}\x{7F}-\x{9F}]"
 
 
@@ -21,15 +24,81 @@ def _nfc(texts: pd.Series) -> pd.Series:
     return texts.str.normalize("NFC")
 
 
-def redecode(text: Column) -> Column:
-    """Undo UTF-8 read as Latin-1, where the whole text allows that reading.
+def _byte_of() -> dict[str, int]:
+    """The byte from 80 to F4 that a character stands for in Latin-1 or in windows-1252."""
+    table = {chr(byte): byte for byte in range(0x80, 0xF5)}
+    return table | {char: byte for byte, char in zip(range(0x80, 0xA0), WINDOWS_1252, strict=True) if char != " "}
+
+
+# Windows-1252 from 80 to 9F; a blank where it has no character.
+WINDOWS_1252 = "€ ‚ƒ„…†‡ˆ‰Š‹Œ Ž  ‘’“”•–—˜™š›œ žŸ"
+# Marks that also stand right behind a letter in sound text.
+AFTER_LETTERS = "‚„…‘’“”–—‹›«»"
+
+_BYTES = _byte_of()
+_LATER = "".join(re.escape(char) for char, byte in _BYTES.items() if byte < 0xC0)
+_SEQUENCE = (
+    f"(?:[\u00F0-\u00F4][{_LATER}]{{3}}|[\u00E0-\u00EF][{_LATER}]{{2}}|[\u00C2-\u00DF][{_LATER}])"
+)
+_RUN = re.compile(f"{_SEQUENCE}+")
+_ONE = re.compile(_SEQUENCE)
+# For Java: a lead byte and a later one, which nearly all sound texts lack.
+_SUSPECT = "[\\x{C2}-\\x{F4}][" + "".join(f"\\x{{{ord(c):X}}}" for c, b in _BYTES.items() if b < 0xC0) + "]"
+
+
+def _read_again(run: str) -> str | None:
+    """The run's bytes as UTF-8, if they are."""
+    try:
+        return bytes(_BYTES[char] for char in run).decode("utf-8")
+    except UnicodeDecodeError:
+        return None
+
+
+def _surely_broken(text: str, match: re.Match) -> bool:
+    """Whether a run can't well be meant as it stands.
+
+    It is if it has a control character, two sequences in a row, one of four, an opening that
+    belongs to punctuation (U+2000 to U+203F), or Â or Ã before a sign that
+    doesn't follow letters, or that a small letter follows in turn.
+    """
+    run = match.group()
+    if any("\x80" <= char <= "\x9f" for char in run) or len(run) > 3 or len(_ONE.findall(run)) > 1:
+        return True
+    if len(run) == 3:
+        return run.startswith("â€")
+    if len(run) == 2 and run[0] in "ÂÃ":
+        return run[1] not in AFTER_LETTERS or text[match.end() : match.end() + 1].islower()
+    return False
+
+
+def repair_mojibake(text: str) -> str:
+    """UTF-8 that was read as Latin-1 or windows-1252, read again, run by run.
 
-    The guard comes first because ``encode`` raises on a character that
-    Latin-1 does not have; plain ASCII is its own repair and skips the check.
+    Sound parts of a text stay as they are. A run that could be meant as it stands is
+    repaired only in a text that is surely broken elsewhere. Texts broken several
+    times are repaired as often.
     """
-    as_utf8 = F.encode(text, "ISO-8859-1").cast("string")
-    latin = F.rlike(text, F.lit(r"[\x{80}-\x{FF}]")) & ~F.rlike(text, F.lit(r"[^\x{0}-\x{FF}]"))
-    return F.when(latin, F.when(F.is_valid_utf8(as_utf8), as_utf8).otherwise(text)).otherwise(text)
+    while True:
+        runs = [m for m in _RUN.finditer(text) if _read_again(m.group()) is not None]
+        if not any(_surely_broken(text, m) for m in runs):
+            return text
+        text = _RUN.sub(lambda m: _read_again(m.group()) or m.group(), text)
+
+
+@F.pandas_udf(T.StringType())
+def _repaired(texts: pd.Series) -> pd.Series:
+    return texts.map(repair_mojibake, na_action="ignore")
+
+
+def redecode(text: Column) -> Column:
+    """``repair_mojibake``. Only texts with a suspect pair cross into Python; others pass as null."""
+    return F.coalesce(_repaired(F.when(F.rlike(text, F.lit(_SUSPECT)), text)), text)
+
+
+def name_controls(text: Column) -> Column:
+    """Controls from 80 to 9F as the windows-1252 characters they nearly always were."""
+    pairs = [(chr(byte), char) for byte, char in zip(range(0x80, 0xA0), WINDOWS_1252, strict=True) if char != " "]
+    return F.translate(text, "".join(a for a, _ in pairs), "".join(b for _, b in pairs))
 
 
 def compose(text: Column) -> Column:
@@ -41,13 +110,14 @@ def compose(text: Column) -> Column:
 
 
 def clean_controls(text: Column) -> Column:
-    unified = F.regexp_replace(text, r"\r\n?", "\n")
+    plain = F.regexp_replace(text, ESCAPES, "")
+    unified = F.regexp_replace(plain, r"\r\n?", "\n")
     return F.regexp_replace(unified, CONTROLS, "")
 
 
 def repair(df: DataFrame, text_field: str = "text") -> DataFrame:
-    """All three steps, each on a column of its own: every step uses its input
+    """All steps, each on a column of its own: every step uses its input
     several times, and nested they would repeat the steps before them."""
-    for step in (redecode, compose, clean_controls):
+    for step in (redecode, name_controls, compose, clean_controls):
         df = df.withColumn(text_field, step(F.col(text_field)))
     return df

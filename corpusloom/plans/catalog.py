@@ -166,9 +166,35 @@ def pii_encrypt(spark, sf_dir):
 
 @query
 def unicode_repair(spark, sf_dir):
-    """Every text is damaged as UTF-8 read in Latin-1; the repair must give it back."""
-    damaged = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    return unicode.repair(documents(spark, sf_dir).select(ID, damaged.alias("text")))
+    """Texts damaged in five ways, by id; the repair must give them back.
+
+    UTF-8 read as Latin-1, as windows-1252, or as that twice over; a broken
+    apostrophe in an otherwise sound text; decomposed accents, carriage
+    returns, control characters and terminal colours.
+    """
+    docs = documents(spark, sf_dir).select(ID, "text")
+    wide = [(chr(b), c) for b, c in zip(range(0x80, 0xA0), unicode.WINDOWS_1252, strict=True) if c != " "]
+
+    def latin(value: Column) -> Column:
+        return F.decode(F.encode(value, "UTF-8"), "ISO-8859-1")
+
+    def windows(value: Column) -> Column:
+        return F.translate(latin(value), "".join(a for a, _ in wide), "".join(b for _, b in wide))
+
+    marks = {"é": "e\u0301", "è": "e\u0300", "à": "a\u0300", "ä": "a\u0308", "ö": "o\u0308", "ü": "u\u0308", "ñ": "n\u0303"}
+    untidy = F.regexp_replace("text", "\n", "\r\n")
+    for whole, parts in marks.items():
+        untidy = F.replace(untidy, F.lit(whole), F.lit(parts))
+    untidy = F.concat(F.lit("\x00\x1b[31m"), untidy, F.lit("\x08\x1b[0m"))
+    kind = F.col(ID) % 5
+    damaged = (
+        F.when(kind == 0, latin(F.col("text")))
+        .when(kind == 1, windows(F.col("text")))
+        .when(kind == 2, windows(windows(F.col("text"))))
+        .when(kind == 3, F.concat("text", F.lit(" itâ€™s café")))
+        .otherwise(untidy)
+    )
+    return unicode.repair(docs.select(ID, damaged.alias("text")))
 
 
 @query
@@ -178,15 +204,22 @@ def unicode_noop(spark, sf_dir):
 
 @query
 def wiki_extract(spark, sf_dir):
+    """Texts inside markup nested six deep, with names of a German dump; the oracle states what is left."""
+    nested, cells, picture = "core", "core", "core"
+    for depth in range(6):
+        nested = f"{{{{T{depth}|a={nested}|}}}}"
+        cells = f"\n{{| class=x\n|-\n| {cells}\n|}}\n"
+        picture = f"[[Datei:p{depth}.png|mini|Bild {picture} [[a|b]]]]"
     wrapped = F.concat(
-        F.lit("{{Infobox|a={{b}}}}\n'''"),
+        F.lit(f"{nested}{cells}{picture}'''"),
         F.col("source"),
-        F.lit("''' is [[Thing|a thing]] of [[Place]].<ref name=\"x\">note</ref> "),
-        F.lit("[http://example.org/ link] <!-- hidden -->\n== Text ==\n"),
+        F.lit("''' is [[Thing|a ''thing'']] of [[Place]]<ref name=\"x\">note {{a|[[b}}</ref> and<ref name=x/> "),
+        F.lit("[http://example.org/ a link], &lt;5 {{unclosed <!-- {{hidden -->\n== Text {{x|}}==\n"),
         F.col("text"),
-        F.lit("\n[[Category:All]]\n"),
+        F.lit("\n* <small>one</small>\n# <math>x^2</math>two <nowiki>[[three]]</nowiki>\n"),
+        F.lit("[[Kategorie:All]]\n[[:Category:Shown]]\n"),
     )
-    return documents(spark, sf_dir).select(ID, markup.wiki_text(wrapped).alias("text"))
+    return documents(spark, sf_dir).select(ID, markup.wiki_text(wrapped, ["Datei", "Kategorie"]).alias("text"))
 
 
 @query

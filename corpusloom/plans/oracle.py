@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corpusloom.functions import minhash
-from corpusloom.functions.markup import HTML_RULES, WIKI_RULES
+from corpusloom.functions.markup import HTML_RULES
 from corpusloom.functions.pii import PATTERNS
 from corpusloom.functions.prompts import CHAT_START, PROMPT_TEMPLATE, TURN_PARTS
 from corpusloom.operators.sft import METRICS
@@ -136,7 +136,8 @@ SQL["pii_hash"] = pii_rewritten("sha256(p[2])")
 
 # --- Unicode and extraction ------------------------------------------------
 
-SQL["unicode_repair"] = "SELECT doc_id, text FROM documents"
+SQL["unicode_repair"] = """
+SELECT doc_id, CASE WHEN doc_id % 5 = 3 THEN text || ' it’s café' ELSE text END AS text FROM documents"""
 SQL["unicode_noop"] = "SELECT doc_id, text FROM documents"
 
 
@@ -147,14 +148,9 @@ def with_rules(column: str, rules: list[tuple[str, str]]) -> str:
     return column
 
 
-_WRAPPED = (
-    "'{{Infobox|a={{b}}}}\n''''''' || source || ''''''' is [[Thing|a thing]] of [[Place]]."
-    '<ref name="x">note</ref> [http://example.org/ link] <!-- hidden -->\n== Text ==\n\''
-    " || text || '\n[[Category:All]]\n'"
-)
-SQL["wiki_extract"] = f"""
-SELECT doc_id, regexp_replace({with_rules(_WRAPPED, WIKI_RULES)},
-                              '^[ \\t\\n\\r\\f]+|[ \\t\\n\\r\\f]+$', '', 'g') AS text
+SQL["wiki_extract"] = """
+SELECT doc_id, source || ' is a thing of Place and a link, <5 {{unclosed ' || chr(10) || 'Text' || chr(10) || text || chr(10)
+  || 'one' || chr(10) || 'two [[three]]' || chr(10) || chr(10) || 'Category:Shown' AS text
 FROM documents"""
 
 

@@ -184,8 +184,13 @@ def test_dual_sink_scores_once(spark, scratch, tmp_path):
 
 
 DUMP = """<mediawiki>
+<siteinfo><namespaces>
+<namespace key="-2" case="first-letter">Medium</namespace>
+<namespace key="6" case="first-letter">Datei</namespace>
+<namespace key="14" case="first-letter">Kategorie</namespace>
+</namespaces></siteinfo>
 <page><title>Some Page</title><ns>0</ns><id>7</id><revision><id>1</id>
-<text bytes="9" xml:space="preserve">'''Bold''' [[x|y]]</text></revision></page>
+<text bytes="9" xml:space="preserve">'''Bold''' [[x|y]] [[Datei:a.png|b [[c]]]] [[Kategorie:D]]</text></revision></page>
 <page><title>Old</title><ns>0</ns><id>8</id><redirect title="Some Page" />
 <revision><text xml:space="preserve">#REDIRECT</text></revision></page>
 <page><title>Talk:X</title><ns>1</ns><id>9</id><revision><text xml:space="preserve">t</text></revision></page>

@@ -111,10 +111,36 @@ def test_unicode_repair(spark):
     broken = "é".encode().decode("latin-1")
     values = [broken, "e\u0301", "a\x00b\x85c\td", "a\r\nb\rc", "plain", "naïve", "Ω日本", None]
     assert repaired(spark, values) == [
-        "é", "\u00e9", "abc\td", "a\nb\nc", "plain", "naïve", "Ω日本", None,
+        "é", "\u00e9", "ab…c\td", "a\nb\nc", "plain", "naïve", "Ω日本", None,
     ]
 
 
+SOUND = ["itâ€ is", "“CAFÉ” «À» É»", "allé…»", "naïve “É”", "Ã", "São Paulo", "MAÇÃ”", "Ω日本", "à «non»", ""]
+BROKEN = ["it’s café", "été", "Österreich", "sûr", "“quoted” – dash…", "日本語のテキスト", "Привет, мир", "naïve NBSP\xa0x", "😀 ok"]
+
+
+@pytest.mark.parametrize("times", [1, 2, 3])
+def test_mojibake_is_read_again_run_by_run(spark, times):
+    def windows(text):
+        read = text.encode().decode("latin-1")
+        named = [unicode.WINDOWS_1252[ord(c) - 0x80] if 0x80 <= ord(c) < 0xA0 else c for c in read]
+        return "".join(c if n == " " and c != " " else n for c, n in zip(read, named, strict=True))
+
+    for damage in (windows, lambda text: text.encode().decode("latin-1")):
+        damaged = BROKEN
+        for _ in range(times):
+            damaged = [damage(t) for t in damaged]
+        assert repaired(spark, damaged) == BROKEN
+        # The sound part of a text stays as it is.
+        assert repaired(spark, [t + " — né «à» 日本" for t in damaged]) == [t + " — né «à» 日本" for t in BROKEN]
+
+
+def test_sound_texts_are_left_alone(spark):
+    assert repaired(spark, SOUND) == SOUND
+    long = "É» à «" * 200_000
+    assert unicode.repair_mojibake(long) == long
+
+
 def test_characters_taken_as_composed_are_stable():
     import re
 
@@ -141,6 +167,40 @@ def test_wiki_text(spark):
     assert column(spark, [source], markup.wiki_text) == ["Bold b c z"]
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("{{a|{{b|{{c|{{d|{{e|{{f|}}}}}}}}}}}}x", "x"),
+        ("{{{1|d}}} {{a|{{{2|}}}}} y", "y"),
+        ("a {{open [[b|c]] d", "a {{open c d"),
+        ("a }} ]] |} b", "a }} ]] |} b"),
+        ("{{a [[b}} c]]", "c]]"),
+        ("{|\n| {|\n| x\n|}\n| y {{z|}}\n|}\nafter", "after"),
+        ("[[Image:x.png|[[File:y|z]] w]]v", "v"),
+        ("[[a|b|c]] [[ d ]] [[:File:e]]", "b|c d File:e"),
+        ("=== H ===\nt == u\n__TOC__\n; d : e", "H\nt == u\n\nd : e"),
+        ("a<ref>b<ref>c</ref></ref>d<br/>e<math>f</math><b>g</b>", "ad\neg"),
+        ("-{zh-hans:计算机; zh-hant:電腦}- -{x}-", "计算机 x"),
+        ("<!-- open", ""),
+        ("", ""),
+        ("<nowiki>'' [[x]]", "'' [[x]]"),
+    ],
+)
+def test_wiki_scanner(source, text):
+    assert markup.strip_wiki(source, frozenset({"file", "image", "category"})) == text
+
+
+def test_wiki_scanner_is_linear_and_deep():
+    import time
+
+    start = time.time()
+    none = frozenset()
+    assert markup.strip_wiki("{{" * 100_000 + "}}" * 100_000 + "x", none) == "x"
+    for piece in ("{{a|", "[[a|", "<ref>", "<!-", "[http://a ", "{|", "'''", "<a ", "}}", "= "):
+        markup.strip_wiki(piece * 100_000, none)
+    assert time.time() - start < 30
+
+
 def test_html_text(spark):
     page = "<html><style>p{}</style><script>var x='</p>';</script><p>a&amp;b<b>c</p> &lt;d&gt;"
     assert column(spark, [page], markup.html_text) == ["a&b c <d>"]
