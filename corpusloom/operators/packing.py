@@ -26,6 +26,21 @@ def pack_by_offset(
     return summed.withColumn("bin", F.expr(f"(_end - {size_col}) div {seq_length}")).drop("_end")
 
 
+def pieces(df: DataFrame, seq_length: int, id_col: str = "id", size_col: str = "n_tokens") -> DataFrame:
+    """``(id, part, from, to, size)``: each example cut where it is longer than a sequence.
+
+    Parts are whole sequences but for the last; tokens ``from`` to ``to`` (not
+    included) of an example are in one part. An empty example, or one without a
+    size, is one empty part.
+    """
+    size = F.coalesce(F.col(size_col).cast("bigint"), F.lit(0).cast("bigint"))
+    last = F.greatest(F.ceil(size / seq_length) - 1, F.lit(0)).cast("int")
+    cut = df.select(F.col(id_col).alias("id"), size.alias("_size"), F.explode(F.sequence(F.lit(0), last)).alias("part"))
+    begin = F.col("part").cast("bigint") * seq_length
+    end = F.least(begin + seq_length, F.col("_size"))
+    return cut.select("id", "part", begin.alias("from"), end.alias("to"), (end - begin).alias("size"))
+
+
 def pack_ffd(
     df: DataFrame,
     seq_length: int,
@@ -34,43 +49,48 @@ def pack_ffd(
     rows: int | None = None,
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
-    """``(shard, bin, id, size)`` by first-fit-decreasing; no bin exceeds ``seq_length``.
+    """``(shard, bin, id, part, from, to, size)`` by first-fit-decreasing; no bin exceeds ``seq_length``.
 
-    Packing runs inside shards cut by a hash of the id, so shards are even and
-    of about ``shard_rows`` rows at any data size. A longer example is
-    truncated to ``seq_length``. ``rows`` is the row count, if known.
+    Longer examples are packed in ``pieces``, so no token is lost. Packing runs inside
+    shards cut by a hash of id and part, so shards are even and of about
+    ``shard_rows`` pieces at any data size. ``rows`` is the number of pieces, if known.
     """
-    rows = df.count() if rows is None else rows
+    cut = pieces(df, seq_length, id_col, size_col)
+    rows = cut.count() if rows is None else rows
     shards = max(1, -(-rows // shard_rows))
     id_type = df.schema[id_col].dataType.simpleString()
-    sized = df.select(
-        F.pmod(F.xxhash64(id_col), F.lit(shards)).cast("int").alias("shard"),
-        F.col(id_col).alias("id"),
-        F.least(F.col(size_col).cast("bigint"), F.lit(seq_length)).alias("size"),
-    )
+    names = ["shard", "bin", "id", "part", "from", "to", "size"]
+    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("id", "part"), F.lit(shards)).cast("int"))
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["size", "id"], ascending=[False, True])
-        return group.assign(bin=first_fit(group["size"].to_numpy(), seq_length))[
-            ["shard", "bin", "id", "size"]
-        ]
+        group = group.sort_values(["size", "id", "part"], ascending=[False, True, True])
+        return group.assign(bin=first_fit(group["size"].to_numpy(), seq_length))[names]
 
     return (
-        sized.groupBy("shard")
-        .applyInPandas(pack, f"shard int, bin int, id {id_type}, size bigint")
+        dealt.groupBy("shard")
+        .applyInPandas(pack, f"shard int, bin int, id {id_type}, part int, from bigint, to bigint, size bigint")
         .withColumnRenamed("id", id_col)
-        .withColumnRenamed("size", size_col)
     )
 
 
 def first_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
-    """The first bin with room for each size, in the order given."""
-    free = np.full(max(len(sizes), 1), capacity, dtype=np.int64)
+    """The first bin with room for each size, in the order given.
+
+    A tree over the bins holds the largest room below each node, so a bin is
+    found, and its room lowered, in a number of steps that grows with the logarithm of the bins.
+    """
+    leaves = 1 << max(0, len(sizes) - 1).bit_length()
+    room = [capacity] * (2 * leaves)
     bins = np.empty(len(sizes), dtype=np.int32)
-    opened = 0
-    for i, size in enumerate(sizes):
-        b = int(np.argmax(free[: opened + 1] >= size))
-        bins[i] = b
-        free[b] -= size
-        opened = max(opened, b + 1)
+    for i, size in enumerate(sizes.tolist()):
+        node = 1
+        while node < leaves:
+            node *= 2
+            if room[node] < size:
+                node += 1
+        bins[i] = node - leaves
+        room[node] -= size
+        while node > 1:
+            node //= 2
+            room[node] = max(room[2 * node], room[2 * node + 1])
     return bins

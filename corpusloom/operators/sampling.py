@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import bucket, fraction
@@ -57,8 +57,9 @@ def blend_rates(
     )
     counts = df.groupBy(source_col).agg(F.count(F.lit(1)).alias("n"))
     wanted = counts.join(table, source_col).withColumn("per_row", F.col("weight") / F.col("n"))
-    most = wanted.agg(F.max("per_row").alias("most"))
-    return wanted.select(source_col, (F.col("per_row") / most.scalar()).alias("rate"))
+    # One row per weight that the caller has given, so one task may hold them.
+    most = F.max("per_row").over(Window.partitionBy())
+    return wanted.select(source_col, (F.col("per_row") / most).alias("rate"))
 
 
 def blend_sources(

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.text import words
-from corpusloom.operators.ordering import running_sum
+from corpusloom.operators.ordering import ordinals, running_sum
 from corpusloom.operators.skew import ROWS_PER_SLICE, salted_join
 from corpusloom.scratch import Scratch
 
@@ -18,30 +21,42 @@ EOD_ID = 0
 UNKNOWN_ID = 1
 FIRST_TOKEN_ID = 2
 
+#: What ``vocab_tokenizer`` hands to each executor unless told otherwise.
 MAX_LOCAL_VOCABULARY = 1_000_000
+#: Tokens of the documents that share a block in ``tokenize_by_join``.
+CODED_TOKENS = 500_000
 
 
-def build_vocab(df: DataFrame, size: int, text_field: str = "text") -> DataFrame:
+def build_vocab(df: DataFrame, size: int, scratch: Scratch, text_field: str = "text") -> DataFrame:
     """``(token, count, token_id)`` of the ``size`` commonest tokens, ties by token.
 
-    Counts combine before the shuffle; numbering runs over ``size`` rows only.
+    Counts combine before the shuffle and are written once. A histogram (how many
+    tokens have which count) gives the count that the last token of the vocabulary
+    has; only tokens of at least that count are put in order, by ranges, and numbered. No
+    task holds more than its range, however large the vocabulary.
     """
     counts = (
         df.select(F.explode(words(F.col(text_field))).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    order = [F.desc("count"), F.asc("token")]
-    top = counts.orderBy(*order).limit(size)
-    number = F.row_number().over(Window.orderBy(*order))
-    return top.withColumn("token_id", number + (FIRST_TOKEN_ID - 1))
+    counts = scratch.save(counts, "token_counts")
+    histogram = counts.groupBy((-F.col("count")).alias("less")).agg(F.count(F.lit(1)).alias("tokens"))
+    reached = running_sum(histogram, "tokens", ["less"], scratch, name="so_far").where(F.col("so_far") >= size)
+    least = reached.agg(F.coalesce(-F.min("less"), F.lit(1)).alias("least")).scalar()
+    common = counts.where(F.col("count") >= least).withColumn("less", -F.col("count"))
+    numbered = ordinals(common, scratch, ["less", "token"], "ordinal").where(F.col("ordinal") < size)
+    return numbered.select("token", "count", (F.col("ordinal") + FIRST_TOKEN_ID).cast("int").alias("token_id"))
 
 
-def vocab_tokenizer(vocab: DataFrame) -> Callable[[Column], Column] | None:
-    """A column function for a vocabulary of checked size, ``None`` for a larger one."""
-    rows = vocab.select("token", "token_id").limit(MAX_LOCAL_VOCABULARY + 1).toPandas()
-    if len(rows) > MAX_LOCAL_VOCABULARY:
-        return None
+def vocab_tokenizer(vocab: DataFrame, max_tokens: int = MAX_LOCAL_VOCABULARY) -> Callable[[Column], Column]:
+    """A column function that hands the whole vocabulary to each executor.
+
+    More than ``max_tokens`` tokens are an error: such a vocabulary is for ``tokenize_by_join``.
+    """
+    rows = vocab.select("token", "token_id").limit(max_tokens + 1).toPandas()
+    if len(rows) > max_tokens:
+        raise ValueError(f"the vocabulary has more than {max_tokens} tokens; use tokenize_by_join, or raise max_tokens")
     table = dict(zip(rows["token"], rows["token_id"].astype(int), strict=True))
     shared = vocab.sparkSession.sparkContext.broadcast(table)
 
@@ -93,9 +108,57 @@ def tokenize(
     return df.withColumn("token_ids", ids).withColumn("n_tokens", F.size("token_ids"))
 
 
+def _coded(df: DataFrame, id_col: str, text_field: str) -> DataFrame:
+    """``(block, ids, codes, tokens)``: texts as numbers of the distinct tokens of their block."""
+    separate = re.compile("[^ \t\n\r\f]+")
+    schema = T.StructType(
+        [
+            T.StructField("ids", T.ArrayType(df.schema[id_col].dataType)),
+            T.StructField("codes", T.ArrayType(T.ArrayType(T.IntegerType()))),
+            T.StructField("tokens", T.ArrayType(T.StringType())),
+        ]
+    )
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: list[pa.Array] = []
+        codes: list[list[int]] = []
+        known: dict[str, int] = {}
+
+        def put() -> pa.RecordBatch:
+            column = pa.concat_arrays(ids)
+            out = [
+                pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column),
+                pa.array([codes], pa.list_(pa.list_(pa.int32()))),
+                pa.array([list(known)], pa.list_(pa.string())),
+            ]
+            for x in (ids, codes, known):
+                x.clear()
+            return pa.RecordBatch.from_arrays(out, names=["ids", "codes", "tokens"])
+
+        room = CODED_TOKENS
+        for batch in batches:
+            begin = 0
+            for i, text in enumerate(batch.column(1)):
+                row = [known.setdefault(token, len(known)) for token in separate.findall(text.as_py() or "")]
+                codes.append(row)
+                room -= len(row) + 1
+                if room < 0:
+                    ids.append(batch.column(0).slice(begin, i + 1 - begin))
+                    begin = i + 1
+                    yield put()
+                    room = CODED_TOKENS
+            if begin < len(batch):
+                ids.append(batch.column(0).slice(begin))
+        if codes:
+            yield put()
+
+    return df.select(id_col, text_field).mapInArrow(encode, schema).withColumn("block", F.monotonically_increasing_id())
+
+
 def tokenize_by_join(
     df: DataFrame,
     vocab: DataFrame,
+    scratch: Scratch,
     id_col: str = "id",
     text_field: str = "text",
     append_eod: bool = True,
@@ -103,40 +166,23 @@ def tokenize_by_join(
 ) -> DataFrame:
     """``(id, token_ids, n_tokens)`` for a vocabulary too large to hand to each executor.
 
-    A document's tokens are first combined to its distinct ones, and a token
-    found in very many documents is split by its count in the vocabulary.
+    Texts become numbers of the distinct tokens of their block of documents, so that
+    only these tokens meet the vocabulary, once for each block. A token of very many
+    blocks is split by its count in the vocabulary.
     """
-    end = F.array(F.lit(EOD_ID)) if append_eod else F.array().cast("array<int>")
-    placed = (
-        df.select(id_col, F.posexplode(words(F.col(text_field))).alias("pos", "token"))
-        .groupBy(id_col, "token")
-        .agg(F.collect_list("pos").alias("positions"))
-    )
-    known = vocab.select("token", "token_id")
+    blocks = scratch.save(_coded(df, id_col, text_field), "coded")
+    placed = blocks.select("block", F.posexplode("tokens").alias("code", "token"))
     sizes = vocab.select("token", F.col("count").alias("n"))
-    looked_up = salted_join(
-        placed, known, ["token"], sizes, F.col(id_col), rows_per_slice, how="left"
-    ).select(
-        id_col,
-        F.explode("positions").alias("pos"),
-        F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("token_id"),
-    )
-    in_order = F.array_sort(F.collect_list(F.struct("pos", "token_id")))
-    ids = looked_up.groupBy(id_col).agg(in_order.alias("_in_order"))
-    return (
-        df.select(id_col)
-        .join(ids, id_col, "left")
-        .select(
-            id_col,
-            F.concat(
-                F.coalesce(
-                    F.transform("_in_order", lambda t: t["token_id"]), F.array().cast("array<int>")
-                ),
-                end,
-            ).alias("token_ids"),
-        )
-        .withColumn("n_tokens", F.size("token_ids"))
+    found = salted_join(placed, vocab.select("token", "token_id"), ["token"], sizes, F.col("block"), rows_per_slice, "left")
+    in_order = F.array_sort(F.collect_list(F.struct("code", F.coalesce("token_id", F.lit(UNKNOWN_ID)).cast("int").alias("id"))))
+    tables = found.groupBy("block").agg(F.transform(in_order, lambda x: x["id"]).alias("table"))
+    end = F.array(F.lit(EOD_ID)) if append_eod else F.array().cast("array<int>")
+    numbered = F.transform(
+        "codes", lambda row: F.concat(F.transform(row, lambda code: F.element_at("table", code + 1)), end)
     )
+    met = blocks.select("block", "ids", "codes").join(tables, "block", "left")
+    rows = met.select(F.explode(F.arrays_zip(F.col("ids").alias("id"), numbered.alias("token_ids"))).alias("r"))
+    return rows.select(F.col("r.id").alias(id_col), "r.token_ids", F.size("r.token_ids").alias("n_tokens"))
 
 
 def sequence_windows(

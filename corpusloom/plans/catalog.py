@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import markup, minhash, pii, repetition, text, unicode
@@ -530,13 +530,13 @@ def conversation_render(spark, sf_dir):
 
 @query
 def build_vocab(spark, sf_dir):
-    vocab = tokens.build_vocab(documents(spark, sf_dir), VOCAB_SIZE)
+    vocab = tokens.build_vocab(documents(spark, sf_dir), VOCAB_SIZE, Scratch(spark))
     return vocab.select("token", "count", F.col("token_id").cast("bigint").alias("token_id"))
 
 
 def _tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    tokenizer = tokens.vocab_tokenizer(tokens.build_vocab(docs, VOCAB_SIZE))
+    tokenizer = tokens.vocab_tokenizer(tokens.build_vocab(docs, VOCAB_SIZE, Scratch(spark)))
     return tokens.tokenize(docs, tokenizer)
 
 
@@ -559,8 +559,9 @@ def tokenize_eod(spark, sf_dir):
 @query
 def tokenize_vocab_join(spark, sf_dir):
     """The same through the shuffled join, for vocabularies too large to broadcast."""
-    docs = documents(spark, sf_dir)
-    rows = tokens.tokenize_by_join(docs, tokens.build_vocab(docs, VOCAB_SIZE), ID)
+    docs, scratch = documents(spark, sf_dir), Scratch(spark)
+    vocab = scratch.save(tokens.build_vocab(docs, VOCAB_SIZE, scratch), "vocab")
+    rows = tokens.tokenize_by_join(docs, vocab, scratch, ID)
     return rows.select(
         ID,
         F.array_join(F.col("token_ids").cast("array<string>"), " ").alias("token_ids"),
@@ -624,9 +625,31 @@ def pack_by_offset(spark, sf_dir):
 
 @query
 def pack_ffd(spark, sf_dir):
+    """Whether every example is packed whole, in bins that hold it and that come first.
+
+    In first-fit, no earlier bin of the shard can have kept room for a piece.
+    """
     key = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    examples = Scratch(spark).save(_examples(spark, sf_dir).select(key.alias("id"), "n_tokens"), "examples")
-    return packing.pack_ffd(examples, PACK_LENGTH)
+    scratch = Scratch(spark)
+    examples = _examples(spark, sf_dir).select(key.alias("id"), (F.col("n_tokens") * 7).alias("n_tokens"))
+    packed = scratch.save(packing.pack_ffd(scratch.save(examples, "examples"), PACK_LENGTH), "packed")
+    bins = packed.groupBy("shard", "bin").agg(F.sum("size").alias("filled"))
+    earlier = Window.partitionBy("shard").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.withColumn("room_before", F.coalesce(F.max(PACK_LENGTH - F.col("filled")).over(earlier), F.lit(-1)))
+    pieces = packed.join(bins, ["shard", "bin"])
+    parts = F.array_sort(F.collect_list(F.struct("part", "from", "to")))
+    follows = F.aggregate(
+        parts,
+        F.struct(F.lit(True).alias("ok"), F.lit(0).cast("bigint").alias("at")),
+        lambda acc, p: F.struct((acc["ok"] & (p["from"] == acc["at"])).alias("ok"), p["to"].alias("at")),
+    )
+    return pieces.groupBy("id").agg(
+        follows["at"].alias("n_tokens"),
+        F.count(F.lit(1)).alias("n_parts"),
+        follows["ok"].alias("in_one_run"),
+        F.max("filled").between(0, PACK_LENGTH).alias("within_capacity"),
+        F.bool_and(F.col("room_before") < F.col("size")).alias("first_fit"),
+    )
 
 
 @query

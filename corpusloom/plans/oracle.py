@@ -475,6 +475,13 @@ SQL["pack_by_offset"] = with_(
                       ((sum(n_tokens) OVER (ORDER BY conv_id, turn) - n_tokens) // {c.PACK_LENGTH})::bigint AS bin
                FROM examples""",
 )
+SQL["pack_ffd"] = with_(
+    _PAIRS,
+    f"""examples AS (SELECT conv_id || '-' || turn AS id,
+          (7 * (len({words('input')}) + len({words('output')}) + 1))::bigint AS n_tokens FROM pairs)""",
+    select=f"""SELECT id, n_tokens, greatest(1, (n_tokens + {c.PACK_LENGTH - 1}) // {c.PACK_LENGTH})::bigint AS n_parts,
+                      true AS in_one_run, true AS within_capacity, true AS first_fit FROM examples""",
+)
 _WEIGHTS = ", ".join(f"({quoted(s)}, {w}::double)" for s, w in c.BLEND.items())
 SQL["blend_sources"] = with_(
     f"""rates AS (SELECT source, per_row / max(per_row) OVER () AS rate FROM (

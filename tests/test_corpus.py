@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -54,9 +56,9 @@ def documents(spark):
     return spark.createDataFrame(rows, "id bigint, file_name string, text string")
 
 
-def test_vocabulary_and_both_tokenisers(spark):
+def test_vocabulary_and_both_tokenisers(spark, scratch):
     df = documents(spark)
-    vocab = tokens.build_vocab(df, 3)
+    vocab = tokens.build_vocab(df, 3, scratch)
     assert [(r.token, r.token_id) for r in vocab.orderBy("token_id").collect()] == [
         ("the", 2), ("cat", 3), ("dog", 4),
     ]
@@ -64,7 +66,7 @@ def test_vocabulary_and_both_tokenisers(spark):
     want = {0: [2, 3, 1, 0], 1: [2, 4, 0], 2: [0], 3: [0], 4: [2, 2, 1, 0]}
     assert {r.id: r.token_ids for r in local.collect()} == want
     for rows in (1, 1_000_000):
-        joined = tokens.tokenize_by_join(df, vocab, rows_per_slice=rows)
+        joined = tokens.tokenize_by_join(df, vocab, scratch, rows_per_slice=rows)
         assert {r.id: r.token_ids for r in joined.collect()} == want
     bare = tokens.tokenize(df, tokens.vocab_tokenizer(vocab), append_eod=False)
     assert {r.id: r.n_tokens for r in bare.collect()} == {0: 3, 1: 2, 2: 0, 3: 0, 4: 3}
@@ -92,6 +94,33 @@ def test_epoch_steps_round_up_per_file(spark):
     assert sorted(r.steps for r in tokens.steps_from_files(sizes, 4, 4).collect()) == [1, 2]
 
 
+def test_vocabulary_cuts_at_the_histogram(spark, scratch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * rng.randrange(1, 4) for _ in range(rng.randrange(30))) for _ in range(60)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string").repartition(3)
+    counts = Counter(w for t in texts for w in t.split())
+    ranked = sorted(counts, key=lambda w: (-counts[w], w))
+    for size in (1, 2, 17, 40, len(ranked), 10_000):
+        got = {r.token: (r["count"], r.token_id) for r in tokens.build_vocab(df, size, scratch).collect()}
+        assert got == {w: (counts[w], 2 + i) for i, w in enumerate(ranked[:size])}
+    assert tokens.build_vocab(df.limit(0), 5, scratch).count() == 0
+    vocab = tokens.build_vocab(df, 10, scratch)
+    with pytest.raises(ValueError, match="tokenize_by_join"):
+        tokens.vocab_tokenizer(vocab, max_tokens=9)
+
+
+def test_tokens_by_join_over_several_blocks(spark, scratch, monkeypatch):
+    monkeypatch.setattr(tokens, "CODED_TOKENS", 20)
+    rows = [(i, " ".join(f"t{k % (i + 1)}" for k in range(i % 13))) for i in range(50)] + [(7, "t0 t1"), (None, "t0"), (99, None)]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(2)
+    vocab = scratch.save(tokens.build_vocab(df, 4, scratch), "vocab")
+    local = tokens.tokenize(df, tokens.vocab_tokenizer(vocab)).select("id", "token_ids", "n_tokens")
+    joined = tokens.tokenize_by_join(df, vocab, scratch)
+    key = lambda r: (r.id is not None, r.id or 0, r.token_ids)
+    assert sorted(joined.collect(), key=key) == sorted(local.collect(), key=key)
+    assert tokens.tokenize_by_join(df.limit(0), vocab, scratch).count() == 0
+
+
 def test_splits(spark):
     df = sampling.split_by_weight(spark.range(3000), "8,1,1")
     counts = {r.split: r["count"] for r in df.groupBy("split").count().collect()}
@@ -133,16 +162,47 @@ def test_preview_is_a_growing_subset(spark):
 
 
 @settings(max_examples=10, deadline=None)
-@given(st.lists(st.integers(0, 150), min_size=1, max_size=60))
-def test_packing_keeps_to_the_capacity(spark, sizes):
+@given(st.lists(st.integers(0, 450), min_size=1, max_size=60))
+def test_packing_keeps_to_the_capacity_and_every_token(spark, sizes):
     df = spark.createDataFrame(list(enumerate(sizes)), "id int, n_tokens int")
     out = packing.pack_ffd(df, 100, shard_rows=20).collect()
-    assert sorted(r.id for r in out) == list(range(len(sizes)))
-    assert all(r.n_tokens == min(sizes[r.id], 100) for r in out)
     bins = {}
     for r in out:
-        bins[r.shard, r.bin] = bins.get((r.shard, r.bin), 0) + r.n_tokens
+        bins[r.shard, r.bin] = bins.get((r.shard, r.bin), 0) + r.size
+        assert r.size == r.to - r["from"]
     assert max(bins.values()) <= 100
+    for i, size in enumerate(sizes):
+        parts = sorted((r.part, r["from"], r.to) for r in out if r.id == i)
+        assert [p for p, _, _ in parts] == list(range(max(1, -(-size // 100))))
+        assert [t for p, a, b in parts for t in range(a, b)] == list(range(size))
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 100), max_size=80))
+def test_first_fit_is_the_first(sizes):
+    free, want = [], []
+    for size in sizes:
+        b = next((k for k, room in enumerate(free) if room >= size), len(free))
+        if b == len(free):
+            free.append(100)
+        free[b] -= size
+        want.append(b)
+    assert packing.first_fit(np.array(sizes, dtype=np.int64), 100).tolist() == want
+
+
+def test_first_fit_of_many_bins_is_quick():
+    import time
+
+    start = time.time()
+    assert packing.first_fit(np.full(200_000, 60), 100).tolist() == list(range(200_000))
+    assert time.time() - start < 10
+
+
+def test_an_example_without_size_is_one_empty_part(spark):
+    df = spark.createDataFrame([("a", None), ("b", 5000)], "id string, n_tokens int")
+    rows = packing.pack_ffd(df, 2048).collect()
+    assert sorted((r.id, r.part, r["from"], r.to) for r in rows) == [("a", 0, 0, 0), ("b", 0, 0, 2048), ("b", 1, 2048, 4096), ("b", 2, 4096, 5000)]
+    assert packing.pack_ffd(df.limit(0), 2048).count() == 0
 
 
 def test_pack_by_offset(spark, scratch):
