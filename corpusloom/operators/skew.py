@@ -18,6 +18,7 @@ def salted_join(
     spread_by: Column,
     rows_per_slice: int = ROWS_PER_SLICE,
     how: str = "inner",
+    strategy: str | None = None,
 ) -> DataFrame:
     """Inner (or left) join of ``big`` and ``small`` on ``on``.
 
@@ -27,7 +28,8 @@ def salted_join(
     rows to the same place), and its ``small`` rows are repeated once per
     slice. The table of such keys is joined without a hint: it has at most
     rows / rows_per_slice rows, and Spark sends it to all executors only where
-    its measured size is below the broadcast threshold.
+    its measured size is below the broadcast threshold. ``strategy`` is a join hint
+    for where the plan should be the same at any size.
     """
     on = list(on)
     hot = sizes.where(F.col("n") > rows_per_slice).select(
@@ -44,4 +46,5 @@ def salted_join(
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop("_slices")
     )
+    right = right.hint(strategy) if strategy else right
     return left.join(right, [*on, "_slice"], how).drop("_slice")
