@@ -7,10 +7,9 @@ or a table of random numbers. Slots are dealt out in ranges; the task of a range
 writes one shard, in which slot ``s`` begins at ``(s % per_shard) * stride``.
 A reader can begin at any slot.
 
-The stream's length must be known before any slot. So texts are tokenised twice:
-the first pass returns one row per partition, the second goes straight into the
-single shuffle. Tokens aren't kept in between, and the second pass checks that
-each partition has as many tokens as before.
+The stream's length must be known before any slot. So texts are tokenised once, to a
+table of packed ids with one count per partition; the second pass only cuts these ids,
+and sends what a chunk gives to a shard as one packed piece. A task holds one shard at a time.
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -37,6 +37,8 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$
 
 @dataclass(frozen=True)
 class TokenConfig:
+    """``vocabulary`` is a file that every executor finds under this path."""
+
     vocabulary: str = "/opt/tokenizers/byte_bpe_50k.tiktoken"
     end: int = 50256
     length: int = 2048
@@ -95,63 +97,81 @@ def feistel(x: np.ndarray, n: int, key: int, rounds: int = 4, inverse: bool = Fa
     return out.astype(np.int64)
 
 
-def _ids(texts: pa.Array, config: TokenConfig) -> Iterator[np.ndarray]:
-    """Ids with the end token of each text that has any character."""
-    known = encoder(config)
-    for text in texts:
-        body = text.as_py()
-        yield np.array([*known.encode_ordinary(body), config.end], config.kind) if body else np.empty(0, config.kind)
+def _pack(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def _unpack(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
+CHUNK_TOKENS = 1 << 19
+
 
+def _tokens(docs: DataFrame, text_col: str, config: TokenConfig) -> DataFrame:
+    """``(part, before, n, ids)``: the stream in chunks; ``before`` counts the partition's tokens before a chunk."""
 
-def _totals(docs: DataFrame, text_col: str, config: TokenConfig) -> dict[int, int]:
-    """Tokens of each partition: one row per partition comes to the driver."""
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, part = encoder(config), TaskContext.get().partitionId()
+        held: list[np.ndarray] = []
+        before = n = 0
+
+        def put() -> pa.RecordBatch:
+            nonlocal before, n
+            row = {"part": [part], "before": [before], "n": [n], "ids": [_pack(np.concatenate(held).tobytes())]}
+            before, n = before + n, 0
+            held.clear()
+            return pa.RecordBatch.from_pydict(row, schema)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, n = encoder(config), 0
         for batch in batches:
             for text in batch.column(0):
                 if body := text.as_py():
-                    n += len(known.encode_ordinary(body)) + 1
-        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n]})
+                    held.append(np.array([*known.encode_ordinary(body), config.end], config.kind))
+                    n += len(held[-1])
+                    if n >= CHUNK_TOKENS:
+                        yield put()
+        if n:
+            yield put()
 
-    rows = docs.select(text_col).mapInArrow(count, "part bigint, n bigint").collect()
-    return {r[0]: r[1] for r in rows}
+    schema = pa.schema([("part", pa.int64()), ("before", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
+    return docs.select(text_col).mapInArrow(encode, "part bigint, before bigint, n bigint, ids binary")
 
 
-def _pieces(
-    docs: DataFrame, text_col: str, totals: dict[int, int], sequences: int, config: TokenConfig
-) -> DataFrame:
-    """``(shard, slot, sequence, at, ids)``: the parts of sequences that each text gives."""
-    starts, at = {}, 0
-    for part in sorted(totals):
-        starts[part] = at
-        at += totals[part]
+def _pieces(stream: DataFrame, starts: dict[int, int], sequences: int, config: TokenConfig) -> DataFrame:
+    """``(shard, pieces)``: what each chunk gives to a shard, packed: slots, places, lengths and ids."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        now = first = starts.get(part, 0)
         for batch in batches:
-            sequence, place, pieces = [], [], []
-            for ids in _ids(batch.column(0), config):
-                done = 0
-                while done < len(ids):
-                    s, offset = divmod(now, config.length)
-                    take = min(config.length - offset, len(ids) - done)
-                    sequence.append(s)
-                    place.append(offset)
-                    pieces.append(ids[done : done + take].tobytes())
-                    done += take
-                    now += take
-            own = np.array(sequence, np.int64)
-            slot = feistel(own, sequences, config.key, config.rounds) if len(own) else own
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slot // config.per_shard), pa.array(slot), pa.array(own), pa.array(place, pa.int32()), pa.array(pieces, pa.binary())],
-                names=["shard", "slot", "sequence", "at", "ids"],
-            )
-        if now - first != totals.get(part, 0):
-            raise RuntimeError("the rows of a partition changed between two reads; write the documents to a table first")
-
-    return docs.select(text_col).mapInArrow(cut, "shard bigint, slot bigint, sequence bigint, at int, ids binary")
+            for row in batch.to_pylist():
+                ids = np.frombuffer(_unpack(row["ids"]), config.kind)
+                first = starts[row["part"]] + row["before"]
+                sequence = np.arange(first // config.length, (first + len(ids) - 1) // config.length + 1)
+                begin = np.maximum(sequence * config.length, first)
+                size = np.minimum((sequence + 1) * config.length, first + len(ids)) - begin
+                slot = feistel(sequence, sequences, config.key, config.rounds)
+                shard = slot // config.per_shard
+                order = np.argsort(shard, kind="stable")
+                out: dict[str, list] = {"shard": [], "pieces": []}
+                for own in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+                    data = [ids[a - first : a - first + n] for a, n in zip(begin[own].tolist(), size[own].tolist(), strict=True)]
+                    head = np.stack([slot[own] % config.per_shard, begin[own] % config.length, size[own]]).astype("<i8")
+                    out["shard"].append(int(shard[own[0]]))
+                    out["pieces"].append(_pack(len(own).to_bytes(8, "little") + head.tobytes() + np.concatenate(data).tobytes()))
+                yield pa.RecordBatch.from_pydict(out, schema)
+
+    schema = pa.schema([("shard", pa.int64()), ("pieces", pa.binary())])
+    return stream.select("part", "before", "ids").mapInArrow(cut, "shard bigint, pieces binary")
+
+
+def _place(shard: np.ndarray, pieces: bytes, config: TokenConfig) -> None:
+    """Put a chunk's ids where they belong in the shard, an array of its slots."""
+    raw = _unpack(pieces)
+    n = int.from_bytes(raw[:8], "little")
+    slots, places, sizes = np.frombuffer(raw, "<i8", 3 * n, 8).reshape(3, n).tolist()
+    ids, at = np.frombuffer(raw, config.kind, -1, 8 + 24 * n), 0
+    for slot, place, size in zip(slots, places, sizes, strict=True):
+        shard[slot, place : place + size] = ids[at : at + size]
+        at += size
 
 
 ROWS = "slot bigint, sequence bigint, shard bigint, byte_offset bigint, n_tokens int, tokens_sha256 string"
@@ -164,63 +184,67 @@ def materialise(
 
     The last sequence of the stream is filled up with end tokens, which don't
     count. Null and empty texts give no tokens; without any token there are no
-    shards. The stream follows the stored order of the rows. A shard is written
+    shards. The stream follows the stored order of the rows, as they are read this once;
+    equal rows are texts of their own, and other columns aren't read. Texts may be of any length: a
+    sequence is put together from chunks. A shard is written
     under another name and then moved, so a repeated task changes nothing.
     """
-    totals = _totals(docs, text_col, config)
-    total = sum(totals.values())
+    stream = scratch.save(_tokens(docs, text_col, config), "tokens")
+    # One row per partition comes to the driver.
+    counts = {r[0]: r[1] for r in stream.groupBy("part").agg(F.sum("n")).collect()}
+    starts, total = {}, 0
+    for part in sorted(counts):
+        starts[part] = total
+        total += counts[part]
     sequences = -(-total // config.length)
+    last = total - (sequences - 1) * config.length
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = fs.FileSystem.from_uri(path)
-        pad = np.full(config.length, config.end, config.kind).tobytes()
         attempt = TaskContext.get().taskAttemptId()
-        stream, shard, own, body, rows = None, None, None, [], []
-
-        def end_sequence() -> None:
-            if own is not None:
-                data = b"".join(body)
-                rows.append(
-                    (own[0], own[1], shard, own[0] % config.per_shard * config.stride, len(data) // config.kind.itemsize, hashlib.sha256(data).hexdigest())
-                )
-                stream.write(data + pad[len(data) :])
-
-        def end_shard() -> None:
-            if stream is not None:
-                stream.close()
-                system.move(f"{root}/_{shard}-{attempt}", f"{root}/shard-{shard:08d}.bin")
-
-        def out() -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()]
-            columns = list(zip(*rows, strict=True)) or [[]] * 6
-            names = ["slot", "sequence", "shard", "byte_offset", "n_tokens", "tokens_sha256"]
-            done = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-            rows.clear()
-            return done
+        now, shard = None, None
+
+        def put() -> pa.RecordBatch:
+            with system.open_output_stream(f"{root}/_{now}-{attempt}", compression=None) as out:
+                out.write(shard.tobytes())
+            system.move(f"{root}/_{now}-{attempt}", f"{root}/shard-{now:08d}.bin")
+            slots = now * config.per_shard + np.arange(len(shard))
+            sequence = feistel(slots, sequences, config.key, config.rounds, inverse=True)
+            sizes = np.where(sequence == sequences - 1, last, config.length)
+            digests = [hashlib.sha256(row[:n].tobytes()).hexdigest() for row, n in zip(shard, sizes.tolist(), strict=True)]
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(slots),
+                    pa.array(sequence),
+                    pa.array(np.full(len(slots), now)),
+                    pa.array(np.arange(len(slots), dtype=np.int64) * config.stride),
+                    pa.array(sizes, pa.int32()),
+                    pa.array(digests),
+                ],
+                names=["slot", "sequence", "shard", "byte_offset", "n_tokens", "tokens_sha256"],
+            )
 
         for batch in batches:
-            for s, slot, sequence, ids in zip(*(batch.column(c) for c in ("shard", "slot", "sequence", "ids")), strict=True):
-                slot = slot.as_py()
-                if own is None or slot != own[0]:
-                    end_sequence()
-                    own, body = None, []
-                    if shard != s.as_py():
-                        end_shard()
-                        shard = s.as_py()
-                        stream = system.open_output_stream(f"{root}/_{shard}-{attempt}", compression=None)
-                    own = (slot, sequence.as_py())
-                body.append(ids.as_py())
-            yield out()
-        end_sequence()
-        end_shard()
-        yield out()
+            for own, pieces in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if own != now:
+                    if shard is not None:
+                        yield put()
+                    rows = min(config.per_shard, sequences - own * config.per_shard)
+                    now, shard = own, np.full((rows, config.length), config.end, config.kind)
+                _place(shard, pieces.as_py(), config)
+        if shard is not None:
+            yield put()
 
     system, root = fs.FileSystem.from_uri(path)
     system.create_dir(root, recursive=True)
-    pieces = _pieces(docs, text_col, totals, sequences, config)
-    shards = -(-sequences // config.per_shard)
-    ranges = pieces.repartition(max(1, shards), "shard").sortWithinPartitions("shard", "slot", "at")
+    shards = max(1, -(-sequences // config.per_shard))
+    # Each task writes a range of shards, as many as it takes to use all partitions there are.
+    tasks = min(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    each = -(-shards // tasks)
+    pieces = _pieces(stream, starts, sequences, config)
+    ranges = pieces.repartitionById(-(-shards // each), (F.col("shard") / each).cast("int")).sortWithinPartitions("shard")
     rows = scratch.save(ranges.mapInArrow(write, ROWS), "sequences")
+    scratch.drop(stream)
     meta = {"sequences": sequences, "tokens": total, "length": config.length, "per_shard": config.per_shard, "dtype": config.kind.str, "key": config.key}
     with system.open_output_stream(f"{root}/meta.json") as f:
         f.write(json.dumps(meta).encode())
