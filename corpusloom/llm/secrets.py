@@ -70,22 +70,24 @@ def find(text: str | None, reach: int = REACH) -> list[tuple[int, int, str, bool
 
     A mixed 40-character key is reported near an access identifier or account
     name; an endpoint or account name near a secret (an assignment or a reported
-    key) and, for endpoints, an identifier as well. Null and empty: no spans.
+    key) and, for endpoints, an identifier or account name as well. Null and empty: no spans. A
+    text of any length is scanned whole, and parts further apart have no say.
     """
     if not text:
         return []
     strong = strong_parts(text)
     out = [(*s, False) for s in strong]
-    if strong:
+    keys = [
+        m.span()
+        for m in KEY40.finditer(text)
+        if re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[0-9]", m[0])
+    ]
+    # Every link has a key in it or an assignment.
+    if keys or any(kind == "assign" for _, _, kind in strong):
         of = lambda kind: [(s, e) for s, e, k in strong if k == kind]
         access, assign = _Near(of("access")), _Near(of("assign"))
         accounts = [m.span() for m in ACCOUNT.finditer(text)]
         account = _Near(accounts)
-        keys = [
-            m.span()
-            for m in KEY40.finditer(text)
-            if re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[0-9]", m[0])
-        ]
         keys = [s for s in keys if access.any(*s, reach) or account.any(*s, reach)]
         key = _Near(keys)
         secret = lambda s: assign.any(*s, reach) or key.any(*s, reach)

@@ -61,6 +61,48 @@ def test_policies_and_ablations_read_the_ledger(spark):
 # secrets ----------------------------------------------------------------------
 
 
+def plain_spans(text, reach):
+    """Every link by comparing all parts with all parts."""
+    strong = secrets.strong_parts(text)
+    of = lambda kind: [(s, e) for s, e, k in strong if k == kind]
+    near = lambda a, others: any(s <= a[1] + reach and e >= a[0] - reach for s, e in others)
+    accounts = [m.span() for m in secrets.ACCOUNT.finditer(text)]
+    mixed = lambda t: any(c.islower() for c in t) and any(c.isupper() for c in t) and any(c.isdigit() for c in t)
+    keys = [m.span() for m in secrets.KEY40.finditer(text) if mixed(m[0])]
+    keys = [k for k in keys if near(k, of("access")) or near(k, accounts)]
+    secret = lambda a: near(a, of("assign")) or near(a, keys)
+    out = {(s, e, k, False) for s, e, k in strong}
+    out |= {(*k, "key40", True) for k in keys}
+    out |= {(*a, "account", True) for a in accounts if secret(a)}
+    for m in secrets.ENDPOINT.finditer(text):
+        if secret(m.span()) and (near(m.span(), of("access")) or near(m.span(), accounts)):
+            out.add((*m.span(), "endpoint", True))
+    return out
+
+
+PARTS = [
+    "password=abcdefgh1", "AKIA" + "Q" * 16, "0123456789abcdef" * 2, "aB3" * 13 + "x", "https://h.example.org/p",
+    "user = bob7", "login: al", "token", "AKIAX", "plain words",
+]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_links_match_comparing_all_parts(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        text = "".join(rng.choice(PARTS) + " " * rng.choice([1, 20, 39, 40, 41, 90]) for _ in range(rng.randrange(12)))
+        assert set(secrets.find(text, 40)) == plain_spans(text, 40), text
+
+
+def test_far_parts_have_no_say():
+    pair = "user = bob7 " + "aB3" * 13 + "x"
+    alone = {s for s in secrets.find(pair) if s[3]}
+    assert {k for _, _, k, _ in alone} == {"key40", "account"}
+    with_hex = pair + " " * 6000 + "0123456789abcdef" * 2
+    assert {s for s in secrets.find(with_hex) if s[3]} == alone
+
+
+
 def test_strong_spans_follow_the_patterns():
     text = 'é PASSWORD = "hunter2hunter" token:short api_key=abc.def/12 AKIAABCDEFGHIJKL0 ' + "0123456789abcdef" * 2 + "g AKIA1 " + "f" * 31
     found = [(text[s:e], k) for s, e, k, linked in secrets.find(text) if not linked]
