@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import fresh
+from corpusloom.llm.common import fresh, let
 from corpusloom.operators.skew import salted_join
 from corpusloom.scratch import Scratch
 
@@ -57,7 +57,7 @@ def drop_site_lines(
 
     Lines are compared without the blanks around them and counted once per page;
     empty lines are never dropped. Null texts stay null and have no lines; a null
-    host is the same site as an empty one. The counts replace columns of those
+    host is the same site as an empty one. A text may have any number of lines. The counts replace columns of those
     names; other columns stay.
     """
     site, key, at, places = fresh(docs, "_site", "_key", "_at", "_places")
@@ -80,11 +80,17 @@ def drop_site_lines(
     small = hits.select(F.col("site").alias(site), F.col("key").alias(key), F.col("places").alias(places))
     spread = F.xxhash64(*[F.col(c) for c in docs.columns if c != text_col])
     met = salted_join(keyed, small, [site, key], sizes, spread, rows_per_slice, "left")
-    kept = F.filter(
-        F.split(text_col, "\n"), lambda x, i: ~F.coalesce(F.array_contains(F.col(places), i), F.lit(False))
+    # What stays is a difference of sets of places, so the work is linear in the lines.
+    lines_of = F.split(text_col, "\n")
+    kept = let(
+        lines_of,
+        lambda ls: F.transform(
+            F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col(places)), lambda i: F.get(ls, i)
+        ),
     )
+    text = F.when(F.col(places).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     total = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text_col, "\n"))).cast("bigint")
     gone = F.coalesce(F.size(places), F.lit(0))
     gone = F.when(gone < 0, 0).otherwise(gone).cast("bigint")
     out = met.withColumn(lines, total).withColumn(dropped, gone)
-    return out.withColumn(text_col, F.array_join(kept, "\n")).drop(site, key, places)
+    return out.withColumn(text_col, text).drop(site, key, places)

@@ -31,6 +31,17 @@ def test_site_lines_match_a_plain_count(spark, scratch, rows_per_slice):
     assert lines.drop_site_lines(df.limit(0), scratch).count() == 0
 
 
+def test_a_text_of_very_many_boilerplate_lines(spark, scratch):
+    import time
+
+    body = "\n".join(f"line {i}" for i in range(100_000))
+    df = spark.createDataFrame([(i, "a", body + f"\nown {i}\n") for i in range(3)], DOC)
+    start = time.time()
+    out = lines.drop_site_lines(df, scratch).collect()
+    assert {r["id"]: r["text"] for r in out} == {i: f"own {i}\n" for i in range(3)}
+    assert time.time() - start < 60
+
+
 def test_licences_are_found_whole_and_by_line(spark, scratch):
     mit = licences.KNOWN["mit"][1]
     rows = [
