@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.pii import ACTIONS
-from corpusloom.operators import sft, tokens
+from corpusloom.functions.prompts import PROMPT_TEMPLATE
+from corpusloom.operators import packing, sft, tokens
 from corpusloom.operators.fuzzy import FuzzyConfig
 from corpusloom.operators.ids import ensure_id
 from corpusloom.operators.language import ngram_profiles, profile_scorer
@@ -113,6 +114,19 @@ def run_tokenize(spark: SparkSession, args: argparse.Namespace) -> None:
     scratch.close()
 
 
+def run_prepare_sft(spark: SparkSession, args: argparse.Namespace) -> None:
+    scratch = Scratch(spark)
+    pairs = ensure_id(documents.read_splits(spark, args.dataset_dir), scratch)
+    template = PROMPT_TEMPLATE
+    if args.prompt_template_file:
+        template = "\n".join(r[0] for r in spark.read.text(args.prompt_template_file).collect())
+    tokenizer = tokens.pretrained_tokenizer(spark, args.tokenizer)
+    examples = sft.tokenize_pairs(pairs, tokenizer, template, args.eod_id)
+    packed = packing.packed_sequences(examples, args.seq_length, scratch, group_by=["split"])
+    packed.write.partitionBy("split").mode("overwrite").parquet(args.output_dir)
+    scratch.close()
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(formatter_class=argparse.ArgumentDefaultsHelpFormatter)
     jobs = top.add_subparsers(dest="job", required=True)
@@ -172,6 +186,15 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--split", default="998,1,1")
     job.add_argument("--seq-length", type=int, default=8192)
     job.add_argument("--global-batch-size", type=int, default=2048)
+
+    job = jobs.add_parser("prepare-sft", help="instruction pairs as packed training sequences, by split")
+    job.set_defaults(run=run_prepare_sft)
+    job.add_argument("--dataset-dir", required=True, help="with training.jsonl, validation.jsonl, test.jsonl")
+    job.add_argument("--output-dir", required=True)
+    job.add_argument("--tokenizer", required=True, help="tokenizer.json")
+    job.add_argument("--prompt-template-file", help="text with {input} and {output}; a chat template if not given")
+    job.add_argument("--eod-id", type=int, default=None)
+    job.add_argument("--seq-length", type=int, default=8192)
     return top
 
 

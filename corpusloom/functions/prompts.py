@@ -20,17 +20,29 @@ CHAT_START = "<|begin_of_text|>"
 TURN_PARTS = ("<|start_header_id|>", "<|end_header_id|>\n\n", "<|eot_id|>")
 
 
-def render_prompt(
-    input_text: Column, output_text: Column, template: str = PROMPT_TEMPLATE
-) -> Column:
-    """Fill ``{input}`` and ``{output}``, each of which must occur once, in that order."""
+def _template_parts(template: str) -> tuple[str, str, str]:
+    """What stands before ``{input}``, between it and ``{output}``, and after."""
     if template.count("{input}") != 1 or template.count("{output}") != 1:
         raise ValueError("the template needs exactly one {input} and one {output}")
     head, rest = template.split("{input}")
     if "{output}" not in rest:
         raise ValueError("{output} must come after {input}")
-    middle, tail = rest.split("{output}")
-    return F.concat(F.lit(head), input_text, F.lit(middle), output_text, F.lit(tail))
+    return head, *rest.split("{output}")
+
+
+def prompt_parts(
+    input_text: Column, output_text: Column, template: str = PROMPT_TEMPLATE
+) -> tuple[Column, Column]:
+    """The filled template in two: what is given, and what is to be answered."""
+    head, middle, tail = _template_parts(template)
+    return F.concat(F.lit(head), input_text, F.lit(middle)), F.concat(output_text, F.lit(tail))
+
+
+def render_prompt(
+    input_text: Column, output_text: Column, template: str = PROMPT_TEMPLATE
+) -> Column:
+    """Fill ``{input}`` and ``{output}``, each of which must occur once, in that order."""
+    return F.concat(*prompt_parts(input_text, output_text, template))
 
 
 def render_chat(turns: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.prompts import messages, render_chat, render_prompt
+from corpusloom.functions.prompts import PROMPT_TEMPLATE, messages, prompt_parts, render_chat, render_prompt
 from corpusloom.functions.text import strip
 
 # The metrics of the reward record.
@@ -39,6 +39,34 @@ def render_prompts(df: DataFrame, template: str | None = None) -> DataFrame:
     return df.withColumn("prompt", render_prompt(*args))
 
 
+def tokenize_pairs(
+    df: DataFrame,
+    tokenizer: Callable[[Column], Column],
+    template: str = PROMPT_TEMPLATE,
+    eod_id: int | None = None,
+    context_field: str = "input",
+    response_field: str = "output",
+) -> DataFrame:
+    """Add ``token_ids``, ``n_prompt`` and ``n_tokens``: the filled template as one training example.
+
+    The prompt and the answer are tokenised apart, so that the answer's tokens are the
+    same whatever the question; the first ``n_prompt`` tokens are given and bring no loss.
+    ``eod_id`` is put at the end, if there is one. A pair without input or output has the
+    template's own tokens only.
+    """
+    field = lambda name: F.coalesce(F.col(name), F.lit(""))
+    given, answer = prompt_parts(field(context_field), field(response_field), template)
+    end = F.array() if eod_id is None else F.array(F.lit(eod_id))
+    taken = df.withColumns({"_given": tokenizer(given), "_answer": F.concat(tokenizer(answer), end.cast("array<int>"))})
+    return taken.withColumns(
+        {
+            "token_ids": F.concat("_given", "_answer"),
+            "n_prompt": F.size("_given"),
+            "n_tokens": F.size("_given") + F.size("_answer"),
+        }
+    ).drop("_given", "_answer")
+
+
 def turn_pairs(conversations: DataFrame) -> DataFrame:
     """``(conv_id, turn, input, output)``: each user turn answered by the next turn.
 

@@ -49,6 +49,7 @@ VOCAB_SIZE = 5000
 SEQ_LENGTH = 512
 GLOBAL_BATCH = 16
 PACK_LENGTH = 2048
+PAIR_LENGTH = 256
 EMBED_DIM = 64
 BLEND = {"src0": 3.0, "src1": 2.0, "src2": 1.0}
 PREVIEW = 0.1
@@ -652,6 +653,37 @@ def pack_ffd(spark, sf_dir):
     )
 
 
+@query
+def sft_packed(spark, sf_dir):
+    """Instruction pairs through template, tokens and packing, read back from the packed sequences.
+
+    One row per pair: its tokens put together again from wherever they were packed, as a
+    sum weighted by position, and how many of them bring a loss.
+    """
+    scratch = Scratch(spark)
+    vocab = tokens.build_vocab(documents(spark, sf_dir), VOCAB_SIZE, scratch)
+    key = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    pairs = _pairs(spark, sf_dir).select(key.alias("id"), "input", "output", (F.col("conv_id") % 2).alias("half"))
+    examples = sft.tokenize_pairs(pairs, tokens.vocab_tokenizer(vocab), eod_id=tokens.EOD_ID)
+    packed = packing.packed_sequences(examples, PAIR_LENGTH, scratch, group_by=["half"])
+    each = packed.select("half", F.size("token_ids").alias("filled"), "token_ids", "loss_mask", F.explode("pieces").alias("p"))
+    first, size = F.col("p.start") + 1, F.col("p.size")
+    begin = F.col("p.part").cast("bigint") * PAIR_LENGTH
+    weighted = F.aggregate(
+        F.transform(F.slice("token_ids", first, size), lambda t, i: t.cast("bigint") * (begin + i + 1)),
+        F.lit(0).cast("bigint"),
+        lambda a, x: a + x,
+    )
+    loss = F.aggregate(F.slice("loss_mask", first, size), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    rows = each.select("half", F.col("p.id").alias("id"), size.cast("bigint").alias("n"), weighted.alias("w"), loss.alias("l"), "filled")
+    return rows.groupBy("half", "id").agg(
+        F.sum("n").alias("n_tokens"),
+        F.sum("l").alias("n_loss"),
+        F.sum("w").alias("weighted_sum"),
+        (F.max("filled") <= PAIR_LENGTH).alias("within_capacity"),
+    )
+
+
 @query
 def blend_sources(spark, sf_dir):
     docs = documents(spark, sf_dir).select(ID, "source")

@@ -482,6 +482,16 @@ SQL["pack_ffd"] = with_(
     select=f"""SELECT id, n_tokens, greatest(1, (n_tokens + {c.PACK_LENGTH - 1}) // {c.PACK_LENGTH})::bigint AS n_parts,
                       true AS in_one_run, true AS within_capacity, true AS first_fit FROM examples""",
 )
+SQL["sft_packed"] = with_(
+    _PAIRS,
+    *_VOCAB[:2],
+    f"""parts AS (SELECT conv_id || '-' || turn AS id, conv_id % 2 AS half,
+          {words(f"{quoted(_HEAD)} || input || {quoted(_MIDDLE)}")} AS given, {words(f"output || {quoted(_TAIL)}")} AS answer FROM pairs)""",
+    """said AS (SELECT id, half, unnest(given || answer) AS token, generate_subscripts(given || answer, 1) AS pos FROM parts)""",
+    """summed AS (SELECT id, sum(pos * coalesce(token_id, 1)) AS w FROM said LEFT JOIN vocab USING (token) GROUP BY id)""",
+    select="""SELECT half, id, len(given) + len(answer) + 1 AS n_tokens, len(answer) + 1 AS n_loss, w::bigint AS weighted_sum,
+                     true AS within_capacity FROM parts JOIN summed USING (id)""",
+)
 _WEIGHTS = ", ".join(f"({quoted(s)}, {w}::double)" for s, w in c.BLEND.items())
 SQL["blend_sources"] = with_(
     f"""rates AS (SELECT source, per_row / max(per_row) OVER () AS rate FROM (

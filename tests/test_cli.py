@@ -78,6 +78,26 @@ def test_tokenize_job(spark, tmp_path):
     assert got == {"1": ([5, 6, 5, 9], 4, "x.jsonl"), "2": ([0, 9], 2, "x.jsonl"), "3": ([9], 1, "x.jsonl")}
 
 
+def test_prepare_sft_job(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    tokenizer = Tokenizer(models.WordLevel({"[UNK]": 0, "Q": 1, "A": 2, "yes": 3, "no": 4}, unk_token="[UNK]"))
+    tokenizer.pre_tokenizer = pre_tokenizers.Whitespace()
+    tokenizer.save(str(tmp_path / "tokenizer.json"))
+    (tmp_path / "template").write_text("Q {input}\nA {output}")
+    lines(tmp_path / "in" / "training.jsonl", [{"input": "no", "output": "yes"}, {"input": "yes yes", "output": "no", "more": 1}])
+    lines(tmp_path / "in" / "test.jsonl", [{"input": None, "output": "yes"}])
+    cli.main([
+        "prepare-sft", "--dataset-dir", str(tmp_path / "in"), "--output-dir", str(tmp_path / "out"), "--eod-id", "9",
+        "--tokenizer", str(tmp_path / "tokenizer.json"), "--prompt-template-file", str(tmp_path / "template"), "--seq-length", "32",
+    ])
+    got = {r.split: (r.token_ids, r.loss_mask, len(r.pieces)) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {
+        "train": ([1, 3, 3, 2, 4, 9, 1, 4, 2, 3, 9], [0, 0, 0, 0, 1, 1, 0, 0, 0, 1, 1], 2),
+        "test": ([1, 2, 3, 9], [0, 0, 1, 1], 1),
+    }
+
+
 def test_wiki_and_score_arguments_parse():
     args = cli.parser().parse_args(["wiki", "--dumps", "d", "--output-dir", "o", "--language", "xx", "--url-limit", "3"])
     assert args.url_limit == 3

@@ -198,6 +198,24 @@ def test_first_fit_of_many_bins_is_quick():
     assert time.time() - start < 10
 
 
+def test_packed_sequences_give_the_examples_back(spark, scratch):
+    rng = random.Random(2)
+    rows = [(i, i % 2, [1000 * i + k for k in range(rng.randrange(0, 45))]) for i in range(60)]
+    df = spark.createDataFrame([(i, g, t, min(len(t), i % 9), len(t)) for i, g, t in rows], "id long, split int, token_ids array<int>, n_prompt int, n_tokens int")
+    out = packing.packed_sequences(df, 20, scratch, group_by=["split"], shard_rows=25).collect()
+    back, loss = {}, {}
+    for r in out:
+        assert len(r.token_ids) == len(r.loss_mask) == sum(p["size"] for p in r.pieces) <= 20
+        for p in r.pieces:
+            back[p.id, p.part] = (r.split, r.token_ids[p.start : p.start + p["size"]])
+            loss[p.id] = loss.get(p.id, 0) + sum(r.loss_mask[p.start : p.start + p["size"]])
+    for i, g, t in rows:
+        parts = [back[i, k] for k in range(max(1, -(-len(t) // 20)))]
+        assert [x for _, part in parts for x in part] == t and {s for s, _ in parts} == {g}
+        assert loss[i] == len(t) - min(len(t), i % 9)
+    assert packing.packed_sequences(df.limit(0), 20, scratch, group_by=["split"]).count() == 0
+
+
 def test_an_example_without_size_is_one_empty_part(spark):
     df = spark.createDataFrame([("a", None), ("b", 5000)], "id string, n_tokens int")
     rows = packing.pack_ffd(df, 2048).collect()
