@@ -143,6 +143,28 @@ def pii_findings(spark, sf_dir):
     )
 
 
+def _with_more(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with further entities at the end, sound and unsound card numbers among them."""
+    n = F.lpad((F.col(ID) * 7919 % 10_000).cast("string"), 4, "0")
+    planted = F.concat(
+        "text",
+        *[F.lit(" card 4111 1111 "), n, F.lit(" "), F.lpad((F.col(ID) % 10_000).cast("string"), 4, "0")],
+        *[F.lit(", SSN 123-45-"), n, F.lit(", DE89 3704 0044 0532 "), n, F.lit(" 00, 00:1b:44:11:3a:b7, https://example.org/"), n],
+    )
+    return documents(spark, sf_dir).select(ID, planted.alias("text"))
+
+
+@query
+def pii_more_findings(spark, sf_dir):
+    found = pii.findings(F.col("text"), list(pii.MORE_PATTERNS))
+    return _with_more(spark, sf_dir).select(ID, F.explode(found).alias("f")).select(ID, "f.entity", "f.position", "f.value")
+
+
+@query
+def pii_more_replace(spark, sf_dir):
+    return _with_more(spark, sf_dir).transform(stages.pii_stage(entities=["CREDIT_CARD", "US_SSN"]))
+
+
 def _pii(action: str) -> Query:
     def run(spark, sf_dir):
         return documents(spark, sf_dir).transform(stages.pii_stage(action=action)).select(ID, "text")
@@ -156,10 +178,19 @@ for _action in ("replace", "redact", "mask", "hash"):
 
 @query
 def pii_encrypt(spark, sf_dir):
+    """Texts encrypted where they have an entity, and decrypted again, as nonces are random."""
     # A key for this query only, from the table itself; real runs use `pii_key`.
-    docs = documents(spark, sf_dir)
+    docs, scratch = documents(spark, sf_dir), Scratch(spark)
     key = docs.agg(F.substring(F.md5(F.min(ID).cast("string").cast("binary")), 1, 16).alias("key")).scalar()
-    return docs.transform(stages.pii_stage(action="encrypt", key=key)).select(ID, "text")
+    hidden = docs.select(ID, "text", F.col("text").alias("plain")).transform(stages.pii_stage(action="encrypt", key=key))
+    hidden = scratch.save(hidden, "encrypted").withColumn("_key", key)
+    secret = F.col("_key")
+
+    def opened(match: Column) -> Column:
+        return F.coalesce(F.try_aes_decrypt(F.try_to_binary(match, F.lit("base64")), secret).cast("string"), match)
+
+    back = pii.rewrite_matches(F.col("text"), "[A-Za-z0-9+/]{36,}={0,2}", opened)
+    return hidden.select(ID, back.alias("text"), (F.col("text") != F.col("plain")).alias("has_entity"))
 
 
 # --- Unicode and extraction ------------------------------------------------

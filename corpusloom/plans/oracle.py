@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from corpusloom.functions import minhash
 from corpusloom.functions.markup import HTML_RULES
-from corpusloom.functions.pii import PATTERNS
+from corpusloom.functions.pii import MORE_PATTERNS, PATTERNS
 from corpusloom.functions.prompts import CHAT_START, PROMPT_TEMPLATE, TURN_PARTS
 from corpusloom.operators.sft import METRICS
 from corpusloom.plans import catalog as c
@@ -134,6 +134,40 @@ def pii_rewritten(rewrite: str) -> str:
 SQL["pii_mask"] = pii_rewritten("repeat('*', length(p[2]))")
 SQL["pii_hash"] = pii_rewritten("sha256(p[2])")
 
+SQL["pii_encrypt"] = f"""
+SELECT doc_id, text, {" OR ".join(f"regexp_matches(text, {quoted(p)})" for p in PATTERNS.values())} AS has_entity FROM documents"""
+
+_PLANTED = """planted AS (SELECT doc_id, text || ' card 4111 1111 ' || n || ' ' || lpad((doc_id % 10000)::varchar, 4, '0') || ', SSN 123-45-' || n
+    || ', DE89 3704 0044 0532 ' || n || ' 00, 00:1b:44:11:3a:b7, https://example.org/' || n AS text
+  FROM (SELECT doc_id, text, lpad((doc_id * 7919 % 10000)::varchar, 4, '0') AS n FROM documents))"""
+
+
+def luhn(value: str) -> str:
+    """Every second digit from the right counts twice; 10 or more as the sum of its digits."""
+    digits = f"list_reverse(string_split(regexp_replace({value}, '[^0-9]', '', 'g'), ''))"
+    return f"""list_sum(list_transform({digits}, lambda d, i: CASE WHEN i % 2 = 1 THEN d::int
+      ELSE (2 * d::int) // 10 + (2 * d::int) % 10 END)) % 10 = 0"""
+
+
+_CARD = quoted(MORE_PATTERNS["CREDIT_CARD"])
+SQL["pii_more_findings"] = with_(
+    _PLANTED,
+    select=" UNION ALL ".join(
+        f"""SELECT doc_id, {quoted(entity)} AS entity, unnest(range(len(found))) AS position, unnest(found) AS value
+            FROM (SELECT doc_id, list_filter(regexp_extract_all(text, {quoted(pattern)}),
+                         lambda v: {luhn('v') if entity == 'CREDIT_CARD' else 'true'}) AS found FROM planted)"""
+        for entity, pattern in MORE_PATTERNS.items()
+    ),
+)
+SQL["pii_more_replace"] = with_(
+    _PLANTED,
+    f"""cards AS (SELECT doc_id, array_to_string(list_transform(
+          list_zip(string_split_regex(text, {_CARD}), regexp_extract_all(text, {_CARD})),
+          lambda p: p[1] || CASE WHEN p[2] IS NULL THEN '' WHEN {luhn('p[2]')} THEN '<CREDIT_CARD>' ELSE p[2] END), '') AS text
+        FROM planted)""",
+    select=f"SELECT doc_id, regexp_replace(text, {quoted(MORE_PATTERNS['US_SSN'])}, '<US_SSN>', 'g') AS text FROM cards",
+)
+
 # --- Unicode and extraction ------------------------------------------------
 
 SQL["unicode_repair"] = """

@@ -273,9 +273,7 @@ def test_key_from_a_file(spark, tmp_path):
 
 
 def test_catalogue_and_oracle_agree_on_names():
-    without_sql = {"pii_encrypt"}
-    assert set(catalog.QUERIES) - set(oracle.SQL) == without_sql
-    assert set(oracle.SQL) <= set(catalog.QUERIES)
+    assert set(catalog.QUERIES) == set(oracle.SQL)
 
 
 def test_scratch_drop_and_close(spark):

@@ -115,6 +115,17 @@ def test_unicode_repair(spark):
     ]
 
 
+def test_cards_are_checked_and_further_entities_asked_for(spark):
+    texts = ["4111 1111 1111 1111 x", "4111 1111 1111 1112", "378282246310005", "123-45-6789", "bc1qw508d6qejxtdg4y5r3zarvary0c5xw7kv8f3t4"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    change = lambda **o: [r[0] for r in df.select(pii.anonymize(F.col("t"), **o)).collect()]
+    named = list(pii.MORE_PATTERNS)
+    assert change(entities=named) == ["<CREDIT_CARD> x", texts[1], "<CREDIT_CARD>", "<US_SSN>", "<CRYPTO>"]
+    assert change(entities=["CREDIT_CARD"], action="mask")[0] == "*" * 19 + " x"
+    assert change() == texts
+    assert change(patterns={"X": "x$"})[0] == "4111 1111 1111 1111 <X>"
+
+
 SOUND = ["itâ€ is", "“CAFÉ” «À» É»", "allé…»", "naïve “É”", "Ã", "São Paulo", "MAÇÃ”", "Ω日本", "à «non»", ""]
 BROKEN = ["it’s café", "été", "Österreich", "sûr", "“quoted” – dash…", "日本語のテキスト", "Привет, мир", "naïve NBSP\xa0x", "😀 ok"]
 
