@@ -3,8 +3,9 @@
 The DOM of a page becomes a tree in which siblings with one label (tag, class
 and id words) are one node, so that a list or a run of paragraphs is one slot.
 Each page of a host is aligned with the host's seed page (one of its commonest
-layout) by simple tree matching. A slot whose content is mostly the same on the
-host's different pages is template; slots that vary are content.
+layout) by simple tree matching. The content that most of the host's different
+pages have in a slot is template; a page on which the slot says something else
+keeps it, and slots that vary are content.
 
 Where a page marks its article (``article``, ``main``), the text comes from
 there: all of it but template boxes, and elements that are never main text
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,9 +33,10 @@ from corpusloom.llm.common import fresh
 from corpusloom.operators.skew import salted_join
 from corpusloom.scratch import Scratch
 
+# A tag ends before the next one begins, so that a page of tags that never end is read once.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe)\b(?:\"[^\"]*\"|'[^']*'|[^<>\"'])*>.*?(?:</\1\s*>|\Z)"
+    r"|<[!?][^<>]*>|<(/?)([A-Za-z][^\s/<>]*)((?:\"[^\"]*\"|'[^']*'|[^<>\"'])*)>",
     re.DOTALL | re.IGNORECASE,
 )
 ATTRIBUTE = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
@@ -63,15 +66,16 @@ LEAST_PAGES = 3
 @dataclass
 class Element:
     tag: str
-    path: str
+    path: int  # a hash of the labels from the top
     noise: bool
     region: int  # 2 in an article, 1 in a main part, 0 elsewhere
     own_header: bool = False  # the header of an article, whose headings stay
+    block: Element | None = None  # the innermost element that makes a block, itself included
 
 
 @dataclass
 class Block:
-    path: str
+    path: int
     tag: str
     text: str
     noise: bool
@@ -85,10 +89,17 @@ class _Open:
     linked: int = 0
 
 
-def blocks_of(page: str | None) -> list[Block]:
-    """The text blocks of a page in order, with their place in the tree."""
+#: Nodes of a page's tree: path to the path above and the label.
+Nodes = dict[int, tuple[int, str]]
+
+
+def blocks_of(page: str | None, nodes: Nodes | None = None) -> list[Block]:
+    """The text blocks of a page in order, with their place in the tree, which ``nodes`` collects."""
     out: list[Block] = []
-    stack = [Element("#", "", False, 0)]
+    top = Element("#", 0, False, 0)
+    top.block = top
+    stack = [top]
+    inside: Counter[str] = Counter()
     now = _Open()
 
     def flush() -> None:
@@ -96,21 +107,21 @@ def blocks_of(page: str | None) -> list[Block]:
         text = " ".join(entities.unescape("".join(now.parts)).split())
         if text:
             e = stack[-1]
-            block = next((x for x in reversed(stack) if x.tag in BLOCK or x.tag == "#"), stack[0])
-            noise = e.noise and not (e.own_header and block.tag in HEADINGS)
-            out.append(Block(block.path, block.tag, text, noise, e.region, now.linked))
+            noise = e.noise and not (e.own_header and e.block.tag in HEADINGS)
+            out.append(Block(e.block.path, e.block.tag, text, noise, e.region, now.linked))
         now = _Open()
 
     def close(tag: str) -> None:
-        if any(x.tag == tag for x in stack):
-            while stack[-1].tag != tag:
-                stack.pop()
-            stack.pop()
+        while inside[tag]:
+            last = stack.pop().tag
+            inside[last] -= 1
+            if last == tag:
+                return
 
     def add(text: str) -> None:
         if text:
             now.parts.append(text)
-            if any(x.tag == "a" for x in stack):
+            if inside["a"]:
                 now.linked += len(text.strip())
 
     at, page = 0, page or ""
@@ -129,9 +140,9 @@ def blocks_of(page: str | None) -> list[Block]:
             continue
         if tag in VOID:
             continue
-        if tag in CLOSES_P and any(x.tag == "p" for x in stack):
+        if tag in CLOSES_P and inside["p"]:
             close("p")
-        elif tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
+        elif inside[tag] and tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
             # An open one of the same list or table ends here.
             for x in reversed(stack):
                 if x.tag in ("ul", "ol", "dl", "table", "select", "menu") or x.tag == "tr" and tag != "tr":
@@ -139,13 +150,14 @@ def blocks_of(page: str | None) -> list[Block]:
                 if x.tag == tag:
                     close(tag)
                     break
-        stack.append(_element(tag, m[4], stack[-1]))
+        stack.append(_element(tag, m[4], stack[-1], nodes))
+        inside[tag] += 1
     add(page[at:])
     flush()
     return out
 
 
-def _element(tag: str, attributes: str, parent: Element) -> Element:
+def _element(tag: str, attributes: str, parent: Element, nodes: Nodes | None) -> Element:
     found = {a[1].lower(): (a[2] or a[3] or a[4] or "").lower() for a in ATTRIBUTE.finditer(attributes)} if attributes else {}
     names = f"{found.get('class', '')} {found.get('id', '')}".split()
     label = tag + "".join("." + re.sub(r"\d+", "", n) for n in names)
@@ -163,10 +175,15 @@ def _element(tag: str, attributes: str, parent: Element) -> Element:
         or role in ROLES
         or bool(words & NOISE and tag not in ("body", "html", "main"))
     )
-    return Element(tag, f"{parent.path}/{label}", noise, region, own_header)
+    path = xxhash.xxh64_intdigest(f"{parent.path}/{label}".encode("utf-8", "surrogatepass")) - (1 << 63)
+    if nodes is not None:
+        nodes[path] = (parent.path, label)
+    element = Element(tag, path, noise, region, own_header)
+    element.block = element if tag in BLOCK else parent.block
+    return element
 
 
-def main_text(page: str | None, dropped: frozenset[str] = frozenset()) -> str:
+def main_text(page: str | None, dropped: frozenset[int] = frozenset()) -> str:
     """The text without noise and the ``dropped`` slots."""
     blocks = [b for b in blocks_of(page) if not b.noise]
     best = max((b.region for b in blocks), default=0)
@@ -177,97 +194,116 @@ def main_text(page: str | None, dropped: frozenset[str] = frozenset()) -> str:
     return "\n".join(b.text for b in kept)
 
 
-def outline(page: str | None) -> list[tuple[str, int, bool]]:
-    """``(path, hash of the texts, may be dropped)`` of the slots of a page's tree, in order.
+def outline(page: str | None) -> tuple[Nodes, list[tuple[int, int, bool]]]:
+    """The page's tree, and ``(path, hash of the texts, may be dropped)`` of its slots, in order.
 
     A slot may be dropped if it isn't noise anyhow and, in a marked article, is
-    a box of no text element's kind.
+    a box of no text element's kind. The tree has what leads to slots.
     """
-    blocks = blocks_of(page)
+    nodes: Nodes = {}
+    blocks = blocks_of(page, nodes)
     best = max((b.region for b in blocks if not b.noise), default=0)
-    slots: dict[str, list[Block]] = {}
+    slots: dict[int, list[Block]] = {}
     for b in blocks:
         slots.setdefault(b.path, []).append(b)
-    out = []
+    out, used = [], {}
     for path, own in slots.items():
         value = xxhash.xxh64_intdigest("\n".join(b.text for b in own).encode("utf-8", "surrogatepass"))
         free = all(not b.noise and b.region == best for b in own)
         out.append((path, value - (1 << 63), free and (best == 0 or own[0].tag not in PARAGRAPHS)))
-    return out
+        while path in nodes and path not in used:
+            used[path] = nodes[path]
+            path = nodes[path][0]
+    return {path: node for path, node in nodes.items() if path in used}, out
 
 
-def _tree(paths: list[str]) -> dict:
-    root: dict = {}
-    for path in paths:
-        node = root
-        for label in path.split("/")[1:]:
-            node = node.setdefault(label, {})
-    return root
+def align(mine: Nodes, seed: Nodes) -> dict[int, int]:
+    """Simple tree matching of two trees: my path -> the seed's path.
 
-
-def align(mine: list[str], seed: list[str]) -> dict[str, str]:
-    """Simple tree matching of two trees of paths: my path -> the seed's path.
-
-    Children match in order; the matching with the most nodes wins.
+    Children match in order; the matching with the most nodes wins. Without
+    recursion, as trees may be of any depth.
     """
-    memo: dict[tuple[int, int], tuple[int, list]] = {}
-
-    def match(a: dict, b: dict) -> tuple[int, list]:
-        key = (id(a), id(b))
-        if key not in memo:
-            left, right = list(a.items()), list(b.items())
-            best = [[(0, None)] * (len(right) + 1) for _ in range(len(left) + 1)]
-            for i, (x, below) in enumerate(left, 1):
-                for j, (y, under) in enumerate(right, 1):
-                    cell = max(best[i - 1][j], best[i][j - 1], key=lambda c: c[0])
-                    if x == y:
-                        n = best[i - 1][j - 1][0] + 1 + match(below, under)[0]
-                        if n > cell[0]:
-                            cell = (n, (i - 1, j - 1))
-                    best[i][j] = cell
-            pairs, i, j = [], len(left), len(right)
-            while i and j:
-                if best[i][j][1] == (i - 1, j - 1):
-                    pairs.append((left[i - 1], right[j - 1]))
-                    i, j = i - 1, j - 1
-                elif best[i - 1][j][0] >= best[i][j - 1][0]:
-                    i -= 1
-                else:
-                    j -= 1
-            memo[key] = (best[-1][-1][0], pairs[::-1])
-        return memo[key]
-
-    out: dict[str, str] = {}
-
-    def walk(a: dict, b: dict, own: str, other: str) -> None:
-        for (x, below), (y, under) in match(a, b)[1]:
-            out[f"{own}/{x}"] = f"{other}/{y}"
-            walk(below, under, f"{own}/{x}", f"{other}/{y}")
-
-    walk(_tree(mine), _tree(seed), "", "")
+
+    def children(nodes: Nodes) -> dict[int, list[tuple[str, int]]]:
+        below: dict[int, list[tuple[str, int]]] = {}
+        for path, (above, label) in nodes.items():
+            below.setdefault(above, []).append((label, path))
+        return below
+
+    left, right = children(mine), children(seed)
+    found: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+
+    def match(a: int, b: int) -> tuple[int, list[tuple[int, int]]]:
+        """Nodes matched below a pair, and the pairs of its children; those of the children are known."""
+        xs, ys = left.get(a, []), right.get(b, [])
+        if [x for x, _ in xs] == [y for y, _ in ys]:
+            pairs = [(x, y) for (_, x), (_, y) in zip(xs, ys, strict=True)]
+            return sum(1 + found[pair][0] for pair in pairs), pairs
+        best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
+        for i, (x, one) in enumerate(xs, 1):
+            for j, (y, two) in enumerate(ys, 1):
+                best[i][j] = max(best[i - 1][j], best[i][j - 1])
+                if x == y:
+                    best[i][j] = max(best[i][j], best[i - 1][j - 1] + 1 + found[one, two][0])
+        pairs, i, j = [], len(xs), len(ys)
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((xs[i][1], ys[j][1]))
+        return best[-1][-1], pairs[::-1]
+
+    stack = [(0, 0)]
+    while stack:
+        a, b = stack[-1]
+        if (a, b) not in found:
+            named = dict(right.get(b, []))
+            needed = [(x, named[label]) for label, x in left.get(a, []) if label in named and (x, named[label]) not in found]
+            if needed:
+                stack += needed
+                continue
+            found[a, b] = match(a, b)
+        stack.pop()
+    out, walk = {}, [(0, 0)]
+    while walk:
+        for x, y in found[walk.pop()][1]:
+            out[x] = y
+            walk.append((x, y))
     return out
 
 
-SLOTS = "array<struct<path:string,value:bigint,free:boolean>>"
+SLOTS = "array<struct<path:bigint,value:bigint,free:boolean>>"
+NODES = "array<struct<path:bigint,above:bigint,label:string>>"
 
 
 def _outlines(keyed: DataFrame, key: str, host: str, html_col: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slot = pa.struct([("path", pa.string()), ("value", pa.int64()), ("free", pa.bool_())])
+        slot = pa.struct([("path", pa.int64()), ("value", pa.int64()), ("free", pa.bool_())])
+        node = pa.struct([("path", pa.int64()), ("above", pa.int64()), ("label", pa.string())])
         for batch in batches:
-            layouts, values, slots = [], [], []
+            layouts, values, slots, trees = [], [], [], []
             for page in batch.column(2):
-                found = outline(page.as_py())
-                layouts.append(xxhash.xxh64_intdigest("\n".join(p for p, _, _ in found).encode()) - (1 << 63))
+                nodes, found = outline(page.as_py())
+                layouts.append(xxhash.xxh64_intdigest(repr([p for p, _, _ in found]).encode()) - (1 << 63))
                 values.append(xxhash.xxh64_intdigest(repr([f[:2] for f in found]).encode()) - (1 << 63))
                 slots.append([{"path": p, "value": v, "free": f} for p, v, f in found])
+                trees.append([{"path": p, "above": a, "label": x} for p, (a, x) in nodes.items()])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(layouts, pa.int64()), pa.array(values, pa.int64()), pa.array(slots, pa.list_(slot))],
-                names=["key", "host", "layout", "content", "slots"],
+                [
+                    *batch.columns[:2],
+                    pa.array(layouts, pa.int64()),
+                    pa.array(values, pa.int64()),
+                    pa.array(slots, pa.list_(slot)),
+                    pa.array(trees, pa.list_(node)),
+                ],
+                names=["key", "host", "layout", "content", "slots", "nodes"],
             )
 
     return keyed.select(key, host, html_col).mapInArrow(
-        read, f"key string, host string, layout bigint, content bigint, slots {SLOTS}"
+        read, f"key string, host string, layout bigint, content bigint, slots {SLOTS}, nodes {NODES}"
     )
 
 
@@ -280,22 +316,22 @@ def host_of(url: Column) -> Column:
 def template_slots(outlines: DataFrame, scratch: Scratch, rows_per_slice: int) -> DataFrame:
     """``(key, paths)``: the slots of each page that are template and would be in its text.
 
-    Pages of a host with the same content count once. A slot is template if at
-    least ``LEAST_PAGES`` different pages have it, ``SAME_SHARE`` per cent of them
-    with one content.
+    Pages of a host with the same content count once. What a slot says is template if at
+    least ``LEAST_PAGES`` different pages say it, and ``SAME_SHARE`` per cent of those that have the
+    slot. A page on which the slot says something else keeps it.
     """
     pages = scratch.save(
-        outlines.groupBy("host", "content").agg(F.min(F.struct("key", "layout", "slots")).alias("p"))
-        .select("host", "p.key", "p.layout", F.col("p.slots").alias("slots")),
+        outlines.groupBy("host", "content").agg(F.min(F.struct("key", "layout", "slots", "nodes")).alias("p"))
+        .select("host", "p.key", "p.layout", F.col("p.slots").alias("slots"), F.col("p.nodes").alias("nodes")),
         "pages",
     )
     layouts = pages.groupBy("host", "layout").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "slots")).alias("first")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "nodes")).alias("first")
     )
     seeds = scratch.save(
         layouts.groupBy("host").agg(F.sum("n").alias("n"), F.max(F.struct("n", "layout", "first")).alias("top"))
         .where(F.col("n") >= LEAST_PAGES)
-        .select("host", "n", F.col("top.first.slots.path").alias("seed")),
+        .select("host", "n", F.col("top.first.nodes").alias("seed")),
         "seeds",
     )
 
@@ -303,11 +339,13 @@ def template_slots(outlines: DataFrame, scratch: Scratch, rows_per_slice: int) -
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 out = {"id": [], "path": [], "seed": [], "value": []}
-                known: dict[tuple, dict[str, str]] = {}
-                for name, slots, seed in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                    pair = (tuple(s["path"] for s in slots), tuple(seed))
+                known: dict[tuple, dict[int, int]] = {}
+                for name, slots, *trees in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+                    mine, seed = ({n["path"]: (n["above"], n["label"]) for n in tree} for tree in trees)
+                    # Paths are hashes of all labels, so they tell trees apart.
+                    pair = (tuple(mine), tuple(seed))
                     if pair not in known:
-                        known[pair] = align(*map(list, pair))
+                        known[pair] = align(mine, seed)
                     for s in slots:
                         if s["free"] and s["path"] in known[pair]:
                             out["id"].append(name)
@@ -315,28 +353,28 @@ def template_slots(outlines: DataFrame, scratch: Scratch, rows_per_slice: int) -
                             out["seed"].append(known[pair][s["path"]])
                             out["value"].append(s["value"])
                 yield pa.RecordBatch.from_pydict(
-                    out, pa.schema([("id", pa.string()), ("path", pa.string()), ("seed", pa.string()), ("value", pa.int64())])
+                    out, pa.schema([("id", pa.string()), ("path", pa.int64()), ("seed", pa.int64()), ("value", pa.int64())])
                 )
 
-        return table.select(extra, "slots", "seed").mapInArrow(run, "id string, path string, seed string, value bigint")
+        return table.select(extra, "slots", "nodes", "seed").mapInArrow(run, "id string, path bigint, seed bigint, value bigint")
 
     free = F.exists("slots", lambda s: s["free"])
     small = seeds.select("host", "seed")
     met = salted_join(pages.where(free), small, ["host"], seeds, F.col("key"), rows_per_slice)
     values = aligned(met, "host", "host").groupBy("id", "seed", "value").agg(F.count(F.lit(1)).alias("n"))
     fixed = scratch.save(
-        values.groupBy("id", "seed").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
-        .where((F.col("n") >= LEAST_PAGES) & (100 * F.col("most") >= SAME_SHARE * F.col("n")))
-        .groupBy(F.col("id").alias("host")).agg(F.collect_set("seed").alias("fixed")),
+        values.groupBy("id", "seed").agg(F.sum("n").alias("n"), F.max(F.struct("n", "value")).alias("most"))
+        .where((F.col("most.n") >= LEAST_PAGES) & (100 * F.col("most.n") >= SAME_SHARE * F.col("n")))
+        .groupBy(F.col("id").alias("host")).agg(F.collect_set(F.struct("seed", "most.value")).alias("fixed")),
         "fixed",
     )
     sizes = scratch.save(outlines.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "sizes")
     wrappers = small.join(fixed, "host")
     met = salted_join(outlines.where(free), wrappers, ["host"], sizes, F.col("key"), rows_per_slice)
-    # Which seed slots are template goes with the page's key, so that one alignment tells both.
+    # What the seed's slots say as template goes with the page's key, so that one alignment tells both.
     met = met.withColumn("slots", F.filter("slots", lambda s: s["free"]))
     own = aligned(met, "key", "key").join(met.select(F.col("key").alias("id"), "fixed").distinct(), "id")
-    return own.where(F.array_contains("fixed", F.col("seed"))).groupBy(F.col("id").alias("key")).agg(
+    return own.where(F.array_contains("fixed", F.struct("seed", "value"))).groupBy(F.col("id").alias("key")).agg(
         F.collect_set("path").alias("paths")
     )
 
@@ -353,7 +391,8 @@ def extract(
     """``pages`` with the main text as column ``into`` (in place of one of that name).
 
     Null and empty pages have the empty text. Repeated rows each give a row. A
-    host with fewer than three different pages has no template.
+    host with fewer than three different pages has no template. Pages may be of any length and
+    depth. Of several layouts that are equally common the largest hash is the seed's.
     """
     key, host = fresh(pages, "_key", "_host")
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in (id_col, url_col, html_col)]
