@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,11 +33,13 @@ from corpusloom.sources.documents import (
     dual_sink,
     read_language,
     read_records,
+    read_splits,
     write_by_language,
     write_by_source,
     write_rejected,
 )
 from corpusloom.sources.tables import read_table
+from corpusloom.sources.wiki import read_dump
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -765,6 +768,61 @@ def jsonl_round_trip(spark, sf_dir):
     )
 
 
+@query
+def multi_scan(spark, sf_dir):
+    """JSON lines of each language in a folder of its own, and several folders read as one dataset."""
+    root = Scratch(spark).root
+    docs = documents(spark, sf_dir).select(ID, "text", "lang")
+    _with_bad_lines(docs.withColumn("folder", F.col("lang")), f"{root}/in", "folder", F.lit(False))
+    paths = [f"{root}/in/_file={lang}" for lang in ("de", "fr")]
+    return accepted(read_records(spark, paths, f"{ID} bigint, text string, lang string")).select(ID, "text", "lang")
+
+
+@query
+def split_scan(spark, sf_dir):
+    """Pairs in folders named by split, read as one dataset with its splits."""
+    root = Scratch(spark).root
+    pairs = sampling.split_by_weight(_pairs(spark, sf_dir), "8,1,1", "conv_id")
+    for name, label in (("training", "train"), ("validation", "validation"), ("test", "test")):
+        part = pairs.where(F.col("split") == label).drop("split")
+        part.select(F.to_json(F.struct("*"))).write.text(f"{root}/{name}.jsonl")
+    kind = "conv_id bigint, turn bigint, input string, output string"
+    return read_splits(spark, root, kind).select("conv_id", "turn", "input", "output", "split")
+
+
+@query
+def dump_scan(spark, sf_dir):
+    """Documents as the pages of an XML dump, with redirects, talk pages and a head that names its namespaces."""
+    root = Scratch(spark).root
+    safe = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    redirect = F.when(F.col(ID) % 10 == 0, '<redirect title="Other" />').otherwise("")
+    page = F.concat(
+        F.lit("<page><title>Page No. "), F.col(ID).cast("string"), F.lit("</title><ns>"), (F.col(ID) % 10 == 1).cast("int").cast("string"),
+        F.lit("</ns><id>"), F.col(ID).cast("string"), F.lit("</id>"), redirect, F.lit('<revision><text xml:space="preserve">[[Datei:x.png|mini|y]]'),
+        safe(F.col("text")), F.lit("\n[[Kategorie:Z]]</text></revision></page>"),
+    )
+    head = (
+        '<mediawiki>\n<siteinfo><namespaces>\n<namespace key="6" case="first-letter">Datei</namespace>\n'
+        '<namespace key="14" case="first-letter">Kategorie</namespace>\n</namespaces></siteinfo>'
+    )
+
+    def wrapped(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": [head]})
+        yield from pages
+        yield pd.DataFrame({"value": ["</mediawiki>"]})
+
+    documents(spark, sf_dir).select(page.alias("value")).mapInPandas(wrapped, "value string").write.text(f"{root}/dump")
+    found = read_dump(spark, f"{root}/dump/part-*", "xx")
+    return found.select(F.col("id").cast("bigint").alias(ID), "title", "url", "language", "text")
+
+
+@query
+def batch_modify(spark, sf_dir):
+    """A modifier from a Python function over batches of texts."""
+    swap = stages.modify(stages.batch_modifier(lambda texts: texts.str.replace("e", "3", regex=False), batch_size=100))
+    return documents(spark, sf_dir).select(ID, "text").transform(swap)
+
+
 @query
 def sft_dual_sink(spark, sf_dir):
     """Pairs from files with fields nobody declares and cut lines, scored, and what both sinks hold."""

@@ -543,6 +543,16 @@ SQL["jsonl_round_trip"] = f"""
 SELECT doc_id, text || ' — "read"\n\\' AS text, len({words('text')}) + 3 AS word_count, lang, n_chars, 2::bigint AS n_sizes,
        (SELECT count(*) FROM documents WHERE doc_id % 10 = 0) AS rejected_lines
 FROM documents"""
+SQL["multi_scan"] = "SELECT doc_id, text, lang FROM documents WHERE lang IN ('de', 'fr')"
+SQL["split_scan"] = with_(
+    _PAIRS,
+    select=f"""SELECT conv_id, turn, input, output, CASE WHEN b < 8 THEN 'train' WHEN b < 9 THEN 'validation' ELSE 'test' END AS split
+               FROM (SELECT *, {bucket('conv_id', 10)} AS b FROM pairs)""",
+)
+SQL["dump_scan"] = """
+SELECT doc_id, 'Page No. ' || doc_id AS title, 'https://xx.wikipedia.org/wiki/Page_No._' || doc_id AS url, 'xx' AS language, text
+FROM documents WHERE doc_id % 10 > 1"""
+SQL["batch_modify"] = "SELECT doc_id, replace(text, 'e', '3') AS text FROM documents"
 SQL["sft_dual_sink"] = with_(
     *_SCORED,
     select="""SELECT *, (SELECT count(*) FROM pairs WHERE conv_id % 7 = 0) AS rejected_lines FROM (

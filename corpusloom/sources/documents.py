@@ -67,7 +67,11 @@ def _declared(schema: str | T.StructType) -> T.StructType:
 
 
 def read_records(
-    spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType, file_name: bool = True
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: str | T.StructType,
+    file_name: bool = True,
+    file_path: bool = False,
 ) -> DataFrame:
     """Scan JSON lines: the declared fields as columns, and every field in ``_record``.
 
@@ -78,7 +82,8 @@ def read_records(
     ``accepted`` has the rest, ``write_rejected`` sets these lines aside and counts them.
     """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("file_name"))
+    names = [F.col(f"_metadata.{c}").alias(c) for c in ("file_name", "file_path")]
+    lines = spark.read.text(paths).select("value", *names)
     lines = lines.where(F.regexp_replace("value", r"[ \t\r]+", "") != "")
     parsed = lines.withColumn("_parsed", F.try_parse_json("value"))
     parsed = parsed.withColumn("_fields", F.expr("try_cast(_parsed AS MAP<STRING, VARIANT>)"))
@@ -91,6 +96,7 @@ def read_records(
         F.when(~bad, F.col("_parsed")).alias(RECORD),
         F.when(bad, F.col("value")).alias(REJECTED),
         *(["file_name"] if file_name else []),
+        *(["file_path"] if file_path else []),
     )
 
 
@@ -134,16 +140,17 @@ def document_schema(
 def read_splits(spark: SparkSession, root: str, schema: str | T.StructType = SFT_SCHEMA) -> DataFrame:
     """Files named by split (``train``/``training``, ``validation``, ``test``) as one dataset.
 
-    A file with another name is in no split, and an error rather than rows without one.
+    The name may also be that of a folder with part files, as Spark writes one. Another name
+    is in no split, and an error rather than rows without one.
     """
-    df = accepted(read_records(spark, root, schema))
-    stem = F.regexp_extract("file_name", r"^([A-Za-z]+)[^/]*$", 1)
+    df = accepted(read_records(spark, [root, f"{root}/*"], schema, file_path=True))
+    stem = F.regexp_extract("file_path", r"/([A-Za-z]+)[^/]*(?:/part-[^/]*)?$", 1)
     split: Column | None = None
     for name, label in SPLIT_FILES.items():
         match = stem == name
         split = F.when(match, label) if split is None else split.when(match, label)
-    unknown = F.raise_error(F.concat(F.lit("no split is named by the file "), "file_name"))
-    return df.withColumn("split", split.otherwise(unknown.cast("string")))
+    unknown = F.raise_error(F.concat(F.lit("no split is named by the file "), "file_path"))
+    return df.withColumn("split", split.otherwise(unknown.cast("string"))).drop("file_path")
 
 
 def write_by_source(df: DataFrame, path: str, file_col: str = "file_name", gather: bool = False) -> None:

@@ -44,7 +44,7 @@ def read_dump(
     if not paths:
         raise FileNotFoundError(pattern)
     namespaces = local_namespaces(spark, paths[0])
-    pages = spark.read.format("xml").option("rowTag", "page").schema(PAGE_SCHEMA).load(",".join(paths))
+    pages = spark.read.format("xml").option("rowTag", "page").schema(PAGE_SCHEMA).load(paths)
     pages = pages.select("*", F.col("_metadata.file_name").alias("file_name"))
     return articles(pages, language, namespaces).where(F.col("text") != "")
 

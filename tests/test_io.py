@@ -201,6 +201,7 @@ def test_wiki_dump(spark, tmp_path):
     for name in ("d1.xml", "d2.xml"):
         (tmp_path / name).write_text(DUMP)
     rows = wiki.read_dump(spark, f"{tmp_path}/d*.xml", "xx", url_limit=1).collect()
+    assert wiki.read_dump(spark, f"{tmp_path}/d*.xml", "xx").count() == 2
     assert [r.asDict() for r in rows] == [
         {"id": "7", "title": "Some Page", "url": "https://xx.wikipedia.org/wiki/Some_Page",
          "language": "xx", "text": "Bold y", "file_name": "d1.xml"}
