@@ -72,6 +72,7 @@ def read_records(
     schema: str | T.StructType,
     file_name: bool = True,
     file_path: bool = False,
+    folders: bool = False,
 ) -> DataFrame:
     """Scan JSON lines: the declared fields as columns, and every field in ``_record``.
 
@@ -80,10 +81,11 @@ def read_records(
     digits as the nearest double). A line that is no JSON object, or that has a field
     twice, is kept in ``_rejected``, with nulls in all other columns; empty lines are none.
     ``accepted`` has the rest, ``write_rejected`` sets these lines aside and counts them.
+    With ``folders``, files at any depth below the paths are read.
     """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     names = [F.col(f"_metadata.{c}").alias(c) for c in ("file_name", "file_path")]
-    lines = spark.read.text(paths).select("value", *names)
+    lines = spark.read.option("recursiveFileLookup", folders).text(paths).select("value", *names)
     lines = lines.where(F.regexp_replace("value", r"[ \t\r]+", "") != "")
     parsed = lines.withColumn("_parsed", F.try_parse_json("value"))
     parsed = parsed.withColumn("_fields", F.expr("try_cast(_parsed AS MAP<STRING, VARIANT>)"))
@@ -143,7 +145,7 @@ def read_splits(spark: SparkSession, root: str, schema: str | T.StructType = SFT
     The name may also be that of a folder with part files, as Spark writes one. Another name
     is in no split, and an error rather than rows without one.
     """
-    df = accepted(read_records(spark, [root, f"{root}/*"], schema, file_path=True))
+    df = accepted(read_records(spark, root, schema, file_path=True, folders=True))
     stem = F.regexp_extract("file_path", r"/([A-Za-z]+)[^/]*(?:/part-[^/]*)?$", 1)
     split: Column | None = None
     for name, label in SPLIT_FILES.items():
