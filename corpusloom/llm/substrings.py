@@ -49,7 +49,10 @@ REPORT_SHARE = 8192
 BUCKET_PIECES = 400_000
 #: Windows of a bucket that are sorted at once.
 SORTED_WINDOWS = 200_000
-_HIGH = np.uint64(1 << 63)
+#: Bits of a minimiser's hash that put it in order, and of its place in a window. One more
+#: bit puts those of heavy slots last.
+ORDER_BITS = 56
+PLACE_BITS = 7
 
 
 def _pack(*parts: np.ndarray | bytes) -> bytes:
@@ -130,7 +133,7 @@ class Pieces:
 
     @property
     def slots(self) -> np.ndarray:
-        return ((self.minimiser & ~_HIGH) >> np.uint64(63 - SLOT_BITS)).astype(np.int64)
+        return (self.minimiser >> np.uint64(ORDER_BITS - SLOT_BITS)).astype(np.int64) & (SLOTS - 1)
 
 
 class Block:
@@ -156,15 +159,17 @@ class Block:
         if n <= 0:
             return Pieces(none, none, np.empty(0, np.uint64))
         hashes = np.fromiter(map(known.__getitem__, self.words), np.uint64, len(self.words))
-        order = shingle_hashes(hashes, min(MINIMISER, window)) >> np.uint64(1)
+        order = shingle_hashes(hashes, min(MINIMISER, window)) >> np.uint64(64 - ORDER_BITS)
         if heavy is not None:
-            order |= heavy[(order >> np.uint64(63 - SLOT_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(63)
-        best, at = order[:n].copy(), np.arange(n)
+            slot = (order >> np.uint64(ORDER_BITS - SLOT_BITS)).astype(np.int64)
+            order |= heavy[slot].astype(np.uint64) << np.uint64(ORDER_BITS)
+        # The place in the window is part of the key, so that the leftmost of equal runs wins.
+        order <<= np.uint64(PLACE_BITS)
+        best = order[:n].copy()
         for k in range(1, window - min(MINIMISER, window) + 1):
-            other = order[k : k + n]
-            less = other < best
-            best[less] = other[less]
-            at[less] = np.flatnonzero(less) + k
+            np.minimum(best, order[k : k + n] | np.uint64(k), out=best)
+        at = np.arange(n) + (best & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+        best >>= np.uint64(PLACE_BITS)
         whole = (self.doc[:n] == self.doc[window - 1 :]) & (self.given[self.doc[:n]] > 0)
         change = np.ones(n, bool)
         change[1:] = (at[1:] != at[:-1]) | (whole[1:] != whole[:-1]) | (self.doc[1:n] != self.doc[: n - 1])
@@ -320,10 +325,12 @@ def drop_repeated_passages(
     smaller id. Windows are those of the input. Words are `[^\\x20\\x09-\\x0D]+`, and
     the words kept are joined by one space. Null and empty texts have no words and
     become empty. Texts of fewer words than a window stay. Documents may share an id:
-    neither is smaller, so they don't remove from each other. A null id is neither
+    neither is smaller, so they don't remove from each other. ``window`` is at most 128. A null id is neither
     smaller nor larger than any other: such a document stays whole and removes nothing. An empty
     table gives no rows. Other columns, whatever their names, aren't read.
     """
+    if not 0 < window <= 1 << PLACE_BITS:
+        raise ValueError(f"a window of {window} words")
     packed = scratch.save(blocks(docs, id_col, text_col, window), "blocks")
     total = packed.agg(F.sum("n_pieces")).first()[0] or 0
     counted = packed.select(F.explode(F.arrays_zip("slots", "counts")).alias("x")).groupBy("x.slots").agg(
