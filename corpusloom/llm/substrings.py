@@ -33,7 +33,6 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import WordHashes
 from corpusloom.llm.decontaminate import shingle_hashes
 from corpusloom.scratch import Scratch
 
@@ -53,6 +52,7 @@ SORTED_WINDOWS = 200_000
 #: bit puts those of heavy slots last.
 ORDER_BITS = 56
 PLACE_BITS = 7
+_POWERS = np.cumprod(np.full(1024, 0x9E3779B97F4A7C15, np.uint64))
 
 
 def _pack(*parts: np.ndarray | bytes) -> bytes:
@@ -78,7 +78,6 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFram
     """``(body, n_pieces, slots, counts)``: packed documents, and the heavy slots of their minimisers."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         ids: list[int | None] = []
         texts: list[bytes] = []
         counts: list[int] = []
@@ -89,7 +88,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFram
             whole = np.array([i or 0 for i in ids], np.int64)
             block = Block(whole, given, np.array(counts, np.int64), b" ".join(x for x in texts if x))
             body = _pack(block.ids, block.given, block.counts, block.text)
-            heavy = np.bincount(block.pieces(window, None, known).slots, minlength=SLOTS)
+            heavy = np.bincount(block.pieces(window, None).slots, minlength=SLOTS)
             n = int(heavy.sum())
             slots = np.flatnonzero(heavy * REPORT_SHARE > n)
             for x in (ids, texts, counts):
@@ -152,14 +151,20 @@ class Block:
     def read(cls, body: bytes) -> Block:
         return cls(*_unpack(body, np.int64, np.uint8, np.int64, bytes))
 
-    def pieces(self, window: int, heavy: np.ndarray | None, known: WordHashes) -> Pieces:
+    def hashes(self) -> np.ndarray:
+        """A hash of each word, equal for equal words: a sum over its bytes. It only picks minimisers."""
+        raw = np.frombuffer(self.text + b" ", np.uint8)
+        starts, sizes = self.offsets[:-1], np.diff(self.offsets)
+        place = np.arange(len(raw)) - np.repeat(starts, sizes)
+        return np.add.reduceat((raw.astype(np.uint64) + np.uint64(1)) * _POWERS[place % len(_POWERS)], starts)
+
+    def pieces(self, window: int, heavy: np.ndarray | None) -> Pieces:
         """Stretches of windows of one document with one minimiser; documents without id have none."""
         n = len(self.words) - window + 1
         none = np.empty(0, np.int64)
         if n <= 0:
             return Pieces(none, none, np.empty(0, np.uint64))
-        hashes = np.fromiter(map(known.__getitem__, self.words), np.uint64, len(self.words))
-        order = shingle_hashes(hashes, min(MINIMISER, window)) >> np.uint64(64 - ORDER_BITS)
+        order = shingle_hashes(self.hashes(), min(MINIMISER, window)) >> np.uint64(64 - ORDER_BITS)
         if heavy is not None:
             slot = (order >> np.uint64(ORDER_BITS - SLOT_BITS)).astype(np.int64)
             order |= heavy[slot].astype(np.uint64) << np.uint64(ORDER_BITS)
@@ -179,9 +184,9 @@ class Block:
         first, last = first[keep], last[keep]
         return Pieces(first, last, best[first])
 
-    def cut(self, window: int, heavy: np.ndarray, buckets: int, known: WordHashes) -> Iterator[tuple[int, bytes]]:
+    def cut(self, window: int, heavy: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
         """Buckets, and the distinct pieces of each: minimiser, ids, windows, places, text."""
-        found = self.pieces(window, heavy, known)
+        found = self.pieces(window, heavy)
         text, numbers = self.text, {}
         starts = self.offsets[found.first].tolist()
         stops = (self.offsets[found.last + window] - 1).tolist()
@@ -344,10 +349,9 @@ def drop_repeated_passages(
     buckets = max(2 * partitions, -(-total // BUCKET_PIECES))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
             for body, block in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                made = list(Block.read(body.as_py()).cut(window, heavy, buckets, known))
+                made = list(Block.read(body.as_py()).cut(window, heavy, buckets))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([bucket for bucket, _ in made], pa.int64()),

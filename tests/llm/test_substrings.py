@@ -9,7 +9,6 @@ import numpy as np
 import pytest
 
 from corpusloom.llm import substrings
-from corpusloom.llm.common import WordHashes
 
 DOC = "doc_id long, text string"
 
@@ -80,13 +79,20 @@ def test_empty_table(spark, scratch):
     assert found(spark, scratch, [], 13) == []
 
 
+def test_equal_words_have_equal_hashes():
+    words = [b"a", b"ab", b"ba", b"a", b"x" * 5000, "ä".encode(), b"x" * 5000, b"ab"]
+    found = substrings.Block(np.zeros(1), np.ones(1), np.array([len(words)]), b" ".join(words)).hashes().tolist()
+    assert {w: h for w, h in zip(words, found, strict=True)} == dict(zip(words, found, strict=True))
+    assert len(set(found)) == len(set(words)) and found[0] == found[3] and found[1] == found[7] and found[4] == found[6]
+
+
 def test_pieces_cover_every_window_once():
     rng = np.random.default_rng(3)
     counts = np.array([0, 30, 12, 13, 0, 200])
     text = b" ".join(b"w%d" % rng.integers(15) for _ in range(counts.sum()))
     block = substrings.Block(np.arange(6), np.ones(6, np.uint8), counts, text)
     for heavy in (None, rng.random(substrings.SLOTS) < 0.5):
-        pieces = block.pieces(13, heavy, WordHashes())
+        pieces = block.pieces(13, heavy)
         seen = [w for a, b in zip(pieces.first, pieces.last, strict=True) for w in range(a, b + 1)]
         starts = np.cumsum(counts) - counts
         assert seen == [s + k for s, n in zip(starts, counts, strict=True) for k in range(max(0, n - 12))]
