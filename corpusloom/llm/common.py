@@ -50,7 +50,7 @@ def joined(values: Sequence[str]) -> str:
 class WordHashes(dict):
     """64-bit hashes of words (bytes), remembered up to a fixed number of words."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
