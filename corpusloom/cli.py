@@ -93,11 +93,13 @@ def run_wiki(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_qa(spark: SparkSession, args: argparse.Namespace) -> None:
     for split in ("train", "validation", "test"):
-        rows = documents.well_formed(
-            documents.read_jsonl(spark, f"{args.input_dir}/{split}.jsonl", documents.QA_SCHEMA)
-        )
+        scratch = Scratch(spark)
+        reject_dir = f"{args.output_dir}/rejected_{split}"
+        path = f"{args.input_dir}/{split}.jsonl"
+        rows = accepted_records(spark, scratch, path, documents.QA_SCHEMA, reject_dir, with_id=False)
         pairs = sft.qa_to_sft(rows, F.col("context"), F.col("question"), F.col("answer.text"))
         pairs.write.mode("overwrite").json(f"{args.output_dir}/{split}.jsonl")
+        scratch.close()
 
 
 def run_tokenize(spark: SparkSession, args: argparse.Namespace) -> None:

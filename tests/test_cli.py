@@ -58,9 +58,12 @@ def test_qa_job(spark, tmp_path):
     for split in ("train", "validation", "test"):
         row = {"context": " c ", "question": "q", "answer": {"text": split}}
         lines(tmp_path / "in" / f"{split}.jsonl", [row])
+    with (tmp_path / "in" / "test.jsonl").open("a") as file:
+        file.write("[not a record]\n")
     cli.main(["qa", "--input-dir", str(tmp_path / "in"), "--output-dir", str(tmp_path / "out")])
-    row = spark.read.json(str(tmp_path / "out" / "test.jsonl")).first()
+    (row,) = spark.read.json(str(tmp_path / "out" / "test.jsonl")).collect()
     assert (row.input, row.output) == ("c\n\nq", "test")
+    assert spark.read.text(str(tmp_path / "out" / "rejected_test")).first().value == "[not a record]"
 
 
 def test_tokenize_job(spark, tmp_path):
