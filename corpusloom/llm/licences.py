@@ -39,6 +39,30 @@ KNOWN = {
         "THE SOFTWARE.",
     ],
 }
+# What licences are called.
+NAMES = {
+    "agpl-3.0": ["GNU Affero General Public License, version 3", "GNU AGPL v3"],
+    "apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"],
+    "bsd-2-clause": ["BSD 2-Clause License", "2-clause BSD License", "Simplified BSD License"],
+    "bsd-3-clause": ["BSD 3-Clause License", "3-clause BSD License", "New BSD License"],
+    "cc-by-4.0": ["Creative Commons Attribution 4.0 International License", "CC BY 4.0"],
+    "cc-by-nc-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International License", "CC BY-NC 4.0"],
+    "cc-by-sa-4.0": ["Creative Commons Attribution-ShareAlike 4.0 International License", "CC BY-SA 4.0"],
+    "cc0-1.0": ["CC0 1.0 Universal", "CC0 1.0"],
+    "gpl-2.0": ["GNU General Public License, version 2", "GNU GPL v2", "GNU General Public License v2.0"],
+    "gpl-3.0": ["GNU General Public License, version 3", "GNU GPL v3", "GNU General Public License v3.0"],
+    "isc": ["ISC License"],
+    "lgpl-3.0": ["GNU Lesser General Public License, version 3", "GNU LGPL v3"],
+    "mit": ["MIT License", "Expat License"],
+    "mpl-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL 2.0"],
+}
+# How a notice names its licence.
+FORMS = [
+    f"{whole}{verb} under {article}{{}}"
+    for whole in ("", "This work is ", "This project is ", "This software is ", "This file is ")
+    for verb in ("licensed", "released", "distributed")
+    for article in ("", "the ", "a ")
+] + ["SPDX-License-Identifier: {}"]
 # Spellings that mean the same, after case is folded: pattern, replacement.
 SPELLINGS = (
     (r"licence", "license"),
@@ -61,12 +85,35 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(out, PUNCTUATION, " "))
 
 
-def known_digests(spark: SparkSession, known: dict[str, list[str]] | None = None) -> DataFrame:
-    """``(license, digest)`` of known texts, a table as long as the list given."""
-    rows = [(name, t) for name, texts in (known or KNOWN).items() for t in texts]
+def notices() -> dict[str, list[str]]:
+    """Whole texts and notices that are known without a register, notices from names and forms."""
+    out = {name: list(texts) for name, texts in KNOWN.items()}
+    for licence, names in NAMES.items():
+        out.setdefault(licence, []).extend(form.format(name) for form in FORMS for name in [*names, licence])
+    return out
+
+
+def read_register(spark: SparkSession, folder: str) -> DataFrame:
+    """``(license, text)`` of a folder of whole licence texts, a file each, named by the licence."""
+    files = spark.read.text(folder, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
+    return files.select(F.lower(F.regexp_replace("file", r"\.(txt|md)$", "")).alias("license"), F.col("value").alias("text"))
+
+
+def known_digests(
+    spark: SparkSession, known: dict[str, list[str]] | None = None, register: DataFrame | None = None
+) -> DataFrame:
+    """``(license, digest, n)`` of known texts and their canonical lengths.
+
+    ``register`` is a table of ``(license, text)``, as of ``read_register``, of any size.
+    """
+    rows = [(name, t) for name, texts in (notices() if known is None else known).items() for t in texts]
     table = spark.createDataFrame(rows, "license string, text string")
-    digest = F.sha2(canonical(F.col("text")), 256).alias("digest")
-    return table.select("license", digest).dropDuplicates(["digest"])
+    if register is not None:
+        table = table.unionByName(register.select("license", "text"))
+    form = table.select("license", canonical(F.col("text")).alias("c")).where("c != ''")
+    found = form.select("license", F.sha2("c", 256).alias("digest"), F.length("c").alias("n"))
+    # Of licences with one text the first by name.
+    return found.groupBy("digest", "n").agg(F.min("license").alias("license"))
 
 
 def scan(
@@ -80,9 +127,9 @@ def scan(
     """``docs`` with ``into``: an array of ``(line, license)``; line 0 is the whole text.
 
     Lines count from 1 where a text has two or more. Null and empty texts, and
-    texts without words, have no licence. Digests are joined with ``known``, which
-    Spark sends to all executors only where it is small. Texts meet their findings
-    by digest, and a text with very many copies is split. ``into`` replaces a
+    texts without words, have no licence; texts may have any length and any number of lines. Units whose
+    canonical length no known text has go at once; the digests of the others are joined with ``known``. Texts
+    meet their findings by digest, and a text with very many copies is split. ``into`` replaces a
     column of that name.
     """
     key, hit = fresh(docs, "_key", "_hit")
@@ -91,9 +138,16 @@ def scan(
     every = F.when(F.size(lines) > 1, F.concat(F.array(text), lines)).otherwise(F.array(text))
     keyed = docs.withColumn(key, F.unhex(F.md5(text)))
     units = keyed.select(F.col(key).alias("key"), F.posexplode(every).alias("line", "unit"))
-    digests = units.select("key", "line", F.sha2(canonical(F.col("unit")), 256).alias("digest"))
+    # As many lengths as known texts at most, and Spark sends them to all executors only where that is little.
+    known = scratch.save(known, "known")
+    lengths = known.select("n").distinct()
+    shortest = known.agg(F.coalesce(F.min("n"), F.lit(1))).scalar()
+    # No rule makes a text longer, so short units needn't be rewritten.
+    formed = units.where(F.length("unit") >= shortest).select("key", "line", canonical(F.col("unit")).alias("c"))
+    likely = formed.withColumn("n", F.length("c")).join(lengths, "n", "left_semi")
+    digests = likely.select("key", "line", F.sha2("c", 256).alias("digest"))
     hits = scratch.save(
-        digests.join(known, "digest").groupBy("key")
+        digests.join(known.select("digest", "license"), "digest").groupBy("key")
         .agg(F.array_sort(F.collect_set(F.struct("line", "license"))).alias("hit")),
         "hits",
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from corpusloom.llm import licences
+
 SQL: dict[str, str] = {}
 
 SQL["op2_quality_rules"] = r"""
@@ -88,18 +90,36 @@ k AS (SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE b.t IS NOT NULL) AS
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, k.text FROM d LEFT JOIN k USING (r)
 """
 
-SQL["op6_license_scan"] = r"""
-WITH known(license, canon) AS (VALUES
-  ('all-rights-reserved', 'all rights reserved'), ('apache-2.0', 'licensed under the apache license version 2 0'),
-  ('cc-by-4.0', 'this work is licensed under a creative commons attribution 4 0 international license'),
-  ('cc-by-nc-4.0', 'licensed under cc by nc 4 0'), ('mit', 'released under the mit license'),
-  ('gpl-3.0', 'this work is licensed under the gnu general public license version 3')),
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _canon(column: str) -> str:
+    """Small letters, copyright lines out, one spelling, words parted by one space."""
+    out = f"translate({column}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    out = rf"regexp_replace({out}, '(?m)^[ \t#*/;%-]*(copyright\b|\(c\)|©)[^\n]*(19|20)[0-9][0-9][^\n]*$', ' ', 'g')"
+    for a, b in (("licence", "license"), ("sub-licens", "sublicens"), ("non-commercial", "noncommercial")):
+        out = f"replace({out}, '{a}', '{b}')"
+    out = f"replace(replace({out}, 'organisation', 'organization'), 'organise', 'organize')"
+    out = f"replace(replace(replace({out}, 'favour', 'favor'), 'merchantibility', 'merchantability'), 'https://', 'http://')"
+    return rf"trim(regexp_replace({out}, '[^0-9a-z\x{{80}}-\x{{10FFFF}}]+', ' ', 'g'))"
+
+
+_WHOLE = ", ".join(f"({_text(name)}, {_text(t)})" for name, texts in licences.KNOWN.items() for t in texts)
+_NAMED = ", ".join(f"({_text(x)}, {_text(name)})" for x, names in licences.NAMES.items() for name in [*names, x])
+SQL["op6_license_scan"] = rf"""
+WITH written(license, text) AS (
+  SELECT * FROM (VALUES {_WHOLE}) UNION ALL
+  SELECT x, b || v || ' under ' || a || name FROM (VALUES {_NAMED}) n(x, name),
+    (VALUES (''), ('This work is '), ('This project is '), ('This software is '), ('This file is ')) whole(b),
+    (VALUES ('licensed'), ('released'), ('distributed')) verbs(v), (VALUES (''), ('the '), ('a ')) articles(a) UNION ALL
+  SELECT x, 'SPDX-License-Identifier: ' || name FROM (VALUES {_NAMED}) n(x, name)),
+known AS (SELECT min(license) AS license, {_canon("text")} AS canon FROM written GROUP BY canon),
 d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 u AS (SELECT r, 0 AS line, text AS u FROM d UNION ALL
   SELECT r, i, l[i] FROM (SELECT r, string_split(text, chr(10)) AS l, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM d)
   WHERE len(l) > 1),
-f AS (SELECT r, line, license FROM u JOIN known
-  ON trim(regexp_replace(replace(lower(u), 'licence', 'license'), '[^0-9a-z\x{80}-\x{10FFFF}]+', ' ', 'g')) = canon WHERE length(u) < 200),
+f AS (SELECT r, line, license FROM u JOIN known ON {_canon("u")} = canon),
 g AS (SELECT r, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, count(*) FILTER (WHERE line > 0) AS n_notices,
   max(license) FILTER (WHERE line = 0) AS whole_text FROM f GROUP BY r)
 SELECT doc_id, coalesce(licenses, '') AS licenses, coalesce(n_notices, 0) AS n_notices, whole_text FROM d LEFT JOIN g USING (r)

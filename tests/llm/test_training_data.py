@@ -45,6 +45,8 @@ def test_a_text_of_very_many_boilerplate_lines(spark, scratch):
 def test_licences_are_found_whole_and_by_line(spark, scratch):
     mit = licences.KNOWN["mit"][1]
     rows = [
+        (8, "", "Licensed under the MIT License"),
+        (9, "", "notes\nThis Project is licenced under the GNU GPL v3!\n# SPDX-License-Identifier: BSD-3-Clause"),
         (1, "", "Copyright (c) 2020 A B\n" + mit.upper().replace(",", " ,")),
         (2, "", "some text\nreleased under the MIT Licence\nmore"),
         (3, "", "Released under the MIT License, but not quite"),
@@ -56,11 +58,26 @@ def test_licences_are_found_whole_and_by_line(spark, scratch):
     out = licences.scan(df, licences.known_digests(spark), scratch, rows_per_slice=2).collect()
     assert len(out) == len(rows)
     got = {r["id"]: [tuple(x) for x in r["found"]] for r in out}
+    assert got[8] == [(0, "mit")] and got[9] == [(2, "gpl-3.0"), (3, "bsd-3-clause")]
     assert (0, "mit") in got[1] and got[2] == [(2, "mit")] and got[7] == [(0, "mit")]
     assert got[3] == got[4] == got[5] == got[6] == []
     assert licences.scan(df.limit(0), licences.known_digests(spark), scratch).count() == 0
 
 
+def test_a_register_of_whole_texts(spark, scratch, tmp_path):
+    long = "\n".join(f"{i}. You may use clause {i}, if you organise it." for i in range(5000))
+    (tmp_path / "Own-1.0.txt").write_text(long)
+    (tmp_path / "Other").write_text("Some other text of a licence")
+    (tmp_path / "Empty").write_text(" .\n")
+    known = licences.known_digests(spark, register=licences.read_register(spark, str(tmp_path)))
+    texts = [long.replace("organise", "ORGANIZE").replace(".", " ."), "© 2021 Me\n" + long, long + " more", "a\nSome Other text, of a License\nb"]
+    df = spark.createDataFrame([(i, "", t) for i, t in enumerate(texts)], DOC)
+    got = {r["id"]: [tuple(x) for x in r["found"]] for r in licences.scan(df, known, scratch).collect()}
+    assert got == {0: [(0, "own-1.0")], 1: [(0, "own-1.0")], 2: [], 3: [(2, "other")]}
+    none = licences.scan(df, licences.known_digests(spark, known={}), scratch)
+    assert all(r["found"] == [] for r in none.collect())
+
+
 def test_mixture_keeps_its_budgets(spark, scratch):
     rows = [(i, "big" if i < 300 else "mid" if i < 360 else "low", "w " * (1 + i % 7)) for i in range(400)]
     rows += [(500, None, None), (501, "none", ""), (0, "big", "w")]
