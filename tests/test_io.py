@@ -152,6 +152,28 @@ def test_languages_prune_to_one_directory(spark, tmp_path, storage):
     assert documents.read_language(spark, path, df.schema, storage=storage).count() == 4
 
 
+def test_languages_end_in_few_files(spark, tmp_path):
+    df = spark.range(0, 4000, numPartitions=40).select("id", F.array(F.lit("en"), F.lit("fr"), F.lit("de"))[(F.col("id") % 3).cast("int")].alias("language"))
+    documents.write_by_language(df, str(tmp_path / "lang"))
+    assert 3 <= len(list((tmp_path / "lang").rglob("part-*"))) <= 6
+
+
+def test_languages_keep_whole_records(spark, scratch, tmp_path):
+    write_lines(tmp_path / "a.jsonl", [{"id": "1", "text": "x", "more": [1, {"a": None}]}, {"id": "2", "text": "y"}])
+    df = documents.accepted(documents.read_records(spark, str(tmp_path / "a.jsonl"), "id string, text string"))
+    df = df.withColumn("language", F.when(F.col("id") == "1", "FR").otherwise("EN"))
+    stats = documents.write_by_language(df, str(tmp_path / "lang"))
+    assert {r.language: r.documents for r in stats.collect()} == {"FR": 1, "EN": 1}
+    back = documents.read_language(spark, str(tmp_path / "lang"), df.schema, "fr")
+    assert back.columns == df.columns
+    (row,) = back.select("id", "text", "language", "file_name", documents.record_json(back).alias("j")).collect()
+    assert (row.id, row.text, row.language, row.file_name) == ("1", "x", "FR", "a.jsonl")
+    assert json.loads(row.j) == {"id": "1", "text": "x", "more": [1, {"a": None}], "language": "FR", "file_name": "a.jsonl"}
+    # In shared storage as well, where one language is read from its folder.
+    table = scratch.save(df.withColumn("_part", F.col("language")), "language", ["_part"]).where("_part = 'FR'")
+    assert json.loads(table.select(documents.record_json(table.drop("_part")).alias("j")).first().j)["more"] == [1, {"a": None}]
+
+
 def test_splits_by_file_name(spark, tmp_path):
     for name in ("training", "validation", "test"):
         write_lines(tmp_path / f"{name}.jsonl", [{"input": name, "output": "o"}])
