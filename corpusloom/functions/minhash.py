@@ -1,7 +1,7 @@
 """Character shingles and MinHash signatures (Broder 1997) in Arrow batches.
 
 Expressing 260 seeded minima over exploded shingles in SQL is an order of
-magnitude slower than NumPy on the code points, so this is a pandas UDF. It is
+magnitude slower than NumPy on the code points, so this is an Arrow UDF. It is
 row-local: Spark decides where rows live, and no shuffle is involved. The UDFs
 are marked as not deterministic, although they are, because Spark otherwise copies
 them into every filter it derives from their result and computes them twice.
@@ -10,19 +10,23 @@ them into every filter it derives from their result and computes them twice.
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The Mersenne prime of the hash family and the shingle radix.
 PRIME = (1 << 31) - 1
 RADIX = 1_000_003
 
-# Shingles hashed at a time; keeps the work array inside the CPU cache.
+# Shingles hashed at a time by 62-bit hashes, and by 31-bit ones: the work arrays stay in the CPU's caches.
 _BLOCK = 256
+_CHUNK = 1 << 16
+# Shingles that are put out as one batch: about 4 MB.
+_BATCH = 1 << 19
 
 
 def coefficients(seed: int, count: int) -> list[tuple[int, int]]:
@@ -43,39 +47,64 @@ def shingle_set(text: str, width: int) -> np.ndarray:
         # 2**31 = 1 (mod PRIME): adding the high part to the low part keeps the
         # residue and leaves at most 32 bits, which the next step can multiply.
         hashes = (hashes & PRIME) + (hashes >> 31)
-    return np.unique(hashes % PRIME)
+    # Values have 31 bits; half as many bytes sort faster.
+    ordered = np.sort((hashes % PRIME).astype(np.int32))
+    first = np.ones(n, dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return ordered[first].astype(np.int64)
 
 
 class _Minima:
-    """``min((a*x + b) mod PRIME)`` over a set of values, for many ``(a, b)``.
+    """``min((a*x + b) mod PRIME)`` over sets of values, for many ``(a, b)``.
 
-    Works on blocks of values in buffers that fit the CPU cache and are reused
-    from text to text; allocating them anew costs more than the arithmetic.
+    A value ``h`` of a hash is computed as ``h * 2**64 / PRIME``, modulo 2**64, as the
+    product wraps by itself: with ``a`` and ``b`` scaled and rounded down, the sum is too
+    small by less than 2**31 + 1. Neighbouring ``h`` are 2**33 apart, so after 2**32
+    is added the order is that of ``h``, nothing wraps below zero, and ``h``
+    can be told exactly from the smallest sum. Sums are shifted by 2**63 to be compared as signed.
     """
 
     def __init__(self, pairs: list[tuple[int, int]]):
-        self.a, self.b = np.array(pairs, dtype=np.uint64).T[:, :, None].copy()
-        shape = (len(pairs), _BLOCK)
-        self.wide, self.high = np.empty(shape, np.uint64), np.empty(shape, np.uint64)
-        self.narrow = np.empty(shape, np.uint32)
-
-    def __call__(self, values: np.ndarray) -> np.ndarray:
-        best = np.full(len(self.a), PRIME, dtype=np.uint32)
-        for at in range(0, len(values), _BLOCK):
-            block = values[at : at + _BLOCK].astype(np.uint64)
-            n = len(block)
-            x, high, low = self.wide[:, :n], self.high[:, :n], self.narrow[:, :n]
-            np.multiply(self.a, block, out=x)
-            np.add(x, self.b, out=x)
-            np.right_shift(x, np.uint64(31), out=high)
-            np.bitwise_and(x, np.uint64(PRIME), out=x)
-            np.add(x, high, out=low, casting="unsafe")
-            # Now low < 2 * PRIME. One of low and low - PRIME is the residue, and
-            # the other is larger: the subtraction wraps around below zero.
-            np.minimum(best, low.min(axis=1), out=best)
-            np.subtract(low, np.uint32(PRIME), out=low)
-            np.minimum(best, low.min(axis=1), out=best)
-        return best.astype(np.int64)
+        self.a = np.array([(a << 64) // PRIME for a, _ in pairs], np.uint64)
+        self.b = np.array([((b << 64) // PRIME + (1 << 32) + (1 << 63)) % (1 << 64) for _, b in pairs], np.uint64)
+        self.sums = np.empty(_CHUNK, np.uint64)
+
+    def __call__(self, sets: Iterable[np.ndarray]) -> np.ndarray:
+        """One row of minima per set; no set is empty."""
+        sets = list(sets)
+        best = np.full((len(sets), len(self.a)), np.iinfo(np.int64).max)
+        waiting: list[tuple[int, np.ndarray]] = []
+        room = _CHUNK
+        for row, values in enumerate(sets):
+            at = 0
+            while at < len(values):
+                piece = values[at : at + room]
+                waiting.append((row, piece))
+                at, room = at + len(piece), room - len(piece)
+                if not room:
+                    self._lower(best, waiting)
+                    room = _CHUNK
+        self._lower(best, waiting)
+        scaled = best.view(np.uint64) ^ np.uint64(1 << 63)
+        # 2**64 / PRIME is a little more than 2**33 + 4.
+        found = scaled >> np.uint64(33)
+        return (found - (found * np.uint64((1 << 33) + 4) > scaled)).astype(np.int64)
+
+    def _lower(self, best: np.ndarray, waiting: list[tuple[int, np.ndarray]]) -> None:
+        if not waiting:
+            return
+        values = np.concatenate([piece for _, piece in waiting]).astype(np.uint64)
+        starts = np.cumsum([0] + [len(piece) for _, piece in waiting[:-1]])
+        sums = self.sums[: len(values)]
+        low = np.empty((len(self.a), len(waiting)), np.int64)
+        for k in range(len(self.a)):
+            np.multiply(values, self.a[k], out=sums)
+            np.add(sums, self.b[k], out=sums)
+            np.minimum.reduceat(sums.view(np.int64), starts, out=low[k])
+        # A set has one piece here; the next ones come in later calls.
+        rows = [row for row, _ in waiting]
+        best[rows] = np.minimum(best[rows], low.T)
+        waiting.clear()
 
 
 def _wide_minima(
@@ -92,14 +121,36 @@ def _wide_minima(
     return best
 
 
-def shingles(text: Column, width: int = 5) -> Column:
-    """``array<bigint>`` of distinct shingle hashes."""
+def lists(found: Sequence[np.ndarray | None], dtype: type = np.int64) -> pa.ListArray:
+    """One list per array, null for none, without an object per value."""
+    offsets = np.cumsum([0] + [0 if x is None else len(x) for x in found])
+    values = np.concatenate([np.empty(0, dtype), *(x for x in found if x is not None)])
+    return pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32()), pa.array(values), mask=pa.array([x is None for x in found], pa.bool_())
+    )
 
-    @F.pandas_udf("array<bigint>")
-    def compute(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else shingle_set(t, width))
 
-    return compute.asNondeterministic()(text)
+def shingle_sets(df: DataFrame, id_col: str, text_field: str = "text", width: int = 5) -> DataFrame:
+    """``(id, set)``: ``array<int>`` of distinct shingle hashes, null for a null text.
+
+    Sets take several times the room of their texts, so they leave a task in batches
+    of their own, of about ``_BATCH`` values, whatever number of texts comes in at a time.
+    """
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.columns
+            begin, found, room = 0, [], _BATCH
+            for i, text in enumerate(texts):
+                found.append(shingle_set(text.as_py(), width).astype(np.int32) if text.is_valid else None)
+                room -= 0 if found[-1] is None else len(found[-1])
+                if room < 0 or i + 1 == len(batch):
+                    put = [ids.slice(begin, len(found)), lists(found, np.int32)]
+                    yield pa.RecordBatch.from_arrays(put, names=[id_col, "set"])
+                    begin, found, room = i + 1, [], _BATCH
+
+    schema = T.StructType([df.schema[id_col], T.StructField("set", T.ArrayType(T.IntegerType()))])
+    return df.select(id_col, text_field).mapInArrow(make, schema)
 
 
 def signature(
@@ -112,18 +163,27 @@ def signature(
     """
     first, second = coefficients(seed, hashes), coefficients(seed + 1, hashes)
 
-    @F.pandas_udf("array<bigint>")
-    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<bigint>")
+    def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         minima = _Minima(first)
 
-        def one(text: str | None) -> np.ndarray | None:
-            values = shingle_set(text, width) if text is not None else ()
-            if not len(values):
-                return None
-            return _wide_minima(values, first, second) if wide else minima(values)
+        def signed(sets: list[np.ndarray]) -> np.ndarray:
+            return np.stack([_wide_minima(s, first, second) for s in sets]) if wide else minima(sets)
 
         for texts in batches:
-            yield texts.map(one)
+            out: list[np.ndarray | None] = [None] * len(texts)
+            waiting: list[tuple[int, np.ndarray]] = []
+            room = _BATCH
+            for i, text in enumerate(texts):
+                values = shingle_set(text.as_py(), width) if text.is_valid else ()
+                if len(values):
+                    waiting.append((i, values))
+                    room -= len(values)
+                if waiting and (room < 0 or i + 1 == len(texts)):
+                    for (row, _), low in zip(waiting, signed([s for _, s in waiting]), strict=True):
+                        out[row] = low
+                    waiting, room = [], _BATCH
+            yield lists(out)
 
     return compute.asNondeterministic()(text)
 

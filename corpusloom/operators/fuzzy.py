@@ -134,9 +134,7 @@ def edge_overlap(
     edges = scratch.save(edges, "pairs")
     nodes = edges.select(F.col("src").alias(id_col)).union(edges.select("dst")).distinct()
     sets = scratch.save(
-        df.join(nodes, id_col, "left_semi").select(
-            id_col, minhash.shingles(F.col(text_field), config.char_ngrams).alias("set")
-        ),
+        minhash.shingle_sets(df.join(nodes, id_col, "left_semi"), id_col, text_field, config.char_ngrams),
         "shingles",
     )
     # A document is `dst` of a bounded number of edges, but may be the anchor of very many.

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +75,35 @@ def test_signature_is_exact(spark):
     assert got == [brute_signature(t) if t else None for t in texts]
 
 
+def test_minima_are_exact_at_both_ends_and_over_many_chunks():
+    p = minhash.PRIME
+    for a, b in [(1, 0), (p - 1, p - 1), (1, p - 1), (p - 1, 0), (12345, 678)]:
+        ends = [(-b * pow(a, -1, p)) % p, ((-b - 1) * pow(a, -1, p)) % p]
+        values = [0, 1, 2, p // 2, p - 2, p - 1, *ends]
+        got = minhash._Minima([(a, b)])([np.array([v]) for v in values])
+        assert got[:, 0].tolist() == [(a * v + b) % p for v in values]
+    pairs = minhash.coefficients(3, 5)
+    sets = [np.array([7]), np.arange(3 * minhash._CHUNK + 1) * 9973 % p, np.arange(50)]
+    want = [[min((a * int(v) + b) % p for v in s) for a, b in pairs] for s in sets]
+    assert minhash._Minima(pairs)(sets).tolist() == want
+
+
+def test_shingle_sets_leave_in_batches_of_their_own(spark, monkeypatch):
+    texts = ["".join(map(chr, range(0x4E00 + 50 * i, 0x4E00 + 50 * i + 40 + i % 3))) for i in range(60)]
+    rows = [*enumerate([*texts, None, "", "abcd", "aaaaaaaa"])]
+    df = spark.createDataFrame(rows, "id bigint, text string").coalesce(1)
+    monkeypatch.setattr(minhash, "_BATCH", 100)
+    made = {r["id"]: r["set"] for r in minhash.shingle_sets(df, "id").collect()}
+    assert made == {i: None if t is None else minhash.shingle_set(t, 5).tolist() for i, t in rows}
+    seen = []
+    source = df.select("id", "text")
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, schema: seen.append(f) or source)
+    minhash.shingle_sets(df, "id")
+    batch = pa.RecordBatch.from_pydict({"id": [i for i, _ in rows], "text": [t for _, t in rows]})
+    out = list(seen[0](iter([batch])))
+    assert sum(map(len, out)) == len(rows) and max(len(b.column(1).flatten()) for b in out) <= 150
+
+
 def test_wide_signature_agrees_for_equal_texts_only(spark):
     df = spark.createDataFrame([("abcdefgh",), ("abcdefgh",), ("hgfedcba",)], "text string").coalesce(1)
     a, b, c = [r[0] for r in df.select(minhash.signature(F.col("text"), hashes=8, wide=True)).collect()]
