@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,8 @@ FIRST_TOKEN_ID = 2
 
 #: What ``vocab_tokenizer`` hands to each executor unless told otherwise.
 MAX_LOCAL_VOCABULARY = 1_000_000
+#: Texts that ``pretrained_tokenizer`` encodes at a time; an encoding takes far more room than its ids.
+ENCODED_TEXTS = 128
 #: Tokens of the documents that share a block in ``tokenize_by_join``.
 CODED_TOKENS = 500_000
 
@@ -49,6 +52,15 @@ def build_vocab(df: DataFrame, size: int, scratch: Scratch, text_field: str = "t
     return numbered.select("token", "count", (F.col("ordinal") + FIRST_TOKEN_ID).cast("int").alias("token_id"))
 
 
+def _numbered(tokens: pa.ListArray, table: dict[str, int]) -> pa.ListArray:
+    """Ids of lists of tokens; only distinct tokens become Python objects."""
+    coded = tokens.flatten().dictionary_encode()
+    own = np.array([table.get(t, UNKNOWN_ID) for t in coded.dictionary.to_pylist()], np.int32)
+    offsets = np.concatenate([[0], np.cumsum(tokens.value_lengths().fill_null(0).to_numpy())])
+    ids = pa.array(own[coded.indices.to_numpy()], pa.int32())
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids, mask=tokens.is_null())
+
+
 def vocab_tokenizer(vocab: DataFrame, max_tokens: int = MAX_LOCAL_VOCABULARY) -> Callable[[Column], Column]:
     """A column function that hands the whole vocabulary to each executor.
 
@@ -60,10 +72,9 @@ def vocab_tokenizer(vocab: DataFrame, max_tokens: int = MAX_LOCAL_VOCABULARY) ->
     table = dict(zip(rows["token"], rows["token_id"].astype(int), strict=True))
     shared = vocab.sparkSession.sparkContext.broadcast(table)
 
-    @F.pandas_udf("array<int>")
-    def compute(tokens: pd.Series) -> pd.Series:
-        ids = shared.value
-        return tokens.map(lambda ts: None if ts is None else [ids.get(t, UNKNOWN_ID) for t in ts])
+    @F.arrow_udf("array<int>")
+    def compute(tokens: pa.Array) -> pa.Array:
+        return _numbered(tokens, shared.value)
 
     # Not deterministic, so that a filter on the ids does not tokenise twice.
     once = compute.asNondeterministic()
@@ -84,8 +95,11 @@ def pretrained_tokenizer(spark: SparkSession, path: str) -> Callable[[Column], C
 
         tokenizer = Tokenizer.from_str(shared.value)
         for texts in batches:
-            encoded = tokenizer.encode_batch(texts.fillna("").tolist(), add_special_tokens=False)
-            yield pd.Series([e.ids for e in encoded], dtype=object)
+            ids = []
+            for i in range(0, len(texts), ENCODED_TEXTS):
+                part = texts.iloc[i : i + ENCODED_TEXTS].fillna("").tolist()
+                ids.extend(np.array(e.ids, np.int32) for e in tokenizer.encode_batch(part, add_special_tokens=False))
+            yield pd.Series(ids, dtype=object)
 
     return compute.asNondeterministic()
 
