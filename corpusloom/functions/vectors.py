@@ -9,10 +9,13 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.minhash import lists
+
 SIGN_BITS = 32
 POOLING = ("mean_pooling", "last_token")
 
@@ -61,6 +64,17 @@ def hashed_tokens(dimensions: int, pooling: str) -> Callable[[str], np.ndarray]:
     return encode
 
 
+def _encoded(texts: pa.Array, batch: Callable[[list[str]], np.ndarray], batch_size: int) -> pa.ListArray:
+    """Vectors of the texts; ``batch_size`` texts at a time become Python objects."""
+    present = texts.drop_null()
+    vectors = (
+        np.asarray(vector, dtype=np.float32)
+        for i in range(0, len(present), batch_size)
+        for vector in batch(present.slice(i, batch_size).to_pylist())
+    )
+    return lists([next(vectors) if there else None for there in texts.is_valid().to_pylist()], np.float32)
+
+
 def embed(
     text: Column,
     encoder: Callable[[list[str]], np.ndarray] | None = None,
@@ -76,8 +90,8 @@ def embed(
     if pooling not in POOLING:
         raise ValueError(f"pooling must be one of {POOLING}")
 
-    @F.pandas_udf("array<float>")
-    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if encoder is None:
             encode = hashed_tokens(dimensions, pooling)
 
@@ -86,13 +100,7 @@ def embed(
         else:
             batch = encoder
         for texts in batches:
-            present = texts[texts.notna()].tolist()
-            found = iter(
-                np.asarray(vector, dtype=np.float32)
-                for i in range(0, len(present), batch_size)
-                for vector in batch(present[i : i + batch_size])
-            )
-            yield pd.Series([None if t is None else next(found) for t in texts], dtype=object)
+            yield _encoded(texts, batch, batch_size)
 
     # Not deterministic, so that a filter on the vector does not compute it twice.
     return compute.asNondeterministic()(text)

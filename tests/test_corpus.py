@@ -1,15 +1,17 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from corpusloom.functions import prompts
+from corpusloom.functions import prompts, vectors
 from corpusloom.operators import ids, language, ordering, packing, sampling, sft, tokens
 
 
@@ -292,3 +294,30 @@ def test_profile_counts_combine(spark):
     df = spark.createDataFrame([("aab", "x")] * 7, "text string, lang string").repartition(3)
     got = {r.gram: r.rank for r in language.ngram_profiles(df, top=3).collect()}
     assert got == {"a": 1, "aa": 2, "aab": 3}
+
+
+def _peak(work):
+    tracemalloc.start()
+    try:
+        found = work()
+        return found, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_tokens_do_not_become_objects_each():
+    lists = pa.array([[f"w{i % 100}" for i in range(200_000)], None, [], ["w1", "x"]])
+    found, peak = _peak(lambda: tokens._numbered(lists, {f"w{i}": i + 2 for i in range(100)}))
+    assert found.type == pa.list_(pa.int32())
+    assert found.to_pylist() == [[i % 100 + 2 for i in range(200_000)], None, [], [3, tokens.UNKNOWN_ID]]
+    # An object each would be 50 bytes and a reference.
+    assert peak < 200_000 * 24
+
+
+def test_texts_to_embed_become_objects_a_batch_at_a_time():
+    texts = pa.array([None, *("word " * 2000 + str(i) for i in range(200)), None])
+    encode = vectors.hashed_tokens(4, "mean_pooling")
+    found, peak = _peak(lambda: vectors._encoded(texts, lambda part: [encode(t) for t in part], 8))
+    assert found.is_null().to_pylist() == [True, *[False] * 200, True]
+    assert found[5].as_py() == encode(texts[5].as_py()).astype("float32").tolist()
+    assert peak < texts.nbytes / 2
