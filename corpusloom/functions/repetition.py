@@ -9,9 +9,9 @@ exploding the n-grams to group them shuffles several times the corpus.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,14 +19,31 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import CHARACTER_LANGUAGES
 
 
-def _top(tokens: list[str], n: int, separator: int) -> tuple[int, int, int]:
-    """``(n, count, length)`` of the commonest n-gram; the longer one wins a tie."""
-    counts = Counter(zip(*(tokens[k:] for k in range(n)), strict=False))
-    if not counts:
-        return n, 0, 0
-    most = max(counts.values())
-    longest = max(sum(map(len, gram)) for gram, count in counts.items() if count == most)
-    return n, most, longest + separator * (n - 1)
+def _tops(tokens: list[str], ns: Sequence[int], separator: int) -> list[tuple[int, int, int]]:
+    """``(n, count, length)`` of the commonest n-gram for each of ``ns``; the longer one wins a tie.
+
+    Tokens become numbers, and an n-gram the number made of its tokens'; equal ones are counted by sorting.
+    """
+    known: dict[str, int] = {}
+    codes = np.array([known.setdefault(t, len(known)) for t in tokens], np.int64)
+    ends = np.concatenate([[0], np.cumsum(np.array([len(t) for t in known], np.int64)[codes])])
+    grams, span, found = codes, len(known), {}
+    for n in range(1, min(max(ns), len(tokens)) + 1):
+        if n > 1:
+            if span * len(known) >= 1 << 63:
+                distinct, grams = np.unique(grams, return_inverse=True)
+                span = len(distinct)
+            grams = grams[:-1] * len(known) + codes[n - 1 :]
+            span *= len(known)
+        if n in ns:
+            order = np.argsort(grams)
+            ordered = grams[order]
+            starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+            counts = np.diff(np.append(starts, len(ordered)))
+            most = counts.max()
+            at = order[starts[counts == most]]
+            found[n] = (n, int(most), int((ends[at + n] - ends[at]).max()) + separator * (n - 1))
+    return [found.get(n, (n, 0, 0)) for n in ns]
 
 
 def top_ngrams(text: Column, ns: Sequence[int], language: str = "en") -> Column:
@@ -42,11 +59,7 @@ def top_ngrams(text: Column, ns: Sequence[int], language: str = "en") -> Column:
 
     @F.pandas_udf("array<struct<n: int, count: bigint, length: bigint>>")
     def compute(texts: pd.Series) -> pd.Series:
-        def one(value: str | None) -> list[tuple[int, int, int]]:
-            tokens = unit.findall(value or "")
-            return [_top(tokens, n, separator) for n in ns]
-
-        return texts.map(one)
+        return texts.map(lambda value: _tops(unit.findall(value or ""), ns, separator))
 
     # Not deterministic, so that a filter on the result does not count twice.
     return compute.asNondeterministic()(text)

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 import unicodedata
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -223,3 +225,21 @@ def test_python_scorer_and_batch_modifier(spark):
     upper = stages.modify(stages.batch_modifier(lambda s: s.str.upper(), batch_size=1))
     out = df.transform(stages.sequential(stages.score_filter(scorer, score_field="n"), upper))
     assert [tuple(r) for r in out.collect()] == [("BBB", 3.0)]
+
+
+def _counted(tokens, n, separator):
+    counts = Counter(zip(*(tokens[k:] for k in range(n)), strict=False))
+    most = max(counts.values(), default=0)
+    longest = max((sum(map(len, gram)) for gram, count in counts.items() if count == most), default=None)
+    return n, most, 0 if longest is None else longest + separator * (n - 1)
+
+
+def test_ngrams_counted_as_numbers_are_those_counted_as_tuples():
+    rng = random.Random(5)
+    for _ in range(500):
+        tokens = [rng.choice(["a", "bb", "ccc", "é", "😀d"]) * rng.randint(1, 2) for _ in range(rng.randint(0, 12))]
+        ns, separator = rng.sample(range(1, 14), 3), rng.randint(0, 1)
+        assert repetition._tops(tokens, ns, separator) == [_counted(tokens, n, separator) for n in ns]
+    # So many distinct tokens that n-grams have to be numbered anew.
+    tokens = [str(rng.randrange(30_000)) for _ in range(40_000)] * 2
+    assert repetition._tops(tokens, [2, 5, 9], 1) == [_counted(tokens, n, 1) for n in (2, 5, 9)]
