@@ -178,8 +178,11 @@ def duplicate_groups(
     without: DataFrame | None = None,
 ) -> DataFrame:
     """``(id, group_id)`` of every document in a group of near-duplicates, but those in ``without``."""
-    edges = candidate_edges(df, config, scratch, id_col, text_field, without=without)
+    # Bands and buckets go once the components are written.
+    own = Scratch(scratch.spark)
+    edges = candidate_edges(df, config, own, id_col, text_field, without=without)
     groups = connected_components(edges, scratch)
+    own.close()
     return groups.select(F.col("id").alias(id_col), F.col("component").alias("group_id"))
 
 

@@ -12,17 +12,23 @@ holds a third of the data cannot finish, so the search is cut down exactly:
   them. Vectors with a cosine above the floor lie within a fixed distance, and so do
   their projections, so an item looks into its own cell and into those neighbours
   that this distance reaches, and meets every item it has to exactly once;
-* cells are compared block by block, ``BLOCK`` x ``BLOCK`` to a task.
+* the items of a cell, or of small cells side by side, are packed, up to ``BLOCK`` to a row that knows the box
+  around their projections. Two packs meet if their boxes are within that distance, and of each the
+  items that are within it of the other's box. Packs are read where they meet and not sent there, so
+  whatever the number of pairs, no vector is written once more for them.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
@@ -37,6 +43,10 @@ from corpusloom.operators.skew import salted_join
 from corpusloom.scratch import Scratch
 
 BLOCK = 8192
+#: Bytes of the vectors of a pack, at most.
+PACK_BYTES = 4 << 20
+#: Clusters of up to so many blocks are compared by one task each; a file of packs has so many blocks as well.
+WHOLE = 4
 PIVOTS = 8
 #: Rows, by a hash of their id, from which the pivots are taken. They only set the
 #: pivots' directions, and so the balance of cells; every item is indexed.
@@ -290,17 +300,19 @@ def cells(axes: np.ndarray, floor: float, guests: bool) -> Callable[[Column, Col
 
 @dataclass(frozen=True)
 class Meeting:
-    """Items in their cells, probes in all they look into, and both counted in blocks."""
+    """Items in their cells; probes in all they look into, and both counted by cell, where these are asked for."""
 
     items: DataFrame
     probes: DataFrame
     grid: DataFrame
+    sizes: DataFrame
+    axes: np.ndarray
 
 
 def meeting(
     probes: DataFrame, items: DataFrame, floor: float, scratch: Scratch, block: int = BLOCK
 ) -> Meeting:
-    """Where probes meet items. ``grid`` has, by cell, ``probe_rows`` and ``item_rows`` and their blocks.
+    """Where probes meet items. ``grid`` has, by cell, ``probe_rows`` and ``item_rows``.
 
     A cluster of up to ``block`` items is one cell. Above, each doubling brings one and a
     half more axes into use, so that looking into neighbours pays.
@@ -317,79 +329,204 @@ def meeting(
         return df.join(used, "cluster").withColumn("cell", F.explode(numbers("vector", "axes"))).drop("axes")
 
     def counted(df: DataFrame, name: str) -> DataFrame:
-        rows = F.count(F.lit(1))
-        return df.groupBy("cluster", "cell").agg(
-            rows.alias(f"{name}_rows"), F.ceil(rows / block).cast("int").alias(f"{name}_blocks")
-        )
+        return df.groupBy("cluster", "cell").agg(F.count(F.lit(1)).alias(f"{name}_rows"))
 
-    at_home, looking = placed(items, False), placed(probes, True)
+    at_home, looking = placed(items, False), placed(probes, True).drop("vector")
     if len(axes):
-        # Vectors stay out of what is counted and read again.
         at_home = scratch.save(at_home, "at_home")
-        looking = scratch.save(looking, "looking")
     grid = counted(looking, "probe").join(counted(at_home, "item"), ["cluster", "cell"])
-    return Meeting(at_home, looking, scratch.save(grid, "grid"))
+    return Meeting(at_home, looking, grid, sizes, axes)
+
+
+def pack(items: DataFrame, axes: np.ndarray, block: int) -> DataFrame:
+    """``(cluster, low, high, first, last, looks, ids, keys, probe, vectors)``, up to ``block`` items to a row.
+
+    ``low`` and ``high`` are the corners of the box around their projections on ``axes``; items are in rank
+    order, with keys from ``first`` to ``last``; ``looks`` tells whether any is a ``probe``.
+    """
+    order = ["cluster", "cell", "key", "id"]
+    parts = max(1, math.ceil(items.count() / (WHOLE * block)))
+    dealt = items.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        rows, of = 0, (None, None)
+
+        def flushed() -> pa.RecordBatch:
+            some = pa.Table.from_batches(held).combine_chunks()
+            some = some.take(pc.sort_indices(
+                some, [("key", "ascending"), ("id", "ascending")], null_placement="at_start"
+            ))
+            keys, vectors = some.column("key"), some.column("vector").combine_chunks()
+            at = _units(vectors.flatten(), len(vectors)) @ axes.T if len(axes) else np.empty((len(vectors), 0))
+            one = lambda values: pa.ListArray.from_arrays([0, len(values)], values)
+            columns = {
+                "cluster": pa.array([of[0]], pa.int32()),
+                "low": one(pa.array(at.min(axis=0), pa.float64())),
+                "high": one(pa.array(at.max(axis=0), pa.float64())),
+                "first": keys.slice(0, 1).combine_chunks(),
+                "last": keys.slice(len(keys) - 1).combine_chunks(),
+                "looks": pa.array([pc.any(some.column("probe")).as_py()], pa.bool_()),
+                "ids": one(some.column("id").combine_chunks()),
+                "keys": one(keys.combine_chunks()),
+                "probe": one(some.column("probe").combine_chunks()),
+                "vectors": one(vectors.flatten()),
+            }
+            held.clear()
+            return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            vector = batch.column(5)
+            # Ragged vectors can't be compared at all; the first one tells the width.
+            most = max(1, min(block, PACK_BYTES // max(1, vector[0].values.nbytes)))
+            cluster, cell = (batch.column(i).to_numpy() for i in (0, 1))
+            change = np.flatnonzero((cluster[1:] != cluster[:-1]) | (cell[1:] != cell[:-1])) + 1
+            for begin, end in zip([0, *change.tolist()], [*change.tolist(), len(batch)], strict=True):
+                here = (int(cluster[begin]), int(cell[begin]))
+                # A cell begins a pack of its own, unless the last pack is still small.
+                if rows and (here[0] != of[0] or here != of and 2 * rows >= most):
+                    yield flushed()
+                    rows = 0
+                of = here
+                while begin < end:
+                    taken = min(end - begin, most - rows)
+                    held.append(batch.slice(begin, taken))
+                    begin, rows = begin + taken, rows + taken
+                    if rows >= most:
+                        yield flushed()
+                        rows = 0
+        if rows:
+            yield flushed()
+
+    kinds = {c: items.schema[c].dataType.simpleString() for c in ("id", "vector")}
+    box = "low array<double>, high array<double>, first double, last double, looks boolean"
+    return dealt.select(*order, "probe", "vector").mapInArrow(
+        packed,
+        f"cluster int, {box}, ids array<{kinds['id']}>, keys array<double>, probe array<boolean>, vectors {kinds['vector']}",
+    )
+
+
+def _units(flat: pa.Array, rows: int) -> np.ndarray:
+    return unit_rows(flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1))
+
+
+def _earlier(keys: np.ndarray, ids: pa.Array, of_keys: np.ndarray, of_ids: pa.Array) -> np.ndarray:
+    """How many of the ranked items ``of_keys, of_ids`` come before each of ``keys, ids``."""
+    low, high = (np.searchsorted(of_keys, keys, side) for side in ("left", "right"))
+    tied = np.flatnonzero(low < high)
+    if len(tied):
+        mine, others = ([(x is not None, x) for x in some.to_pylist()] for some in (ids, of_ids))
+        for i in tied:
+            low[i] = bisect_left(others, mine[i], low[i], high[i])
+    return low
+
+
+def _compared(pairs: DataFrame, axes: np.ndarray, floor: float, step: int, schema: T.StructType) -> DataFrame:
+    """``(id, max_sim)`` of the probes of pack ``a`` that have an earlier item above ``floor`` in pack ``b``.
+
+    Cosines are taken in single precision first; rows that come near the floor are taken again.
+    """
+    within = reach(floor) ** 2 * (1 + 1e-9)
+    names = ["ids", "keys", "probe", "vectors", "low", "high"]
+
+    def best_of(a: dict[str, pa.Array], b: dict[str, pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+        units_a, units_b = (_units(x["vectors"], len(x["ids"])) for x in (a, b))
+
+        def close(units: np.ndarray, other: dict[str, pa.Array]) -> np.ndarray:
+            if not len(axes):
+                return np.ones(len(units), bool)
+            at, low, high = units @ axes.T, other["low"].to_numpy(), other["high"].to_numpy()
+            return (np.maximum(0, np.maximum(low - at, at - high)) ** 2).sum(axis=1) <= within
+
+        rows = np.flatnonzero(a["probe"].to_numpy(zero_copy_only=False) & close(units_a, b))
+        cols = np.flatnonzero(close(units_b, a))
+        before = _earlier(
+            a["keys"].to_numpy()[rows], a["ids"].take(pa.array(rows)), b["keys"].to_numpy()[cols], b["ids"].take(pa.array(cols))
+        )
+        rows, before = rows[before > 0], before[before > 0]
+        best = np.full(len(rows), -2.0)
+        if not len(rows):
+            return rows, best
+        units_a, units_b = units_a[rows], units_b[cols]
+        short_a, short_b = units_a.astype(np.float32), units_b.astype(np.float32)
+        margin = (units_a.shape[1] + 4) * 2.0**-23
+        for i in range(0, len(rows), step):
+            here = before[i : i + step]
+            for j in range(0, here.max(), step):
+                end = min(j + step, here.max())
+                later = np.arange(j, end)[None, :] >= here[:, None] if here.min() < end else None
+                sims = short_a[i : i + step] @ short_b[j:end].T
+                if later is not None:
+                    sims[later] = -2.0
+                again = np.flatnonzero(sims.max(axis=1) > floor - margin)
+                if len(again):
+                    sims = units_a[i + again] @ units_b[j:end].T
+                    if later is not None:
+                        sims[later[again]] = -2.0
+                    best[i + again] = np.maximum(best[i + again], sims.max(axis=1))
+        return rows[best > floor], best[best > floor]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                a, b = ({c: batch.column(f"{side}_{c}")[i].values for c in names} for side in "ab")
+                rows, best = best_of(a, b)
+                yield pa.RecordBatch.from_arrays([a["ids"].take(pa.array(rows)), pa.array(best)], names=["id", "max_sim"])
+
+    return pairs.select(*[f"{side}_{c}" for side in "ab" for c in names]).mapInArrow(compare, schema)
 
 
 def _probe(
-    probes: DataFrame, items: DataFrame, floor: float, config: SemanticConfig, scratch: Scratch, block: int
+    items: DataFrame,
+    decided: DataFrame | None,
+    floor: float,
+    config: SemanticConfig,
+    scratch: Scratch,
+    block: int,
 ) -> DataFrame:
-    """``(id, max_sim)``: the largest cosine above ``floor`` of a probe to an earlier item.
+    """``(id, max_sim)``: the largest cosine above ``floor`` to an earlier item, of all but the ``decided``.
 
-    Probes and items of a cell are dealt into blocks by a hash of their id, and
-    each pair of blocks is one group, so no group holds more than about two
-    blocks whatever the size of the cell.
+    The packs of a cluster of up to ``WHOLE`` blocks meet in one task. Of a larger one, every two
+    partitions of packs are a task, which reads them from the table: a product without a
+    shuffle, so the disk in use grows with the items and not with the pairs.
     """
-    cell = ["cluster", "cell"]
-    step = config.batched_cosine_similarity
+    probes = items if decided is None else items.join(decided, "id", "left_anti")
     met = meeting(probes, items, floor, scratch, block)
+    marked = met.items.withColumn("probe", F.lit(True))
+    if decided is not None:
+        gone = decided.select("id").distinct().withColumn("gone", F.lit(True))
+        marked = met.items.join(gone, "id", "left").withColumn("probe", F.col("gone").isNull())
+    packs = scratch.save(pack(marked, met.axes, block), "packs", ["cluster"])
+    large = [r["cluster"] for r in met.sizes.where(F.col("n") > WHOLE * block).select("cluster").collect()]
+    schema = T.StructType([items.schema["id"], T.StructField("max_sim", T.DoubleType())])
+    gap = F.zip_with(
+        F.zip_with("a_low", "b_high", lambda x, y: x - y),
+        F.zip_with("b_low", "a_high", lambda x, y: x - y),
+        lambda x, y: F.greatest(F.lit(0.0), x, y),
+    )
+    apart = F.aggregate(gap, F.lit(0.0), lambda total, x: total + x * x)
+    meets = (apart <= reach(floor) ** 2 * (1 + 1e-9)) & (F.col("b_first") <= F.col("a_last"))
 
-    def dealt(df: DataFrame, own: str, other: str, role: int) -> DataFrame:
-        mine = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
-        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        return (
-            df.join(met.grid, cell)
-            .withColumn("_mine", mine)
-            .withColumn("_other", every)
-            .select(
-                *cell,
-                F.col("_mine" if role else "_other").alias("probe_block"),
-                F.col("_other" if role else "_mine").alias("item_block"),
-                F.lit(role).alias("is_probe"),
-                "id",
-                "key",
-                "vector",
-            )
-        )
+    def sides(some: DataFrame) -> tuple[DataFrame, DataFrame]:
+        named = lambda side: [F.col(c).alias(f"{side}_{c}") for c in some.columns]
+        return some.where("looks").select(*named("a")), some.select(*named("b"))
 
-    both = dealt(met.probes, "probe_blocks", "item_blocks", 1).unionByName(
-        dealt(met.items, "item_blocks", "probe_blocks", 0)
-    )
-    schema = T.StructType([probes.schema["id"], T.StructField("max_sim", T.DoubleType())])
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["key", "id"], kind="stable")
-        is_probe = group["is_probe"].to_numpy() == 1
-        units = unit_rows(matrix(group["vector"]))
-        key, ids = group["key"].to_numpy(), group["id"].to_numpy()
-        items_at, probes_at = np.flatnonzero(~is_probe), np.flatnonzero(is_probe)
-        best = np.full(len(probes_at), -2.0)
-        for i in range(0, len(probes_at), step):
-            rows = probes_at[i : i + step]
-            for j in range(0, len(items_at), step):
-                cols = items_at[j : j + step]
-                sims = units[rows] @ units[cols].T
-                same_key = key[cols][None, :] == key[rows][:, None]
-                earlier = (key[cols][None, :] < key[rows][:, None]) | (
-                    same_key & (ids[cols][None, :] < ids[rows][:, None])
-                )
-                sims[~earlier] = -2.0
-                np.maximum(best[i : i + step], sims.max(axis=1), out=best[i : i + step])
-        hit = best > floor
-        return pd.DataFrame({"id": ids[probes_at][hit], "max_sim": best[hit]})
-
-    compared = both.groupBy(*cell, "probe_block", "item_block").applyInPandas(compare, schema)
-    return compared.groupBy("id").agg(F.max("max_sim").alias("max_sim"))
+    def compared(pairs: DataFrame) -> DataFrame:
+        return _compared(pairs.where(meets), met.axes, floor, config.batched_cosine_similarity, schema)
+
+    # Dealt by number and not by bytes: the work grows with the square of a cluster.
+    parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = sides(packs.where(~F.col("cluster").isin(large)))
+    found = [compared(left.repartition(parts, "a_cluster").join(right, F.col("a_cluster") == F.col("b_cluster")))]
+    for cluster in large:
+        left, right = sides(packs.where(F.col("cluster") == cluster).drop("cluster"))
+        found.append(scratch.save(compared(left.crossJoin(right.hint("shuffle_replicate_nl"))), "compared"))
+    every = found[0]
+    for some in found[1:]:
+        every = every.unionByName(some)
+    return every.groupBy("id").agg(F.max("max_sim").alias("max_sim"))
 
 
 def nearest_earlier(
@@ -411,7 +548,7 @@ def nearest_earlier(
         _ranked(assigned, config.embedding_column, id_col, config.which_to_keep), "ranked"
     )
     items = scratch.save(_first_copies(ranked), "items")
-    found = _probe(items, items, floor, config, scratch, block)
+    found = _probe(items, None, floor, config, scratch, block)
     copies = ranked.select("id").join(items.select("id"), "id", "left_anti")
     return found.unionByName(copies.withColumn("max_sim", F.lit(1.0))).withColumnRenamed("id", id_col)
 
@@ -431,8 +568,7 @@ def semantic_duplicates(
     items = scratch.save(_first_copies(ranked), "items")
     copies = ranked.select("id").join(items.select("id"), "id", "left_anti")
     decided = scratch.save(_near_cell_head(items, floor), "decided")
-    left = items.join(decided, "id", "left_anti")
-    found = _probe(left, items, floor, config, scratch, block).select("id")
+    found = _probe(items, decided, floor, config, scratch, block).select("id")
     return copies.unionByName(decided).unionByName(found).withColumnRenamed("id", id_col)
 
 

@@ -38,13 +38,15 @@ Finder = Callable[[DataFrame, DataFrame | None], DataFrame]
 class NamedStage:
     """``row_local`` stages read each row once, so they can share one pass.
 
-    A stage with a ``finder`` deletes what it lists.
+    A stage with a ``finder`` deletes what it lists. One with its own ``table`` writes there what
+    comes in, so nothing need be written before or after it, and the table goes once the next one is there.
     """
 
     name: str
     run: stages.Stage | None = None
     row_local: bool = False
     finder: Finder | None = None
+    table: Scratch | None = None
 
 
 @dataclass(frozen=True)
@@ -70,6 +72,7 @@ def stage_list(
     if config.lid:
         if models.language_scorer is None:
             raise ValueError("language identification needs models.language_scorer")
+        own = Scratch(scratch.spark) if config.language and not output_dir else None
 
         def by_language(df: DataFrame) -> DataFrame:
             coded = language_code(identify(df, models.language_scorer, text))
@@ -83,10 +86,11 @@ def stage_list(
                 return coded
             # Written by language first, so that only one directory is read back.
             part = F.upper(F.coalesce(F.col("language"), F.lit("unknown")))
-            table = scratch.save(coded.withColumn("_part", part), "language", ["_part"])
+            table = own.save(coded.withColumn("_part", part), "language", ["_part"])
             return table.where(F.col("_part") == config.language.upper()).drop("_part")
 
-        chosen.append(NamedStage("language", by_language, row_local=not (config.language or output_dir)))
+        row_local = not (config.language or output_dir)
+        chosen.append(NamedStage("language", by_language, row_local=row_local, table=own))
     if config.heuristic:
         heuristic = stages.heuristic_stage(
             text, config.language or "en", config.heuristic_min_words
@@ -138,13 +142,15 @@ def run_stages(
     the way, and written once as Parquet. The stages that delete copies then only
     list ids: digests, bands and vectors of the texts are read from that table, ids
     already listed leave these narrow rows, and one anti-join with all lists makes the
-    result. Nothing runs twice, and a lost executor costs at most one pass. With
+    result. Nothing runs twice, and a lost executor costs at most one pass. A table of texts
+    goes as soon as the next one is written, so two of them are there at most. With
     ``output_dir``, what is left after every stage is also written there as JSON lines by source file.
     """
     key = config.id_field
     current = ensure_id(df, scratch, key)
     counts: list[tuple[str, int]] = []
     passing: list[tuple[str, Observation]] = []
+    over: list[Callable[[], None]] = []
     deleted: DataFrame | None = None
 
     def watch(name: str) -> None:
@@ -155,18 +161,23 @@ def run_stages(
 
     def settle(name: str) -> None:
         nonlocal current
-        current = scratch.save(current, name)
+        current = table = scratch.save(current, name)
         counts.extend((stage, seen.get["n"]) for stage, seen in passing)
         passing.clear()
+        for drop in over:
+            drop()
+        over[:] = [lambda: scratch.drop(table)]
 
     watch("input")
     for stage in stage_list(config, scratch, models or Models(), output_dir):
-        if passing and not stage.row_local:
+        if passing and not (stage.row_local or stage.table):
             settle("rows")
         if stage.finder is None:
             current = current.transform(stage.run)
             watch(stage.name)
-            if output_dir or not stage.row_local:
+            if stage.table:
+                over.append(stage.table.close)
+            elif output_dir or not stage.row_local:
                 settle(stage.name)
         else:
             found = scratch.save(stage.finder(current, deleted).select(key), "deleted")
